@@ -1,9 +1,15 @@
-"""Dense 0..n-1 indices in sort order without a single-task global window.
+"""Dense 0..n-1 indices in sort order without a single-task window.
 
-``row_number().over(Window.orderBy(...))`` moves every row into one task.  Here the
-rows are range-partitioned on the sort key, numbered inside each partition, and each
-partition's offset is the running total of the per-partition counts (one row per
-partition, so the offset table has a proven size bound and is broadcast).
+``row_number().over(Window.orderBy(...))`` (or over a partition that one key
+dominates) moves all of a group's rows into one task.  Here rows are
+range-partitioned on (group, sort key), numbered inside each range partition, and
+each (partition, group) gets an offset = running total of the counts of the earlier
+partitions of the same group.  The count table has one row per (partition, group).
+
+The range-partitioned rows are checkpointed (reliable checkpoint in the shared
+``spark.checkpoint.dir``) before the two branches read them: range bounds come from
+sampling, and a recomputed branch could otherwise see other bounds (after an executor
+loss, or when the two branches are planned differently) and misalign the offsets.
 """
 
 from __future__ import annotations
@@ -11,30 +17,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
-def dense_index(df: DataFrame, order_cols: list[str], index_col: str = "idx", start: int = 0,
-                num_partitions: int | None = None) -> DataFrame:
-    """Add ``index_col`` = position of the row in ``order_cols`` order, from ``start``.
+def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx", start: int = 0,
+                group_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Add ``index_col`` = position of the row in ``order_cols`` order (within ``group_cols``).
 
-    Rows must be unique in ``order_cols`` for the numbering to be repeatable (callers
-    pass a distinct vocabulary).
+    ``order_cols`` may hold Columns (e.g. ``F.col('n').desc()``); they must make rows
+    unique inside a group for the numbering to be repeatable.
     """
     spark = df.sparkSession
+    groups = list(group_cols or [])
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    ordering = [F.col(g) for g in groups] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    ensure_checkpoint_dir(spark)
+    pid, pos, cnt, off = "__di_pid", "__di_pos", "__di_n", "__di_off"
+    ranged = df.repartitionByRange(n, *ordering).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
     local = ranged.withColumn(
-        "_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols))
-    )
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        )).alias("_off"),
+        pos, F.row_number().over(Window.partitionBy(pid, *groups).orderBy(*ordering[len(groups):]))
     )
+    counts = ranged.groupBy(pid, *groups).agg(F.count(F.lit(1)).alias(cnt))
+    before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(pid, *groups, F.coalesce(F.sum(cnt).over(before), F.lit(0)).alias(off))
+    if not groups:
+        offsets = F.broadcast(offsets)  # one row per partition: a proven size bound
     return (
-        local.join(F.broadcast(offsets), "_pid")
-        .withColumn(index_col, (F.col("_off") + F.col("_pos") - 1 + F.lit(start)).cast("bigint"))
-        .drop("_pid", "_pos", "_off")
+        local.join(offsets, [pid, *groups])
+        .withColumn(index_col, (F.col(off) + F.col(pos) - 1 + F.lit(start)).cast("bigint"))
+        .drop(pid, pos, off)
     )

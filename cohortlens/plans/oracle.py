@@ -143,3 +143,195 @@ sql("svmlight_parse", _with(*FEAT, AGG, NORM, LAB, SVM) + """
 kv AS (SELECT patient_id, CAST(t[2] AS DOUBLE) AS label, unnest(t[3:]) AS p FROM tok)
 SELECT CAST(string_split(p, ':')[1] AS BIGINT) AS feature_id, CAST(string_split(p, ':')[2] AS DOUBLE) AS feature_value,
        label, patient_id FROM kv""")
+
+
+# ---- raw loading, phenotype ---------------------------------------------------------
+
+from .profile import CANDIDATE_LABS, PROFILE_RULES, SEQ_TEST_FRACTION, SEQ_TRAIN_SALT  # noqa: E402
+
+
+def _lits(values) -> str:
+    vals = sorted({v.strip().lower() for v in values})
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in vals) + ")"
+
+
+R = PROFILE_RULES
+POL = """pol AS (
+  SELECT o.o_custkey AS patient_id, CAST(o.o_orderdate AS DATE) AS date, o.o_orderkey AS order_key,
+         l.l_linenumber AS line_number, p.p_name, p.p_brand, p.p_size
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey),
+dx AS (SELECT patient_id, date, p_name || '.' || CAST(p_size AS VARCHAR) AS code FROM pol),
+med AS (SELECT patient_id, date, lower(p_brand) || '-' || CAST(p_size AS VARCHAR) AS medicine FROM pol),
+labr AS (SELECT o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS date, lower(trim(o_orderpriority)) AS test_name,
+                round(o_totalprice, 2) AS value
+         FROM orders WHERE NOT (""" + hash_unit_sql("o_orderkey", "blank") + """ < 0.05))"""
+
+ABNORMAL = " OR ".join(
+    f"(test_name = '{r.test_name.strip().lower()}' AND value {r.op} {r.threshold!r})" for r in R.abnormal_labs)
+
+sql("load_labs_clean", _with(POL) + "SELECT patient_id, date, test_name, value FROM labr")
+
+sql("patient_universe", _with(POL) + """
+SELECT patient_id FROM dx UNION SELECT patient_id FROM med UNION SELECT patient_id FROM labr""")
+
+MEDF = """medf AS (
+  SELECT patient_id, bool_or(m IN {t1}) AS t1_med, bool_or(m IN {t2}) AS t2_med,
+         min(CASE WHEN m IN {t1} THEN date END) AS first_t1_med,
+         min(CASE WHEN m IN {t2} THEN date END) AS first_t2_med
+  FROM (SELECT patient_id, date, lower(trim(medicine)) AS m FROM med) GROUP BY patient_id)""".format(
+    t1=_lits(R.t1_med), t2=_lits(R.t2_med))
+
+sql("phenotype", _with(POL, MEDF) + """
+, pts AS (SELECT patient_id FROM dx UNION SELECT patient_id FROM med UNION SELECT patient_id FROM labr),
+dxf AS (
+  SELECT patient_id, bool_or(c IN {t1}) AS t1_dx, bool_or(c IN {t2}) AS t2_dx,
+         bool_or(c IN {rel} OR starts_with(c, '{prefix}')) AS related_dx
+  FROM (SELECT patient_id, lower(trim(code)) AS c FROM dx) GROUP BY patient_id),
+labf AS (
+  SELECT patient_id, bool_or(contains(test_name, '{glu}')) AS has_glucose, bool_or({abn}) AS abnormal_lab
+  FROM labr GROUP BY patient_id),
+f AS (
+  SELECT p.patient_id, coalesce(t1_dx, false) AS t1_dx, coalesce(t2_dx, false) AS t2_dx,
+         coalesce(related_dx, false) AS related_dx, coalesce(t1_med, false) AS t1_med,
+         coalesce(t2_med, false) AS t2_med, first_t1_med, first_t2_med,
+         coalesce(has_glucose, false) AS has_glucose, coalesce(abnormal_lab, false) AS abnormal_lab
+  FROM pts p LEFT JOIN dxf ON p.patient_id = dxf.patient_id LEFT JOIN medf ON p.patient_id = medf.patient_id
+       LEFT JOIN labf ON p.patient_id = labf.patient_id)
+SELECT patient_id,
+       CASE WHEN coalesce(NOT t1_dx AND t2_dx AND (NOT t1_med OR (t1_med AND NOT t2_med)
+                 OR (t1_med AND t2_med AND first_t2_med < first_t1_med)), false) THEN 1
+            WHEN has_glucose AND NOT abnormal_lab AND NOT related_dx THEN 2 ELSE 3 END AS phenotype
+FROM f""".format(t1=_lits(R.t1_dx), t2=_lits(R.t2_dx), rel=_lits(R.related_dx),
+                 prefix=R.related_dx_prefix.strip().lower(), glu=R.glucose_substring.lower(), abn=ABNORMAL))
+
+sql("abnormal_lab", _with(POL) + f"""
+SELECT patient_id, count(*) AS n_abnormal FROM labr WHERE {ABNORMAL} GROUP BY patient_id""")
+
+sql("first_event_order", _with(POL, MEDF) + """
+SELECT patient_id, first_t1_med, first_t2_med FROM medf WHERE first_t2_med < first_t1_med""")
+
+# ---- typed feature tuples -----------------------------------------------------------
+
+CNT = """cnt AS (
+  SELECT patient_id, code AS feature_name, CAST(count(*) AS DOUBLE) AS feature_value FROM dx GROUP BY 1, 2
+  UNION ALL
+  SELECT patient_id, medicine, CAST(count(*) AS DOUBLE) FROM med GROUP BY 1, 2)"""
+LABAVG = """labavg AS (SELECT patient_id, test_name AS feature_name, avg(value) AS feature_value FROM labr GROUP BY 1, 2)"""
+
+sql("features_count", _with(POL, CNT) + "SELECT patient_id, feature_name, feature_value FROM cnt")
+
+sql("features_lab_avg", _with(POL, LABAVG) + """
+SELECT patient_id, feature_name, round(feature_value, 6) AS feature_value FROM labavg""")
+
+sql("features_filtered", _with(POL) + """
+SELECT patient_id, code AS feature_name, CAST(count(*) AS DOUBLE) AS feature_value FROM dx
+WHERE code IN {cdx} GROUP BY 1, 2
+UNION ALL
+SELECT patient_id, medicine, CAST(count(*) AS DOUBLE) FROM med WHERE medicine IN {cmed} GROUP BY 1, 2
+UNION ALL
+SELECT patient_id, test_name, round(avg(value), 6) FROM labr WHERE test_name IN {clab} GROUP BY 1, 2""".format(
+    cdx=_lits(R.t1_dx + R.t2_dx + R.related_dx), cmed=_lits(R.t1_med + R.t2_med), clab=_lits(CANDIDATE_LABS)))
+
+sql("feature_vectors", _with(POL, CNT, LABAVG) + """
+, tup AS (SELECT * FROM cnt UNION ALL SELECT * FROM labavg),
+voc AS (SELECT feature_name, row_number() OVER (ORDER BY feature_name) - 1 AS idx FROM (SELECT DISTINCT feature_name FROM tup)),
+n AS (SELECT count(*) AS vec_size FROM voc)
+SELECT t.patient_id, n.vec_size, count(*) AS nnz,
+       string_agg(printf('%d:%.6f', v.idx, round(t.feature_value, 6)), ' ' ORDER BY v.idx) AS features
+FROM tup t JOIN voc v ON t.feature_name = v.feature_name, n
+GROUP BY t.patient_id, n.vec_size""")
+
+# ---- visit sequences ----------------------------------------------------------------
+
+SEQ = """adm AS (SELECT o_custkey AS patient_id, o_orderkey AS hadm_id, o_orderdate AS admit_time FROM orders),
+dxi AS (SELECT l.l_orderkey AS hadm_id,
+               substr(p.p_type, 1, 1) || CAST(p.p_size AS VARCHAR) || CAST(p.p_partkey % 10 AS VARCHAR) AS icd9_code
+        FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+rc AS (SELECT hadm_id, CASE WHEN starts_with(trim(icd9_code), 'E') THEN substr(trim(icd9_code), 1, 4)
+                            ELSE substr(trim(icd9_code), 1, 3) END AS code
+       FROM dxi WHERE icd9_code IS NOT NULL),
+cmap AS (SELECT code, CAST(row_number() OVER (ORDER BY code) - 1 AS BIGINT) AS code_idx
+         FROM (SELECT DISTINCT code FROM rc WHERE hadm_id IN (
+               SELECT hadm_id FROM adm WHERE """ + hash_unit_sql("patient_id", SEQ_TRAIN_SALT) + f""" >= {SEQ_TEST_FRACTION}))),
+vc AS (SELECT a.patient_id, a.hadm_id, a.admit_time, list_sort(list(m.code_idx)) AS codes
+       FROM rc JOIN cmap m ON rc.code = m.code JOIN adm a ON a.hadm_id = rc.hadm_id
+       GROUP BY a.patient_id, a.hadm_id, a.admit_time),
+flat AS (SELECT v.patient_id, coalesce(mo.label, 0) AS label,
+                CAST(row_number() OVER (PARTITION BY v.patient_id ORDER BY v.admit_time, v.hadm_id) - 1 AS BIGINT) AS visit_idx,
+                v.codes
+         FROM vc v LEFT JOIN mort mo ON v.patient_id = mo.patient_id)"""
+
+sql("code_rollup", _with(SEQ) + """
+SELECT DISTINCT icd9_code, CASE WHEN starts_with(trim(icd9_code), 'E') THEN substr(trim(icd9_code), 1, 4)
+                                ELSE substr(trim(icd9_code), 1, 3) END AS code FROM dxi""")
+
+sql("codemap", _with(SEQ) + "SELECT code, code_idx FROM cmap")
+
+sql("visit_sequences", _with(MORT, SEQ) + """
+SELECT patient_id, label, visit_idx, array_to_string(codes, ',') AS codes FROM flat""")
+
+sql("visit_multihot", _with(MORT, SEQ) + """
+SELECT DISTINCT patient_id, visit_idx, unnest(codes) AS code_idx FROM flat""")
+
+sql("padded_sequences", _with(MORT, SEQ) + """
+, len AS (SELECT patient_id, count(*) AS seq_length FROM flat GROUP BY patient_id)
+SELECT patient_id, seq_length, max(seq_length) OVER () AS padded_length,
+       CAST(row_number() OVER (ORDER BY seq_length DESC, patient_id) - 1 AS BIGINT) AS batch_pos FROM len""")
+
+sql("num_features", _with(MORT, SEQ) + """
+SELECT count(DISTINCT c) AS num_features FROM (SELECT unnest(codes) AS c FROM flat)""")
+
+# ---- multi-label metadata -----------------------------------------------------------
+
+META = """meta AS (
+  SELECT x.order_key, x.finding_labels, o.o_custkey AS patient_id FROM (
+    SELECT l.l_orderkey AS order_key, string_agg(DISTINCT p.p_type, '|' ORDER BY p.p_type) AS finding_labels
+    FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY l.l_orderkey) x
+  JOIN orders o ON o.o_orderkey = x.order_key),
+ex AS (SELECT order_key, unnest(string_split(finding_labels, '|')) AS label FROM meta),
+freq AS (SELECT label, count(*) AS n_cases FROM ex GROUP BY label HAVING count(*) >= 1000 AND label <> 'No Finding')"""
+
+sql("label_frequency", _with(META) + "SELECT label, n_cases FROM freq")
+
+sql("multilabel_indicators", _with(META) + """
+, hit AS (SELECT order_key, label FROM ex WHERE label IN (SELECT label FROM freq))
+PIVOT hit ON label USING count(*) GROUP BY order_key""")
+
+sql("weighted_sample", _with(META) + """
+, w AS (SELECT m.order_key, coalesce(h.weight, 0) AS weight FROM meta m LEFT JOIN
+        (SELECT order_key, count(*) AS weight FROM ex WHERE label IN (SELECT label FROM freq) GROUP BY order_key) h
+        ON m.order_key = h.order_key),
+tot AS (SELECT sum(weight) AS s FROM w)
+SELECT order_key, weight FROM w, tot
+ORDER BY -ln(""" + hash_unit_sql("order_key", "ws") + """) / (weight / tot.s + 0.04), order_key LIMIT 5000""")
+
+sql("stratified_split", _with(META) + """
+, b AS (SELECT order_key, substr(finding_labels, 1, 4) AS stratum, """ + hash_unit_sql("order_key", "strat") + """ AS h FROM meta),
+p AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY h, order_key) - 1 AS pos,
+             count(*) OVER (PARTITION BY stratum) AS n FROM b)
+SELECT order_key, stratum, CASE WHEN pos < floor(n * 0.2) THEN 'test' WHEN pos < floor(n * (0.2 + 0.2)) THEN 'valid'
+                                ELSE 'train' END AS split FROM p""")
+
+# ---- hash splits --------------------------------------------------------------------
+
+PTS = _with(*COHORT, LAB)
+
+sql("train_test_split", PTS + "SELECT patient_id, CASE WHEN " + hash_unit_sql("patient_id", "split")
+    + " <= 0.2 THEN 'test' ELSE 'train' END AS split FROM lab")
+
+sql("kfold_assign", PTS + "SELECT patient_id, CAST(floor(" + hash_unit_sql("patient_id", "kfold")
+    + " * 5) AS INTEGER) AS fold FROM lab")
+
+
+def _salted(expr: str, salt_expr: str) -> str:
+    return f"(('0x' || substr(md5({salt_expr} || {expr}::varchar), 1, 8))::ubigint / 4294967296.0)"
+
+
+sql("shuffle_split", PTS + """
+, it AS (SELECT CAST(i AS INTEGER) AS iteration, patient_id FROM lab, range(0, 5) t(i))
+SELECT iteration, patient_id, CASE WHEN """ + _salted("patient_id", "'ss' || CAST(iteration AS VARCHAR) || '-'")
+    + " < 0.2 THEN 'test' ELSE 'train' END AS split FROM it")
+
+sql("bagging_sample", PTS + """
+, it AS (SELECT CAST(i AS INTEGER) AS model_id, patient_id FROM lab, range(0, 5) t(i))
+SELECT model_id, patient_id FROM it WHERE """ + _salted("patient_id", "'bag' || CAST(model_id AS VARCHAR) || '-'") + " < 0.5")

@@ -55,3 +55,55 @@ def svmlight(spark: SparkSession, d: str) -> DataFrame:
 def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Round floating outputs so both engines agree despite summation order."""
     return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+# ---- phenotype / typed clinical tables ----------------------------------------------
+
+from ..operators.phenotype import LabRule, PhenotypeRules  # noqa: E402
+
+# Stand-in criteria for the orders profile (diagnosis codes "<p_name>.<p_size>",
+# medicines "<brand>-<size>", lab test = order priority).  They mirror the shape of the
+# diabetes rules: type-1 and type-2 codes share one family prefix, the glucose test is
+# a substring rule and the abnormal-lab rules mix >= and >.
+PROFILE_RULES = PhenotypeRules(
+    t1_dx=tuple(f"red widget.{s}" for s in range(1, 51, 2)),
+    t2_dx=tuple(f"red widget.{s}" for s in range(2, 51, 2)),
+    t1_med=tuple(f"brand#1-{s}" for s in range(1, 26)),
+    t2_med=tuple(f"brand#2-{s}" for s in range(1, 26)),
+    related_dx=("blue gear.7", "blue gear.8", "cold rod.13", "old plate.21", "hot bolt.30", "new ring.44"),
+    related_dx_prefix="red widget.",
+    glucose_substring="urgent",
+    abnormal_labs=(LabRule("1-urgent", ">=", 400000.0), LabRule("2-high", ">=", 420000.0),
+                   LabRule("3-medium", ">", 440000.0)),
+)
+CANDIDATE_LABS = ("1-urgent", "2-high")
+
+
+def pheno_inputs(spark: SparkSession, d: str):
+    return adapters.phenotype_inputs(spark, d)
+
+
+# ---- visit sequences ----------------------------------------------------------------
+
+SEQ_TRAIN_SALT = "seqsplit"
+SEQ_TEST_FRACTION = 0.2
+
+
+def seq_inputs(spark: SparkSession, d: str):
+    from ..functions.hashing import hash_unit
+    from ..operators import sequences
+
+    adm = adapters.admissions(spark, d)
+    dx = adapters.diagnoses_icd(spark, d)
+    train_adm = adm.filter(hash_unit("patient_id", SEQ_TRAIN_SALT) >= SEQ_TEST_FRACTION).select("hadm_id")
+    codemap = sequences.build_codemap(dx.join(train_adm, "hadm_id", "left_semi"))
+    visits = sequences.visit_codes(adm, dx, codemap)
+    seq_labels = mortality(spark, d).select("patient_id", "label")
+    flat = sequences.visit_sequences_flat(visits, seq_labels)
+    return adm, dx, codemap, visits, flat
+
+
+# ---- multi-label metadata -----------------------------------------------------------
+
+def label_meta(spark: SparkSession, d: str) -> DataFrame:
+    return adapters.order_label_strings(spark, d)

@@ -123,3 +123,176 @@ def q_svmlight_lines(spark, d):
 @register("svmlight_parse")
 def q_svmlight_parse(spark, d):
     return features.parse_svmlight(P.svmlight(spark, d))
+
+
+# ---- raw loading, phenotype ---------------------------------------------------------
+
+from ..operators import labels as lab_ops, phenotype as ph, sequences as seq, splits  # noqa: E402
+from ..sources import adapters, readers  # noqa: E402
+
+
+@register("load_labs_clean")
+def q_load_labs_clean(spark, d):
+    return readers.clean_lab_text(adapters.raw_lab_text(spark, d))
+
+
+@register("patient_universe")
+def q_patient_universe(spark, d):
+    dx, med, lab = P.pheno_inputs(spark, d)
+    return ph.patient_universe(dx, med, lab)
+
+
+@register("phenotype")
+def q_phenotype(spark, d):
+    dx, med, lab = P.pheno_inputs(spark, d)
+    return ph.phenotype(dx, med, lab, P.PROFILE_RULES)
+
+
+@register("abnormal_lab")
+def q_abnormal_lab(spark, d):
+    _, _, lab = P.pheno_inputs(spark, d)
+    return ph.abnormal_lab_patients(lab, P.PROFILE_RULES)
+
+
+@register("first_event_order")
+def q_first_event_order(spark, d):
+    _, med, _ = P.pheno_inputs(spark, d)
+    return ph.first_event_order(med, P.PROFILE_RULES)
+
+
+# ---- typed feature tuples -----------------------------------------------------------
+
+def _count_tuples(spark, d, candidates: bool = False):
+    dx, med, _ = P.pheno_inputs(spark, d)
+    if candidates:
+        r = P.PROFILE_RULES
+        cdx = spark.createDataFrame([(c,) for c in sorted(set(r.t1_dx + r.t2_dx + r.related_dx))], "feature_name string")
+        cmed = spark.createDataFrame([(c,) for c in sorted(set(r.t1_med + r.t2_med))], "feature_name string")
+        return features.count_features(dx, "code", F.broadcast(cdx)).unionByName(
+            features.count_features(med, "medicine", F.broadcast(cmed)))
+    return features.count_features(dx, "code").unionByName(features.count_features(med, "medicine"))
+
+
+def _lab_tuples(spark, d, candidates: bool = False):
+    _, _, lab = P.pheno_inputs(spark, d)
+    cl = None
+    if candidates:
+        cl = F.broadcast(spark.createDataFrame([(c,) for c in P.CANDIDATE_LABS], "feature_name string"))
+    return features.mean_features(lab, "test_name", "value", cl)
+
+
+@register("features_count")
+def q_features_count(spark, d):
+    return _count_tuples(spark, d)
+
+
+@register("features_lab_avg")
+def q_features_lab_avg(spark, d):
+    return P.rounded(_lab_tuples(spark, d), ["feature_value"])
+
+
+@register("features_filtered")
+def q_features_filtered(spark, d):
+    return P.rounded(_count_tuples(spark, d, True).unionByName(_lab_tuples(spark, d, True)), ["feature_value"])
+
+
+@register("feature_vectors")
+def q_feature_vectors(spark, d):
+    return features.feature_vector_text(_count_tuples(spark, d).unionByName(_lab_tuples(spark, d)))
+
+
+# ---- visit sequences ----------------------------------------------------------------
+
+@register("code_rollup")
+def q_code_rollup(spark, d):
+    dx = adapters.diagnoses_icd(spark, d)
+    return dx.select("icd9_code").distinct().select("icd9_code", seq.icd9_rollup(F.col("icd9_code")).alias("code"))
+
+
+@register("codemap")
+def q_codemap(spark, d):
+    return P.seq_inputs(spark, d)[2]
+
+
+@register("visit_sequences")
+def q_visit_sequences(spark, d):
+    flat = P.seq_inputs(spark, d)[4]
+    return flat.select("patient_id", "label", "visit_idx", F.array_join("codes", ",").alias("codes"))
+
+
+@register("visit_multihot")
+def q_visit_multihot(spark, d):
+    return seq.multihot_coordinates(P.seq_inputs(spark, d)[4])
+
+
+@register("padded_sequences")
+def q_padded_sequences(spark, d):
+    return seq.padded_batch(P.seq_inputs(spark, d)[4])
+
+
+@register("num_features")
+def q_num_features(spark, d):
+    return seq.num_features(P.seq_inputs(spark, d)[4])
+
+
+# ---- multi-label metadata -----------------------------------------------------------
+
+@register("label_frequency")
+def q_label_frequency(spark, d):
+    return lab_ops.label_frequency(P.label_meta(spark, d))
+
+
+@register("multilabel_indicators")
+def q_multilabel_indicators(spark, d):
+    meta = P.label_meta(spark, d)
+    return lab_ops.label_indicators(meta, lab_ops.label_frequency(meta), "order_key")
+
+
+def _weighted_meta(spark, d):
+    meta = P.label_meta(spark, d)
+    kept = lab_ops.label_frequency(meta)
+    hits = (meta.select("order_key", F.explode(F.split("finding_labels", r"\|")).alias("label"))
+            .join(kept.select("label"), "label", "left_semi")
+            .groupBy("order_key").agg(F.count(F.lit(1)).alias("weight")))
+    return meta.join(hits, "order_key", "left").select(
+        "order_key", "finding_labels", F.coalesce(F.col("weight"), F.lit(0)).alias("weight"))
+
+
+# Sample size of the registered weighted-sample query (the reference's 80000 is for a
+# 112k-row table; the driver tables at sf0.01 have ~15k orders).
+WEIGHTED_SAMPLE_N = 5000
+
+
+@register("weighted_sample")
+def q_weighted_sample(spark, d):
+    s = lab_ops.weighted_sample(_weighted_meta(spark, d), "order_key", "weight", n=WEIGHTED_SAMPLE_N)
+    return s.select("order_key", "weight")
+
+
+@register("stratified_split")
+def q_stratified_split(spark, d):
+    meta = P.label_meta(spark, d)
+    return lab_ops.stratified_split(meta, "order_key", F.substring("finding_labels", 1, 4)).select(
+        "order_key", "stratum", "split")
+
+
+# ---- hash splits --------------------------------------------------------------------
+
+@register("train_test_split")
+def q_train_test_split(spark, d):
+    return splits.train_test_split(P.labels(spark, d), "patient_id").select("patient_id", "split")
+
+
+@register("kfold_assign")
+def q_kfold_assign(spark, d):
+    return splits.kfold_assign(P.labels(spark, d), "patient_id", 5).select("patient_id", "fold")
+
+
+@register("shuffle_split")
+def q_shuffle_split(spark, d):
+    return splits.shuffle_split(P.labels(spark, d), "patient_id", 5, 0.2).select("iteration", "patient_id", "split")
+
+
+@register("bagging_sample")
+def q_bagging_sample(spark, d):
+    return splits.bagging_sample(P.labels(spark, d), "patient_id", 5, 0.5).select("model_id", "patient_id")

@@ -44,7 +44,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
     )
     p = read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("part_key"), "p_type", "p_brand", "p_name"
+        F.col("p_partkey").alias("part_key"), "p_type", "p_brand", "p_name", "p_size"
     )
     return l.join(o, "order_key").join(p, "part_key")
 
@@ -124,6 +124,7 @@ def raw_lab_text(spark: SparkSession, sf_dir: str, blank_fraction: float = 0.05)
     o = read_table(spark, sf_dir, "orders")
     num = F.format_number(F.col("o_totalprice"), 2)
     return o.select(
+        F.col("o_orderkey").alias("order_key"),
         F.col("o_custkey").cast("string").alias("Member_ID"),
         F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("Date_Resulted"),
         F.col("o_orderpriority").alias("Result_Name"),
@@ -157,3 +158,45 @@ def order_label_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_join(F.array_sort(F.collect_list("p_type")), "|").alias("finding_labels"))
     )
     return per_order.join(o, "order_key")
+
+
+def phenotype_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(diagnostic, medication, lab_result) with fine-grained codes for the phenotype rules.
+
+    diagnostic.code = "<p_name>.<p_size>" (family.subcode, like ICD-9 "250.01"),
+    medication.medicine = "<lower(p_brand)>-<p_size>", lab_result = the cleaned raw
+    lab export (test name = order priority, value = order total).
+    """
+    from .readers import clean_lab_text
+
+    ol = order_lines(spark, sf_dir)
+    diag = ol.select("patient_id", F.col("event_date").alias("date"),
+                     F.concat_ws(".", "p_name", F.col("p_size").cast("string")).alias("code"),
+                     "order_key", "line_number")
+    med = ol.select("patient_id", F.col("event_date").alias("date"),
+                    F.concat_ws("-", F.lower("p_brand"), F.col("p_size").cast("string")).alias("medicine"),
+                    "order_key", "line_number")
+    lab = clean_lab_text(raw_lab_text(spark, sf_dir), with_order_key=True)
+    return diag, med, lab
+
+
+def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ADMISSIONS stand-in: (patient_id, hadm_id, admit_time) = orders."""
+    return read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("patient_id"), F.col("o_orderkey").alias("hadm_id"),
+        F.col("o_orderdate").alias("admit_time"))
+
+
+def diagnoses_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DIAGNOSES_ICD stand-in: (hadm_id, icd9_code) per order line.
+
+    icd9_code = first letter of p_type ‖ p_size ‖ (p_partkey mod 10), e.g. "E115",
+    "S53", "L284": E-codes and numeric-like codes of several lengths.
+    """
+    l = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("hadm_id"),
+                                                    F.col("l_partkey").alias("part_key"))
+    p = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("part_key"),
+        F.concat(F.substring("p_type", 1, 1), F.col("p_size").cast("string"),
+                 F.pmod(F.col("p_partkey"), F.lit(10)).cast("string")).alias("icd9_code"))
+    return l.join(p, "part_key").select("hadm_id", "icd9_code")
