@@ -160,10 +160,11 @@ POL = """pol AS (
   SELECT o.o_custkey AS patient_id, CAST(o.o_orderdate AS DATE) AS date, o.o_orderkey AS order_key,
          l.l_linenumber AS line_number, p.p_name, p.p_brand, p.p_size
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey),
-dx AS (SELECT patient_id, date, p_name || '.' || CAST(p_size AS VARCHAR) AS code FROM pol),
-med AS (SELECT patient_id, date, lower(p_brand) || '-' || CAST(p_size AS VARCHAR) AS medicine FROM pol),
+dx AS (SELECT patient_id, date, p_name || '.' || CAST(p_size AS VARCHAR) AS code, order_key, line_number FROM pol),
+med AS (SELECT patient_id, date, lower(p_brand) || '-' || CAST(p_size AS VARCHAR) AS medicine, order_key, line_number
+        FROM pol),
 labr AS (SELECT o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS date, lower(trim(o_orderpriority)) AS test_name,
-                round(o_totalprice, 2) AS value
+                round(o_totalprice, 2) AS value, o_orderkey AS order_key
          FROM orders WHERE NOT (""" + hash_unit_sql("o_orderkey", "blank") + """ < 0.05))"""
 
 ABNORMAL = " OR ".join(
@@ -335,3 +336,88 @@ SELECT iteration, patient_id, CASE WHEN """ + _salted("patient_id", "'ss' || CAS
 sql("bagging_sample", PTS + """
 , it AS (SELECT CAST(i AS INTEGER) AS model_id, patient_id FROM lab, range(0, 5) t(i))
 SELECT model_id, patient_id FROM it WHERE """ + _salted("patient_id", "'bag' || CAST(model_id AS VARCHAR) || '-'") + " < 0.5")
+
+
+# ---- graph --------------------------------------------------------------------------
+
+GRAPH = """gev AS (
+  SELECT 'diagnostic' AS kind, patient_id, code AS item, date, CAST(NULL AS DOUBLE) AS value, order_key, line_number FROM dx
+  UNION ALL SELECT 'lab', patient_id, test_name, date, value, order_key, 0 FROM labr
+  UNION ALL SELECT 'medication', patient_id, medicine, date, CAST(NULL AS DOUBLE), order_key, line_number FROM med),
+lat AS (SELECT kind, patient_id, item, date, value, order_key, line_number FROM (
+  SELECT *, row_number() OVER (PARTITION BY kind, patient_id, item
+                               ORDER BY date DESC, order_key DESC, line_number DESC) AS rn FROM gev) WHERE rn = 1),
+pat AS (SELECT c_custkey AS patient_id FROM customer),
+itm AS (SELECT (SELECT max(patient_id) FROM pat) + row_number() OVER (ORDER BY kind, name) AS vertex_id, kind, name
+        FROM (SELECT DISTINCT kind, item AS name FROM lat)),
+ge AS (SELECT l.*, i.vertex_id FROM lat l JOIN itm i ON l.kind = i.kind AND l.item = i.name),
+edges AS (SELECT patient_id AS src, vertex_id AS dst, kind, date, value FROM ge
+          UNION ALL SELECT vertex_id, patient_id, kind, date, value FROM ge),
+pi AS (SELECT src AS patient_id, dst AS item_id FROM edges WHERE src IN (SELECT patient_id FROM pat)),
+s AS (SELECT min(patient_id) AS source_id FROM pi)"""
+
+sql("load_graph_events", _with(POL) + """
+SELECT 'diagnostic' AS kind, patient_id, code AS item, date, CAST(NULL AS DOUBLE) AS value FROM dx
+UNION ALL SELECT 'lab', patient_id, test_name, date, value FROM labr WHERE value IS NOT NULL
+UNION ALL SELECT 'medication', patient_id, medicine, date, CAST(NULL AS DOUBLE) FROM med""")
+
+sql("latest_event", _with(POL, GRAPH) + "SELECT * FROM lat")
+
+sql("graph_vertices", _with(POL, GRAPH) + """
+SELECT patient_id AS vertex_id, 'patient' AS kind, CAST(patient_id AS VARCHAR) AS name FROM pat
+UNION ALL SELECT vertex_id, kind, name FROM itm""")
+
+sql("graph_edges", _with(POL, GRAPH) + "SELECT src, dst, kind, date, value FROM edges")
+
+sql("out_degree", _with(POL, GRAPH) + "SELECT src AS vertex_id, count(*) AS out_degree FROM edges GROUP BY src")
+
+sql("neighbor_sets", _with(POL, GRAPH) + """
+SELECT p.patient_id, CAST(coalesce(n.c, 0) AS BIGINT) AS n_neighbors, coalesce(n.s, '') AS neighbors
+FROM pat p LEFT JOIN (SELECT patient_id, count(*) AS c, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS s
+                      FROM pi GROUP BY patient_id) n ON p.patient_id = n.patient_id""")
+
+sql("jaccard_top10", _with(POL, GRAPH) + """
+, si AS (SELECT item_id FROM pi WHERE patient_id = (SELECT source_id FROM s)),
+sd AS (SELECT count(*) AS s_deg FROM si),
+inter AS (SELECT pi.patient_id, count(*) AS inter FROM pi JOIN si ON pi.item_id = si.item_id GROUP BY pi.patient_id),
+deg AS (SELECT patient_id, count(*) AS deg FROM pi GROUP BY patient_id),
+cand AS (
+  SELECT p.patient_id,
+         CASE WHEN coalesce(d.deg, 0) = 0 OR sd.s_deg = 0 THEN 0.0
+              ELSE coalesce(i.inter, 0) / (coalesce(d.deg, 0) + sd.s_deg - coalesce(i.inter, 0)) END AS similarity
+  FROM pat p LEFT JOIN deg d ON p.patient_id = d.patient_id LEFT JOIN inter i ON p.patient_id = i.patient_id, sd
+  WHERE p.patient_id <> (SELECT source_id FROM s))
+SELECT CAST(row_number() OVER (ORDER BY similarity DESC, patient_id) AS INTEGER) AS rank, patient_id,
+       round(similarity, 6) AS similarity
+FROM cand ORDER BY similarity DESC, patient_id LIMIT 10""")
+
+sql("jaccard_all_pairs", _with(POL, GRAPH) + """
+, deg AS (SELECT patient_id, count(*) AS deg FROM pi GROUP BY patient_id),
+sh AS (SELECT a.patient_id AS p1, b.patient_id AS p2, count(*) AS inter
+       FROM pi a JOIN pi b ON a.item_id = b.item_id AND a.patient_id < b.patient_id GROUP BY 1, 2)
+SELECT sh.p1 AS patient_id_1, sh.p2 AS patient_id_2, round(sh.inter / (d1.deg + d2.deg - sh.inter), 6) AS similarity
+FROM sh JOIN deg d1 ON sh.p1 = d1.patient_id JOIN deg d2 ON sh.p2 = d2.patient_id""")
+
+
+def _walk_sql(rounds: int = 100, alpha: float = 0.15) -> str:
+    keep = repr(1.0 - alpha)
+    ctes = ["""w AS (SELECT e.src, e.dst, 1.0 / d.c AS w FROM edges e JOIN (SELECT src, count(*) AS c FROM edges GROUP BY src) d
+       ON e.src = d.src)""",
+            """verts AS (SELECT patient_id AS vertex_id FROM pat UNION ALL SELECT vertex_id FROM itm)""",
+            """r0 AS (SELECT vertex_id, CASE WHEN vertex_id = (SELECT source_id FROM s) THEN 1.0 ELSE 0.0 END AS rank
+       FROM verts)"""]
+    for i in range(1, rounds + 1):
+        ctes.append(f"""r{i} AS (SELECT v.vertex_id,
+       CASE WHEN v.vertex_id = (SELECT source_id FROM s) THEN {alpha!r} ELSE 0.0 END + {keep} * coalesce(m.m, 0.0) AS rank
+       FROM verts v LEFT JOIN (SELECT w.dst, sum(r.rank * w.w) AS m FROM r{i - 1} r JOIN w ON r.vertex_id = w.src
+                               WHERE r.rank <> 0 GROUP BY w.dst) m ON v.vertex_id = m.dst)""")
+    body = ",\n".join(ctes)
+    return _with(POL, GRAPH) + ", " + body + f"""
+, cand AS (SELECT vertex_id AS patient_id, rank, round(rank, 12) AS rr FROM r{rounds}
+           WHERE vertex_id IN (SELECT patient_id FROM pat) AND vertex_id <> (SELECT source_id FROM s))
+SELECT CAST(row_number() OVER (ORDER BY rr DESC, patient_id) AS INTEGER) AS rank_pos, patient_id,
+       round(rank, 6) AS probability
+FROM cand ORDER BY rr DESC, patient_id LIMIT 10"""
+
+
+sql("random_walk", _walk_sql(100, 0.15))

@@ -107,3 +107,17 @@ def seq_inputs(spark: SparkSession, d: str):
 
 def label_meta(spark: SparkSession, d: str) -> DataFrame:
     return adapters.order_label_strings(spark, d)
+
+
+# ---- graph --------------------------------------------------------------------------
+
+def graph_inputs(spark: SparkSession, d: str):
+    """(patients, latest events, item vertices, edges) of the patient–item graph."""
+    from ..operators import graph
+
+    dx, med, lab = pheno_inputs(spark, d)
+    patients = adapters.graph_patients(spark, d, mortality(spark, d))
+    latest = graph.latest_events(dx, med, lab)
+    items = graph.item_vertices(latest, patients)
+    edges = graph.graph_edges(latest, items)
+    return patients, latest, items, edges

@@ -296,3 +296,73 @@ def q_shuffle_split(spark, d):
 @register("bagging_sample")
 def q_bagging_sample(spark, d):
     return splits.bagging_sample(P.labels(spark, d), "patient_id", 5, 0.5).select("model_id", "patient_id")
+
+
+# ---- graph --------------------------------------------------------------------------
+
+from ..operators import graph  # noqa: E402
+
+
+@register("load_graph_events")
+def q_load_graph_events(spark, d):
+    dx, med, lab = P.pheno_inputs(spark, d)
+    lab = lab.filter(F.col("value").isNotNull())
+    return (dx.select(F.lit("diagnostic").alias("kind"), "patient_id", F.col("code").alias("item"), "date",
+                      F.lit(None).cast("double").alias("value"))
+            .unionByName(lab.select(F.lit("lab").alias("kind"), "patient_id", F.col("test_name").alias("item"),
+                                    "date", "value"))
+            .unionByName(med.select(F.lit("medication").alias("kind"), "patient_id",
+                                    F.col("medicine").alias("item"), "date", F.lit(None).cast("double").alias("value"))))
+
+
+@register("latest_event")
+def q_latest_event(spark, d):
+    return P.graph_inputs(spark, d)[1]
+
+
+@register("graph_vertices")
+def q_graph_vertices(spark, d):
+    patients, _, items, _ = P.graph_inputs(spark, d)
+    return graph.graph_vertices(patients, items)
+
+
+@register("graph_edges")
+def q_graph_edges(spark, d):
+    return P.graph_inputs(spark, d)[3]
+
+
+@register("out_degree")
+def q_out_degree(spark, d):
+    return graph.out_degree(P.graph_inputs(spark, d)[3])
+
+
+@register("neighbor_sets")
+def q_neighbor_sets(spark, d):
+    patients, _, _, edges = P.graph_inputs(spark, d)
+    return graph.neighbor_sets(edges, patients)
+
+
+@register("jaccard_top10")
+def q_jaccard_top10(spark, d):
+    patients, _, _, edges = P.graph_inputs(spark, d)
+    return graph.jaccard_one_vs_all(edges, patients, graph.source_patient(edges, patients), k=10)
+
+
+@register("jaccard_all_pairs")
+def q_jaccard_all_pairs(spark, d):
+    patients, _, _, edges = P.graph_inputs(spark, d)
+    return P.rounded(graph.jaccard_all_pairs(edges, patients), ["similarity"])
+
+
+@register("random_walk")
+def q_random_walk(spark, d):
+    patients, _, items, edges = P.graph_inputs(spark, d)
+    src = graph.source_patient(edges, patients)
+    rank = graph.random_walk(graph.graph_vertices(patients, items), edges, src, num_iter=100, alpha=0.15)
+    return graph.random_walk_top(rank, patients, src, k=10)
+
+
+@register("pic_clusters")
+def q_pic_clusters(spark, d):
+    patients, _, _, edges = P.graph_inputs(spark, d)
+    return graph.power_iteration_clusters(graph.jaccard_all_pairs(edges, patients), k=3, max_iter=100)
