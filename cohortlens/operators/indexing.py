@@ -47,3 +47,33 @@ def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx", start:
         .withColumn(index_col, (F.col(off) + F.col(pos) - 1 + F.lit(start)).cast("bigint"))
         .drop(pid, pos, off)
     )
+
+
+def prefix_sums(df: DataFrame, order_cols: list, sum_cols: list[str], group_cols: list[str] | None = None,
+                inclusive: bool = True, suffix: str = "_cum", num_partitions: int | None = None) -> DataFrame:
+    """Running sums of ``sum_cols`` in ``order_cols`` order (inside ``group_cols``).
+
+    Same scheme as :func:`dense_index`: local running sums inside range partitions plus
+    per-partition offsets.  ``inclusive=False`` gives the sum over strictly earlier rows.
+    Rows should be unique in the ordering (aggregate ties first).
+    """
+    spark = df.sparkSession
+    groups = list(group_cols or [])
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordering = [F.col(g) for g in groups] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    ensure_checkpoint_dir(spark)
+    pid = "__ps_pid"
+    ranged = df.repartitionByRange(n, *ordering).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
+    frame = Window.partitionBy(pid, *groups).orderBy(*ordering[len(groups):]).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1)
+    local = ranged.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"__loc_{c}") for c in sum_cols])
+    totals = ranged.groupBy(pid, *groups).agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
+    before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(pid, *groups, *[F.coalesce(F.sum(f"__tot_{c}").over(before), F.lit(0)).alias(f"__off_{c}")
+                                            for c in sum_cols])
+    if not groups:
+        offsets = F.broadcast(offsets)
+    out = local.join(offsets, [pid, *groups])
+    for c in sum_cols:
+        out = out.withColumn(f"{c}{suffix}", F.col(f"__off_{c}") + F.col(f"__loc_{c}"))
+    return out.drop(pid, *[f"__loc_{c}" for c in sum_cols], *[f"__off_{c}" for c in sum_cols])

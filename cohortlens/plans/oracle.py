@@ -421,3 +421,76 @@ FROM cand ORDER BY rr DESC, patient_id LIMIT 10"""
 
 
 sql("random_walk", _walk_sql(100, 0.15))
+
+
+# ---- metrics ------------------------------------------------------------------------
+
+EMB = """emb AS (SELECT vec_id, label AS y_true,
+                   CAST(floor(""" + hash_unit_sql("vec_id", "pred") + """ * 10) AS INTEGER) AS y_pred FROM embeddings)"""
+DOCS = """sd AS (SELECT l.doc_id, l.quality AS y_true, d.n_chars AS score FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+sg AS (SELECT score AS threshold, sum(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS pos,
+              sum(CASE WHEN y_true = 1 THEN 0 ELSE 1 END) AS neg FROM sd GROUP BY score)"""
+
+sql("purity", _with(EMB) + """
+, c AS (SELECT y_pred, y_true, count(*) AS n FROM emb GROUP BY 1, 2),
+k AS (SELECT y_pred, max(n) AS best, sum(n) AS size FROM c GROUP BY y_pred)
+SELECT round(sum(best) / sum(size), 6) AS purity FROM k""")
+
+sql("confusion_matrix", _with(EMB) + """
+, c AS (SELECT y_true, y_pred, count(*) AS n FROM emb GROUP BY 1, 2)
+SELECT y_true, y_pred, n, round(n / sum(n) OVER (PARTITION BY y_true), 6) AS fraction FROM c""")
+
+sql("classification_metrics", _with(DOCS) + f"""
+, c AS (SELECT count(*) FILTER (WHERE y_true = 1 AND score >= {1500}) AS tp,
+               count(*) FILTER (WHERE y_true <> 1 AND score >= {1500}) AS fp,
+               count(*) FILTER (WHERE y_true = 1 AND score < {1500}) AS fn,
+               count(*) FILTER (WHERE y_true <> 1 AND score < {1500}) AS tn FROM sd)
+SELECT tp, fp, fn, tn, round((tp + tn) / NULLIF(tp + fp + fn + tn, 0), 6) AS accuracy,
+       round(tp / NULLIF(tp + fp, 0), 6) AS precision, round(tp / NULLIF(tp + fn, 0), 6) AS recall,
+       round(2 * (tp / NULLIF(tp + fp, 0)) * (tp / NULLIF(tp + fn, 0))
+             / NULLIF((tp / NULLIF(tp + fp, 0)) + (tp / NULLIF(tp + fn, 0)), 0), 6) AS f1 FROM c""")
+
+sql("roc_curve", _with(DOCS) + """
+, t AS (SELECT sum(pos) AS p, sum(neg) AS n FROM sg)
+SELECT threshold, round(sum(pos) OVER w / t.p, 6) AS tpr, round(sum(neg) OVER w / t.n, 6) AS fpr
+FROM sg, t WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+sql("roc_auc", _with(DOCS) + """
+, b AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY threshold ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+        FROM sg)
+SELECT round(sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc FROM b""")
+
+sql("running_weighted_avg", """
+SELECT event_id, round(sum(value * k) OVER w / sum(k) OVER w, 6) AS running_avg
+FROM (SELECT event_id, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events)
+WINDOW w AS (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+# ---- ML (SQL-expressible parts) -----------------------------------------------------
+
+sql("vector_rows", """
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n_dims,
+       round(sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))),
+                              lambda a, b: a + b)), 6) AS l2_norm
+FROM embeddings""")
+
+sql("standardize", """
+WITH x AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
+                  CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT vec_id, dim, round((v - avg(v) OVER (PARTITION BY dim)) / stddev_samp(v) OVER (PARTITION BY dim), 6) AS value
+FROM x""")
+
+ENS = """wts AS (SELECT CAST(m AS INTEGER) AS model_id, f.idx AS feature_id,
+                   """ + _salted("f.idx", "'w' || CAST(m AS VARCHAR) || '-'") + """ - 0.5 AS weight
+            FROM fmap f, range(0, 5) t(m)),
+dots AS (SELECT n.patient_id, w.model_id, sum(n.feature_value * w.weight) AS z
+         FROM norm n JOIN wts w ON n.feature_id = w.feature_id GROUP BY 1, 2),
+grid AS (SELECT p.patient_id, CAST(m AS INTEGER) AS model_id FROM (SELECT DISTINCT patient_id FROM norm) p, range(0, 5) t(m)),
+zz AS (SELECT g.patient_id, coalesce(d.z, 0.0) AS z FROM grid g LEFT JOIN dots d
+       ON g.patient_id = d.patient_id AND g.model_id = d.model_id),
+ens AS (SELECT patient_id, avg(CASE WHEN z < 0 THEN 1.0 - 1.0 / (1.0 + exp(z)) ELSE 1.0 / (1.0 + exp(-z)) END) AS score
+        FROM zz GROUP BY patient_id)"""
+
+sql("ensemble_score", _with(*FEAT, AGG, NORM, ENS) + "SELECT patient_id, round(score, 6) AS score FROM ens")
+
+sql("submission", _with(*FEAT, AGG, NORM, ENS) + """
+SELECT patient_id, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM ens""")

@@ -121,3 +121,42 @@ def graph_inputs(spark: SparkSession, d: str):
     items = graph.item_vertices(latest, patients)
     edges = graph.graph_edges(latest, items)
     return patients, latest, items, edges
+
+
+# ---- metrics / ML inputs ------------------------------------------------------------
+
+N_MODELS = 5          # bagged SGD models (the reference stores five model parts)
+BAG_RATIO = 0.5
+PRED_THRESHOLD_CHARS = 1500   # stand-in binary classifier: n_chars >= threshold
+
+
+def scored_docs(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, y_true = labels.quality, score = documents.n_chars)."""
+    from ..sources.tables import read_table
+    docs = read_table(spark, d, "documents").select("doc_id", "n_chars")
+    lab = read_table(spark, d, "labels").select("doc_id", "quality")
+    return lab.join(docs, "doc_id").select("doc_id", F.col("quality").alias("y_true"), F.col("n_chars").alias("score"))
+
+
+def embedding_rows(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.ml import vector_rows
+    from ..sources.tables import read_table
+    return vector_rows(read_table(spark, d, "embeddings"))
+
+
+def training_frame(df: DataFrame) -> DataFrame:
+    """Materialise an iterative algorithm's input once (reliable checkpoint), so every
+    optimiser pass reads the stored rows instead of recomputing the ETL lineage."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def patient_feature_rows(spark: SparkSession, d: str) -> DataFrame:
+    """(patient_id, label, features SparseVector) for the classifiers."""
+    from ..operators.ml import sparse_feature_rows
+    return training_frame(sparse_feature_rows(normalized(spark, d), labels(spark, d)))
+
+
+def patient_lists(spark: SparkSession, d: str) -> DataFrame:
+    return features.patient_feature_lists(normalized(spark, d))

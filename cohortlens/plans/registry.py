@@ -366,3 +366,197 @@ def q_random_walk(spark, d):
 def q_pic_clusters(spark, d):
     patients, _, _, edges = P.graph_inputs(spark, d)
     return graph.power_iteration_clusters(graph.jaccard_all_pairs(edges, patients), k=3, max_iter=100)
+
+
+# ---- metrics ------------------------------------------------------------------------
+
+from ..functions.hashing import hash_unit  # noqa: E402
+from ..operators import ensemble, metrics, ml  # noqa: E402
+
+
+def _pred_embeddings(spark, d):
+    e = P.embedding_rows(spark, d)
+    return e.select("vec_id", F.col("label").alias("y_true"),
+                    F.floor(hash_unit("vec_id", "pred") * 10).cast("int").alias("y_pred"))
+
+
+@register("purity")
+def q_purity(spark, d):
+    e = _pred_embeddings(spark, d)
+    return P.rounded(metrics.purity(e.select(F.col("y_pred").alias("cluster"), F.col("y_true").alias("class"))),
+                     ["purity"])
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, d):
+    return P.rounded(metrics.confusion_matrix(_pred_embeddings(spark, d)), ["fraction"])
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, d):
+    s = P.scored_docs(spark, d).withColumn(
+        "y_pred", F.when(F.col("score") >= P.PRED_THRESHOLD_CHARS, 1).otherwise(0))
+    return P.rounded(metrics.binary_metrics(s), ["accuracy", "precision", "recall", "f1"])
+
+
+@register("roc_curve")
+def q_roc_curve(spark, d):
+    return P.rounded(metrics.roc_curve(P.scored_docs(spark, d)), ["tpr", "fpr"])
+
+
+@register("roc_auc")
+def q_roc_auc(spark, d):
+    return P.rounded(metrics.roc_auc(P.scored_docs(spark, d)), ["auc"])
+
+
+@register("running_weighted_avg")
+def q_running_weighted_avg(spark, d):
+    e = adapters.event_stream_events(spark, d)
+    out = metrics.running_weighted_average(e.select("seq", "value", "k"), ["seq"], "value", "k")
+    return P.rounded(out.select(F.col("seq").alias("event_id"), "running_avg"), ["running_avg"])
+
+
+# ---- ML -----------------------------------------------------------------------------
+
+@register("vector_rows")
+def q_vector_rows(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    e = P.embedding_rows(spark, d)
+    arr = vector_to_array("features")
+    return e.select("vec_id", "label", F.size(arr).alias("n_dims"),
+                    F.round(F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)), 6).alias("l2_norm"))
+
+
+@register("standardize")
+def q_standardize(spark, d):
+    s = ml.standardize(P.embedding_rows(spark, d))
+    return P.rounded(ml.vector_coordinates(s, "vec_id", "scaled"), ["value"])
+
+
+def _pca(spark, d):
+    return P.training_frame(ml.pca(ml.standardize(P.embedding_rows(spark, d)), k=10))
+
+
+@register("pca")
+def q_pca(spark, d):
+    return P.rounded(ml.vector_coordinates(_pca(spark, d), "vec_id", "pca"), ["value"])
+
+
+@register("kmeans_purity")
+def q_kmeans_purity(spark, d):
+    return ml.cluster_purity(_pca(spark, d), "kmeans", k=3, max_iter=20)
+
+
+@register("gmm_purity")
+def q_gmm_purity(spark, d):
+    return ml.cluster_purity(_pca(spark, d), "gmm", k=3, max_iter=20)
+
+
+def _streaming_assign(spark, d, vec_col="embedding", dims=None):
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.tables import read_table
+    from ..streaming.kmeans import StreamingKMeansState, assign, run_streaming_kmeans
+
+    schema = read_table(spark, d, "embeddings").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(d)
+    if dims is not None:
+        stream = stream.withColumn(vec_col, F.slice(vec_col, 1, dims))
+    dim = dims or 64
+    state = StreamingKMeansState.random(k=3, dim=dim, weight=0.5, seed=ml.SEED, decay=1.0)
+    ckpt = ensure_checkpoint_dir(spark).rstrip("/") + f"/streaming-kmeans-{uuid.uuid4().hex}"
+    run_streaming_kmeans(stream.select("vec_id", "label", vec_col), vec_col, state, ckpt)
+    static = read_table(spark, d, "embeddings")
+    if dims is not None:
+        static = static.withColumn(vec_col, F.slice(vec_col, 1, dims))
+    return assign(static.select("vec_id", "label", vec_col), vec_col, state)
+
+
+@register("streaming_kmeans")
+def q_streaming_kmeans(spark, d):
+    return _streaming_assign(spark, d).select("vec_id", "label", "cluster")
+
+
+@register("clustering_report")
+def q_clustering_report(spark, d):
+    """Purity of k-means, Gaussian mixture and streaming k-means on all 64 dimensions
+    and on a filtered view (first 32 dimensions)."""
+    out = None
+    for name, dims in (("all", None), ("filtered", 32)):
+        e = P.embedding_rows(spark, d)
+        if dims:
+            e = ml.vector_rows(e.withColumn("embedding", F.slice("embedding", 1, dims)))
+        p = P.training_frame(ml.pca(ml.standardize(e), k=10))
+        parts = [ml.cluster_purity(p, "kmeans", k=3, max_iter=20), ml.cluster_purity(p, "gmm", k=3, max_iter=20),
+                 metrics.purity(_streaming_assign(spark, d, dims=dims).select("cluster", F.col("label").alias("class")))
+                 .select(F.lit("streaming").alias("model"), "purity")]
+        for part in parts:
+            part = part.select(F.lit(name).alias("feature_set"), "model", "purity")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("mlp_predict")
+def q_mlp_predict(spark, d):
+    e = P.training_frame(P.embedding_rows(spark, d))
+    train = e.filter(hash_unit("vec_id", "mlp") >= 0.2)
+    return ml.mlp_predict(train, e, n_inputs=64, n_classes=10)
+
+
+def _split_rows(spark, d):
+    rows = P.patient_feature_rows(spark, d)
+    return rows, rows.filter(hash_unit("patient_id", "split") > 0.2)
+
+
+@register("lr_predict")
+def q_lr_predict(spark, d):
+    rows, train = _split_rows(spark, d)
+    return ml.fit_predict(train, rows, "lr")
+
+
+@register("svm_predict")
+def q_svm_predict(spark, d):
+    rows, train = _split_rows(spark, d)
+    return ml.fit_predict(train, rows, "svm")
+
+
+@register("tree_predict")
+def q_tree_predict(spark, d):
+    rows, train = _split_rows(spark, d)
+    return ml.fit_predict(train, rows, "tree")
+
+
+@register("kfold_cv")
+def q_kfold_cv(spark, d):
+    rows = splits.kfold_assign(P.patient_feature_rows(spark, d), "patient_id", 5)
+    return ml.kfold_cv(rows, "fold", 5, "lr")
+
+
+@register("voting_ensemble")
+def q_voting_ensemble(spark, d):
+    rows, train = _split_rows(spark, d)
+    return ml.voting_ensemble(train, rows)
+
+
+@register("sgd_weights")
+def q_sgd_weights(spark, d):
+    bag = splits.bagging_sample(P.labels(spark, d), "patient_id", P.N_MODELS, P.BAG_RATIO)
+    rows = bag.join(P.patient_lists(spark, d), "patient_id").select(
+        "model_id", "patient_id", F.col("is_dead").alias("label"), "features")
+    return ensemble.sgd_train(rows, eta=0.01, mu=0.0, shards=1)
+
+
+def _ensemble_scores(spark, d):
+    w = ensemble.hash_weights(P.feature_map(spark, d), P.N_MODELS)
+    return ensemble.ensemble_score(P.patient_lists(spark, d), w, P.N_MODELS)
+
+
+@register("ensemble_score")
+def q_ensemble_score(spark, d):
+    return P.rounded(_ensemble_scores(spark, d), ["score"])
+
+
+@register("submission")
+def q_submission(spark, d):
+    return _ensemble_scores(spark, d).select("patient_id", ensemble.decide("score").alias("prediction"))
