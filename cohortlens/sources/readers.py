@@ -25,7 +25,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
              drop_malformed: bool = False, sep: str = ",") -> DataFrame:
     """CSV with a declared schema.  With ``drop_malformed`` rows of the wrong shape are
     dropped whatever columns are later selected (CSV column pruning is switched off
-    for this read so that the select list cannot change which rows survive).
+    for this read so that the select list cannot change which rows survive).  A bare
+    ``count()`` that selects no column at all skips CSV parsing in Spark and therefore
+    cannot see malformed rows; select any column to count parsed rows.
     """
     reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("dateFormat", "yyyy-MM-dd")
     if drop_malformed:
