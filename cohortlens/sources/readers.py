@@ -23,17 +23,26 @@ FEATURE_MAP_SCHEMA = T.StructType([T.StructField("idx", T.IntegerType()), T.Stru
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
              drop_malformed: bool = False, sep: str = ",") -> DataFrame:
-    """CSV with a declared schema.  With ``drop_malformed`` rows of the wrong shape are
-    dropped whatever columns are later selected (CSV column pruning is switched off
-    for this read so that the select list cannot change which rows survive).  A bare
-    ``count()`` that selects no column at all skips CSV parsing in Spark and therefore
-    cannot see malformed rows; select any column to count parsed rows.
+    """CSV with a declared schema.
+
+    With ``drop_malformed`` a row is dropped when it has the wrong number of fields or
+    when any field does not convert to its declared type — whatever columns are later
+    selected.  (Spark's own DROPMALFORMED only converts the columns a query reads, so
+    its result depends on the select list.)  All fields are read as text, the token
+    count is checked by the parser (column pruning off for this read), and one filter
+    over every column keeps the rows whose non-empty fields all convert.
     """
-    reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("dateFormat", "yyyy-MM-dd")
-    if drop_malformed:
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-        reader = reader.option("mode", "DROPMALFORMED")
-    return reader.csv(path)
+    reader = spark.read.option("header", header).option("sep", sep)
+    if not drop_malformed:
+        return reader.schema(schema).option("dateFormat", "yyyy-MM-dd").csv(path)
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = reader.schema(text_schema).option("mode", "DROPMALFORMED").csv(path)
+    typed = [F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name) for f in schema.fields]
+    ok = F.lit(True)
+    for f, t in zip(schema.fields, typed):
+        ok = ok & (F.col(f.name).isNull() | F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").isNotNull())
+    return raw.filter(ok).select(*typed)
 
 
 def table_name_from_path(path: str) -> str:
