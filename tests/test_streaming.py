@@ -21,7 +21,7 @@ def test_update_matches_mllib(spark):
     ours.update(sums, counts)
     ref = StreamingKMeansModel([Vectors.dense(c) for c in init], [0.5, 0.5, 0.5])
     ref = ref.update(spark.sparkContext.parallelize([Vectors.dense(p) for p in pts]), 1.0, "batches")
-    assert np.allclose(ours.centers, np.array([c.toArray() for c in ref.centers]), atol=1e-9)
+    assert np.allclose(ours.centers, np.array([np.asarray(c, dtype=float) for c in ref.centers]), atol=1e-9)
     assert np.allclose(ours.weights, np.array(ref.clusterWeights), atol=1e-9)
 
 
