@@ -41,9 +41,17 @@ def _sgd_pass(eta: float, mu: float):
     return run
 
 
-def sgd_train(bagged: DataFrame, eta: float = 0.01, mu: float = 0.0, shards: int = 1,
-              key: str = "patient_id") -> DataFrame:
-    """(model_id, feature_id, weight) from rows (model_id, key, label, features array<struct>)."""
+def sgd_train(bagged: DataFrame, eta: float = 0.01, mu: float = 0.0, shards: int | None = None,
+              key: str = "patient_id", max_rows_per_shard: int = 1_000_000) -> DataFrame:
+    """(model_id, feature_id, weight) from rows (model_id, key, label, features array<struct>).
+
+    ``shards=None`` sizes the split from the data: the largest bag is divided so that no
+    group exceeds ``max_rows_per_shard`` rows (one shard — the exact sequential pass —
+    whenever the bag fits).
+    """
+    if shards is None:
+        biggest = bagged.groupBy("model_id").count().agg(F.max("count")).first()[0] or 0
+        shards = max(1, math.ceil(biggest / max_rows_per_shard))
     rows = bagged.select(
         F.col("model_id").cast("int").alias("model_id"), F.col(key).alias("row_key"),
         F.col("label").cast("double").alias("label"), "features",

@@ -38,17 +38,23 @@ def label_indicators(df: DataFrame, kept: DataFrame, key: str, col: str = "findi
 
 
 def weighted_sample(df: DataFrame, key: str, weight: str, n: int = SAMPLE_SIZE,
-                    offset: float = WEIGHT_OFFSET, salt: str = "ws") -> DataFrame:
+                    offset: float = WEIGHT_OFFSET, salt: str = "ws", top_n_limit: int = 20000) -> DataFrame:
     """Weighted sample without replacement of ``n`` rows (Efraimidis–Spirakis).
 
     w = weight / Σweight + offset; row key = −ln(u)/w with u a hash of the id, and the
-    n smallest keys are kept (a top-n, so only n rows per task reach the final merge).
+    n smallest keys are kept.  For n up to ``top_n_limit`` this is a top-n (each task
+    keeps n rows, one task merges partitions × n rows); for larger n every row gets its
+    position from the range-partitioned dense index and the first n are kept, so no
+    task ever holds more than a range partition.
     """
     total = df.agg(F.sum(weight).alias("_tot")).withColumn("_k", F.lit(1))
     w = F.col(weight) / F.col("_tot") + F.lit(offset)
     keyed = df.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").withColumn(
-        "sample_key", -F.log(hash_unit(key, salt)) / w)
-    return keyed.orderBy("sample_key", key).limit(n).drop("_k", "_tot")
+        "sample_key", -F.log(hash_unit(key, salt)) / w).drop("_k", "_tot")
+    if n <= top_n_limit:
+        return keyed.orderBy("sample_key", key).limit(n)
+    ranked = dense_index(keyed, ["sample_key", key], "_pos")
+    return ranked.filter(F.col("_pos") < n).drop("_pos")
 
 
 def stratified_split(df: DataFrame, key: str, stratum, fractions=(0.2, 0.2), salt: str = "strat") -> DataFrame:

@@ -544,7 +544,7 @@ def q_sgd_weights(spark, d):
     bag = splits.bagging_sample(P.labels(spark, d), "patient_id", P.N_MODELS, P.BAG_RATIO)
     rows = bag.join(P.patient_lists(spark, d), "patient_id").select(
         "model_id", "patient_id", F.col("is_dead").alias("label"), "features")
-    return ensemble.sgd_train(rows, eta=0.01, mu=0.0, shards=1)
+    return ensemble.sgd_train(rows, eta=0.01, mu=0.0)
 
 
 def _ensemble_scores(spark, d):

@@ -36,3 +36,19 @@ def test_ensemble_score(spark):
     assert abs(got[1] - (sig(1.0) + sig(0.25)) / 2) < 1e-12
     assert abs(got[2] - (sig(-2.0) + 0.5) / 2) < 1e-12
     assert abs(got[3] - (sig(0.2 - 0.8) + sig(0.5)) / 2) < 1e-12
+
+
+def test_sgd_sharded_is_average_of_shard_passes(spark):
+    from pyspark.sql import functions as F
+    from cohortlens.functions.hashing import hash_unit
+    r = _rows(spark).withColumn("model_id", F.lit(0))
+    shard_of = {x.patient_id: x.s for x in r.select("patient_id", F.floor(hash_unit("patient_id", "shard") * 2)
+                                                         .cast("int").alias("s")).collect()}
+    data = {1: ([(0, 1.0), (2, 0.5)], 1), 2: ([(1, 1.0)], 0), 3: ([(0, 0.2), (1, 0.4), (2, 1.0)], 1)}
+    want = {}
+    for s in (0, 1):
+        w = _reference_pass([data[p] for p in sorted(data) if shard_of[p] == s], 0.1, 0.0)
+        for f, v in w.items():
+            want[f] = want.get(f, 0.0) + v / 2
+    got = {f: w for _, f, w in rows(ensemble.sgd_train(r, eta=0.1, mu=0.0, shards=2))}
+    assert set(got) == set(want) and all(abs(got[f] - want[f]) < 1e-15 for f in want)

@@ -48,3 +48,11 @@ def test_hash_splits(spark):
     bag = splits.bagging_sample(df, "patient_id", 4, 0.5)
     per = {r.model_id: r["count"] for r in bag.groupBy("model_id").count().collect()}
     assert set(per) == {0, 1, 2, 3} and all(800 < v < 1200 for v in per.values())
+
+
+def test_weighted_sample_large_n_uses_distributed_ranking(spark):
+    from pyspark.sql import functions as F
+    m = _meta(spark).withColumn("w", F.col("order_key") % 3 + 1.0)
+    small = {r.order_key for r in lab.weighted_sample(m, "order_key", "w", n=7).collect()}
+    big = {r.order_key for r in lab.weighted_sample(m, "order_key", "w", n=7, top_n_limit=0).collect()}
+    assert small == big and len(big) == 7
