@@ -117,7 +117,8 @@ def graph_inputs(spark: SparkSession, d: str):
 
     dx, med, lab = pheno_inputs(spark, d)
     patients = adapters.graph_patients(spark, d, mortality(spark, d))
-    latest = graph.latest_events(dx, med, lab)
+    # read twice (item vertices and edges): materialised once instead of recomputed
+    latest = training_frame(graph.latest_events(dx, med, lab))
     items = graph.item_vertices(latest, patients)
     edges = graph.graph_edges(latest, items)
     return patients, latest, items, edges
