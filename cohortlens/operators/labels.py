@@ -48,7 +48,8 @@ def weighted_sample(df: DataFrame, key: str, weight: str, n: int = SAMPLE_SIZE,
     task ever holds more than a range partition.
     """
     total = df.agg(F.sum(weight).alias("_tot")).withColumn("_k", F.lit(1))
-    w = F.col(weight) / F.col("_tot") + F.lit(offset)
+    # all-zero weights (no label kept) leave only the offset: a uniform sample
+    w = F.coalesce(F.try_divide(F.col(weight).cast("double"), F.col("_tot").cast("double")), F.lit(0.0)) + F.lit(offset)
     keyed = df.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").withColumn(
         "sample_key", -F.log(hash_unit(key, salt)) / w).drop("_k", "_tot")
     if n <= top_n_limit:

@@ -294,9 +294,12 @@ freq AS (SELECT label, count(*) AS n_cases FROM ex GROUP BY label HAVING count(*
 
 sql("label_frequency", _with(META) + "SELECT label, n_cases FROM freq")
 
+# A dynamic PIVOT resolves its value list on its own source, so the source carries its own WITH.
 sql("multilabel_indicators", _with(META) + """
-, hit AS (SELECT order_key, label FROM ex WHERE label IN (SELECT label FROM freq))
-PIVOT hit ON label USING count(*) GROUP BY order_key""")
+SELECT k AS order_key, COALESCE(COLUMNS(* EXCLUDE (k, order_key)), 0) FROM (
+  SELECT m.order_key AS k, pv.* FROM meta m LEFT JOIN (
+    PIVOT (""" + _with(META) + """ SELECT order_key, label FROM ex WHERE label IN (SELECT label FROM freq))
+    ON label USING count(*) GROUP BY order_key) pv ON m.order_key = pv.order_key)""")
 
 sql("weighted_sample", _with(META) + """
 , w AS (SELECT m.order_key, coalesce(h.weight, 0) AS weight FROM meta m LEFT JOIN
@@ -304,7 +307,8 @@ sql("weighted_sample", _with(META) + """
         ON m.order_key = h.order_key),
 tot AS (SELECT sum(weight) AS s FROM w)
 SELECT order_key, weight FROM w, tot
-ORDER BY -ln(""" + hash_unit_sql("order_key", "ws") + """) / (weight / tot.s + 0.04), order_key LIMIT 5000""")
+ORDER BY -ln(""" + hash_unit_sql("order_key", "ws") + """) / (coalesce(weight / NULLIF(tot.s, 0), 0.0) + 0.04), order_key
+LIMIT 5000""")
 
 sql("stratified_split", _with(META) + """
 , b AS (SELECT order_key, substr(finding_labels, 1, 4) AS stratum, """ + hash_unit_sql("order_key", "strat") + """ AS h FROM meta),
