@@ -155,15 +155,13 @@ def _to_sparse(size, pairs):
 def feature_vectors(tuples: DataFrame) -> DataFrame:
     """(patient_id, features: SparseVector) from (patient_id, feature_name, feature_value).
 
-    The dictionary size comes from a one-row aggregate joined on a constant key.  The
-    vector itself is assembled by a small per-row helper (Spark has no built-in that
+    The dictionary size is a scalar subquery.  The vector itself is assembled by a small per-row helper (Spark has no built-in that
     builds a sparse vector from index/value arrays); all grouping happens in SQL.
     """
     from pyspark.ml.linalg import VectorUDT
 
     indexed, vocab = index_feature_tuples(tuples)
-    size = vocab.agg(F.count(F.lit(1)).alias("vec_size")).withColumn("_k", F.lit(1))
-    lists = patient_feature_lists(indexed).withColumn("_k", F.lit(1)).join(F.broadcast(size), "_k")
+    lists = patient_feature_lists(indexed).withColumn("vec_size", vocab.agg(F.count(F.lit(1))).scalar())
     to_vec = F.udf(_to_sparse, VectorUDT())
     return lists.select("patient_id", to_vec("vec_size", "features").alias("features"))
 
@@ -171,8 +169,7 @@ def feature_vectors(tuples: DataFrame) -> DataFrame:
 def feature_vector_text(tuples: DataFrame, digits: int = 6) -> DataFrame:
     """(patient_id, vec_size, nnz, features text): the coordinate form of :func:`feature_vectors`."""
     indexed, vocab = index_feature_tuples(tuples)
-    size = vocab.agg(F.count(F.lit(1)).alias("vec_size")).withColumn("_k", F.lit(1))
-    lists = patient_feature_lists(indexed).withColumn("_k", F.lit(1)).join(F.broadcast(size), "_k")
+    lists = patient_feature_lists(indexed).withColumn("vec_size", vocab.agg(F.count(F.lit(1))).scalar())
     return lists.select(
         "patient_id", "vec_size", F.size("features").cast("bigint").alias("nnz"),
         format_pairs("features", digits=digits).alias("features"))

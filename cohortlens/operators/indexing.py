@@ -38,17 +38,33 @@ def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx", start:
         pos, F.row_number().over(Window.partitionBy(pid, *groups).orderBy(*ordering[len(groups):]))
     )
     counts = ranged.groupBy(pid, *groups).agg(F.count(F.lit(1)).alias(cnt))
-    before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(pid, *groups, F.coalesce(F.sum(cnt).over(before), F.lit(0)).alias(off))
-    if not groups:
-        offsets = F.broadcast(offsets)  # one row per partition: a proven size bound
+    if groups:
+        before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(pid, *groups, F.coalesce(F.sum(cnt).over(before), F.lit(0)).alias(off))
+        joined = local.join(offsets, [pid, *groups])
+    else:
+        # one count per range partition (as zipWithIndex does): the offsets become a literal array
+        joined = local.withColumn(off, _partition_offsets(counts, pid, cnt, n))
     return (
-        local.join(offsets, [pid, *groups])
-        .withColumn(index_col, (F.col(off) + F.col(pos) - 1 + F.lit(start)).cast("bigint"))
+        joined.withColumn(index_col, (F.col(off) + F.col(pos) - 1 + F.lit(start)).cast("bigint"))
         .drop(pid, pos, off)
     )
 
 
+def _partition_offsets(counts: DataFrame, pid: str, cnt: str, n: int):
+    """Column: running total of ``cnt`` over the partitions before this row's partition.
+
+    ``counts`` has at most ``n`` rows (one per range partition), so collecting it is
+    bounded by the partition count, not by the data.
+    """
+    per = dict((r[0], r[1] or 0) for r in counts.select(pid, cnt).collect())
+    total, offs = 0, []
+    for i in range(n):
+        offs.append(total)
+        total += per.get(i, 0)
+    return F.element_at(F.array(*[F.lit(o).cast(counts.schema[cnt].dataType) for o in offs]), F.col(pid) + 1)
+
+
 def prefix_sums(df: DataFrame, order_cols: list, sum_cols: list[str], group_cols: list[str] | None = None,
                 inclusive: bool = True, suffix: str = "_cum", num_partitions: int | None = None) -> DataFrame:
     """Running sums of ``sum_cols`` in ``order_cols`` order (inside ``group_cols``).
@@ -68,12 +84,15 @@ def prefix_sums(df: DataFrame, order_cols: list, sum_cols: list[str], group_cols
         Window.unboundedPreceding, 0 if inclusive else -1)
     local = ranged.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"__loc_{c}") for c in sum_cols])
     totals = ranged.groupBy(pid, *groups).agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
-    before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(pid, *groups, *[F.coalesce(F.sum(f"__tot_{c}").over(before), F.lit(0)).alias(f"__off_{c}")
-                                            for c in sum_cols])
-    if not groups:
-        offsets = F.broadcast(offsets)
-    out = local.join(offsets, [pid, *groups])
+    if groups:
+        before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(pid, *groups, *[F.coalesce(F.sum(f"__tot_{c}").over(before), F.lit(0))
+                                                .alias(f"__off_{c}") for c in sum_cols])
+        out = local.join(offsets, [pid, *groups])
+    else:
+        out = local
+        for c in sum_cols:
+            out = out.withColumn(f"__off_{c}", _partition_offsets(totals, pid, f"__tot_{c}", n))
     for c in sum_cols:
         out = out.withColumn(f"{c}{suffix}", F.col(f"__off_{c}") + F.col(f"__loc_{c}"))
     return out.drop(pid, *[f"__loc_{c}" for c in sum_cols], *[f"__off_{c}" for c in sum_cols])

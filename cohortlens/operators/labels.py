@@ -47,11 +47,10 @@ def weighted_sample(df: DataFrame, key: str, weight: str, n: int = SAMPLE_SIZE,
     position from the range-partitioned dense index and the first n are kept, so no
     task ever holds more than a range partition.
     """
-    total = df.agg(F.sum(weight).alias("_tot")).withColumn("_k", F.lit(1))
+    total = df.agg(F.sum(weight)).scalar()
     # all-zero weights (no label kept) leave only the offset: a uniform sample
-    w = F.coalesce(F.try_divide(F.col(weight).cast("double"), F.col("_tot").cast("double")), F.lit(0.0)) + F.lit(offset)
-    keyed = df.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").withColumn(
-        "sample_key", -F.log(hash_unit(key, salt)) / w).drop("_k", "_tot")
+    w = F.coalesce(F.try_divide(F.col(weight).cast("double"), total.cast("double")), F.lit(0.0)) + F.lit(offset)
+    keyed = df.withColumn("sample_key", -F.log(hash_unit(key, salt)) / w)
     if n <= top_n_limit:
         return keyed.orderBy("sample_key", key).limit(n)
     ranked = dense_index(keyed, ["sample_key", key], "_pos")

@@ -50,11 +50,10 @@ def roc_curve(df: DataFrame, y_true: str = "y_true", score: str = "score") -> Da
     """(threshold, tpr, fpr): one point per distinct score, predicting positive when
     score >= threshold.  Cumulative counts come from distributed prefix sums."""
     g = _score_groups(df, y_true, score)
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("_k", F.lit(1))
+    p_tot, n_tot = g.agg(F.sum("pos")).scalar(), g.agg(F.sum("neg")).scalar()
     cum = prefix_sums(g, [F.col("threshold").desc()], ["pos", "neg"])
-    return (cum.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k")
-            .select("threshold", F.try_divide(F.col("pos_cum"), F.col("P").cast("double")).alias("tpr"),
-                    F.try_divide(F.col("neg_cum"), F.col("N").cast("double")).alias("fpr")))
+    return cum.select("threshold", F.try_divide(F.col("pos_cum"), p_tot.cast("double")).alias("tpr"),
+                      F.try_divide(F.col("neg_cum"), n_tot.cast("double")).alias("fpr"))
 
 
 def roc_auc(df: DataFrame, y_true: str = "y_true", score: str = "score") -> DataFrame:

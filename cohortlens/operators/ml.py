@@ -45,11 +45,8 @@ def sparse_feature_rows(features: DataFrame, labels: DataFrame, size: int | None
     """
     lists = features.groupBy("patient_id").agg(
         F.array_sort(F.collect_list(F.struct("feature_id", "feature_value"))).alias("_p"))
-    if size is None:
-        sz = features.agg((F.max("feature_id") + 1).alias("_size")).withColumn("_k", F.lit(1))
-        lists = lists.withColumn("_k", F.lit(1)).join(F.broadcast(sz), "_k")
-    else:
-        lists = lists.withColumn("_size", F.lit(size))
+    size_col = features.agg(F.max("feature_id") + 1).scalar() if size is None else F.lit(size)
+    lists = lists.withColumn("_size", size_col)
     rows = lists.join(labels.select("patient_id", F.col(label_col).cast("double").alias("label")), "patient_id")
     return rows.select("patient_id", "label", _sparse_udf()("_size", "_p").alias("features"))
 

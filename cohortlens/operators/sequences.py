@@ -75,12 +75,11 @@ def padded_batch(flat: DataFrame, pad_to: int | None = None) -> DataFrame:
     (seq_length desc, patient_id).
     """
     lengths = flat.groupBy("patient_id").agg(F.count(F.lit(1)).alias("seq_length"))
-    longest = lengths.agg(F.max("seq_length").alias("padded_length")).withColumn("_k", F.lit(1))
+    longest = lengths.agg(F.max("seq_length")).scalar()
     if pad_to is not None:
-        longest = longest.withColumn("padded_length", F.greatest("padded_length", F.lit(pad_to)))
+        longest = F.greatest(longest, F.lit(pad_to).cast("bigint"))
     ordered = dense_index(lengths, [F.col("seq_length").desc(), F.col("patient_id")], "batch_pos")
-    return ordered.withColumn("_k", F.lit(1)).join(F.broadcast(longest), "_k").select(
-        "patient_id", "seq_length", "padded_length", "batch_pos")
+    return ordered.select("patient_id", "seq_length", longest.alias("padded_length"), "batch_pos")
 
 
 def pad_sequence(seqs, padded_length, pad_value=None):
