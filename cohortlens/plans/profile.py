@@ -36,20 +36,28 @@ def feature_map(spark: SparkSession, d: str) -> DataFrame:
     return features.feature_index(events(spark, d))
 
 
-def aggregated(spark: SparkSession, d: str) -> DataFrame:
-    return features.aggregate_events(filtered(spark, d), feature_map(spark, d), "sum_count", SUM_COUNT_THRESHOLD)
+def aggregated(spark: SparkSession, d: str, fmap: DataFrame | None = None) -> DataFrame:
+    fmap = feature_map(spark, d) if fmap is None else fmap
+    return features.aggregate_events(filtered(spark, d), fmap, "sum_count", SUM_COUNT_THRESHOLD)
 
 
-def normalized(spark: SparkSession, d: str) -> DataFrame:
-    return features.minmax_normalize(aggregated(spark, d))
+def normalized(spark: SparkSession, d: str, fmap: DataFrame | None = None) -> DataFrame:
+    return features.minmax_normalize(aggregated(spark, d, fmap))
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
     return cohort.alive_dead_label(events(spark, d), mortality(spark, d))
 
 
+def feature_labels(spark: SparkSession, d: str, feats: DataFrame) -> DataFrame:
+    """(patient_id, is_dead) for the patients that have feature rows (no extra event scan)."""
+    return cohort.with_status(feats.select("patient_id").distinct(), mortality(spark, d)).select(
+        "patient_id", "is_dead")
+
+
 def svmlight(spark: SparkSession, d: str) -> DataFrame:
-    return features.svmlight_rows(normalized(spark, d), labels(spark, d))
+    norm = normalized(spark, d)
+    return features.svmlight_rows(norm, feature_labels(spark, d, norm))
 
 
 def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
@@ -156,8 +164,9 @@ def training_frame(df: DataFrame) -> DataFrame:
 def patient_feature_rows(spark: SparkSession, d: str) -> DataFrame:
     """(patient_id, label, features SparseVector) for the classifiers."""
     from ..operators.ml import sparse_feature_rows
-    return training_frame(sparse_feature_rows(normalized(spark, d), labels(spark, d)))
+    norm = normalized(spark, d)
+    return training_frame(sparse_feature_rows(norm, feature_labels(spark, d, norm)))
 
 
-def patient_lists(spark: SparkSession, d: str) -> DataFrame:
-    return features.patient_feature_lists(normalized(spark, d))
+def patient_lists(spark: SparkSession, d: str, fmap: DataFrame | None = None) -> DataFrame:
+    return features.patient_feature_lists(normalized(spark, d, fmap))

@@ -548,8 +548,9 @@ def q_sgd_weights(spark, d):
 
 
 def _ensemble_scores(spark, d):
-    w = ensemble.hash_weights(P.feature_map(spark, d), P.N_MODELS)
-    return ensemble.ensemble_score(P.patient_lists(spark, d), w, P.N_MODELS)
+    fmap = P.feature_map(spark, d)      # one dictionary for the features and the weights
+    w = ensemble.hash_weights(fmap, P.N_MODELS)
+    return ensemble.ensemble_score(P.patient_lists(spark, d, fmap), w, P.N_MODELS)
 
 
 @register("ensemble_score")
