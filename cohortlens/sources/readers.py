@@ -84,8 +84,13 @@ def image_files(spark: SparkSession, root: str, pattern: str = "*.png") -> DataF
 
 
 def parse_zoned_date(col, pattern: str = "yyyy-MM-dd'T'HH:mm:ssX"):
-    """Zoned timestamp text → DATE (in the session time zone, UTC by default)."""
-    return F.to_date(F.to_timestamp(F.col(col) if isinstance(col, str) else col, pattern))
+    """Zoned timestamp text → the UTC calendar DATE of that instant.
+
+    The instant is converted to UTC wall-clock time before the date is taken, so the
+    result does not depend on the session time zone.
+    """
+    ts = F.to_timestamp(F.col(col) if isinstance(col, str) else col, pattern)
+    return F.to_date(F.convert_timezone(None, F.lit("UTC"), ts))
 
 
 def clean_lab_text(raw: DataFrame, with_order_key: bool = False) -> DataFrame:

@@ -68,3 +68,15 @@ def test_sinks(spark, tmpdir_path):
                            os.path.join(tmpdir_path, "sub"))
     assert spark.read.option("header", True).csv(os.path.join(tmpdir_path, "sub")).first().prediction == "0"
     _ = F
+
+
+def test_zoned_date_is_session_zone_independent(spark):
+    df = spark.createDataFrame([("2005-03-01T00:00:00Z",), ("2005-03-01T23:30:00-05:00",)], "x string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [r.d for r in df.select(readers.parse_zoned_date("x", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("d")).collect()]
+            assert got == [dt.date(2005, 3, 1), dt.date(2005, 3, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
