@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import hash_unit
 from .indexing import dense_index
@@ -72,3 +73,31 @@ def stratified_split(df: DataFrame, key: str, stratum, fractions=(0.2, 0.2), sal
     split = (F.when(F.col("_pos") < F.floor(F.col("_n") * t), "test")
              .when(F.col("_pos") < F.floor(F.col("_n") * (t + v)), "valid").otherwise("train"))
     return pos.join(sizes, "stratum").withColumn("split", split).drop("_h", "_pos", "_n")
+
+
+def preprocess_metadata(spark, metadata_path: str, image_root: str, min_cases: int = MIN_CASES,
+                        exclude: str = EXCLUDED_LABEL):
+    """Metadata preparation for multi-label images, distributed end to end.
+
+    Reads the metadata CSV with its declared schema (header on), lists image files under
+    ``image_root`` (``images_*/images/*.png``; no content read), joins them on the file
+    name, splits the labels, keeps labels with at least ``min_cases`` rows (``exclude``
+    removed) and adds one 0/1 column per kept label.  Returns (metadata, kept_labels).
+    """
+    from ..sources.readers import image_files, read_csv
+
+    meta = read_csv(spark, metadata_path, METADATA_SCHEMA, header=True)
+    files = image_files(spark, image_root).filter(F.col("path").rlike(r"/images_[^/]*/images/[^/]+$"))
+    joined = meta.join(files, "image_index")
+    kept = label_frequency(joined, min_cases, exclude)
+    return label_indicators(joined, kept, "image_index").join(joined, "image_index"), kept
+
+
+METADATA_SCHEMA = T.StructType([
+    T.StructField("image_index", T.StringType()), T.StructField("finding_labels", T.StringType()),
+    T.StructField("follow_up_number", T.IntegerType()), T.StructField("patient_id", T.IntegerType()),
+    T.StructField("patient_age", T.IntegerType()), T.StructField("patient_gender", T.StringType()),
+    T.StructField("view_position", T.StringType()), T.StructField("image_width", T.IntegerType()),
+    T.StructField("image_height", T.IntegerType()), T.StructField("spacing_x", T.FloatType()),
+    T.StructField("spacing_y", T.FloatType()),
+])

@@ -24,13 +24,18 @@ def write_lines(lines: DataFrame, path: str, line_col: str = "line", order_by: l
     out.select(F.col(line_col).alias("value")).write.mode(mode).text(path)
 
 
-def write_svmlight(rows: DataFrame, path: str, with_patient: bool = False, mode: str = "overwrite") -> None:
+def write_svmlight(rows: DataFrame, path: str, with_patient: bool = False, mode: str = "overwrite",
+                   limit: int | None = None) -> None:
     """svmlight file from :func:`operators.features.svmlight_rows` output (patients ascending).
 
     ``with_patient=False`` strips the leading patient id (the training-file variant).
+    ``limit`` keeps only the first patients in id order (off by default).
     """
     line = F.col("line") if with_patient else F.regexp_replace("line", r"^\S+\s", "")
-    write_lines(rows.select("patient_id", line.alias("line")), path, "line", ["patient_id"], mode)
+    out = rows.select("patient_id", line.alias("line"))
+    if limit is not None:
+        out = out.orderBy("patient_id").limit(limit)
+    write_lines(out, path, "line", ["patient_id"], mode)
 
 
 def write_statistics(tables: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:

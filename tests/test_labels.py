@@ -56,3 +56,25 @@ def test_weighted_sample_large_n_uses_distributed_ranking(spark):
     small = {r.order_key for r in lab.weighted_sample(m, "order_key", "w", n=7).collect()}
     big = {r.order_key for r in lab.weighted_sample(m, "order_key", "w", n=7, top_n_limit=0).collect()}
     assert small == big and len(big) == 7
+
+
+def test_preprocess_metadata(spark, tmpdir_path):
+    import os
+    d = os.path.join(tmpdir_path, "images_001", "images")
+    os.makedirs(d)
+    names = [f"{i:03d}.png" for i in range(6)]
+    for n in names[:5]:                       # the sixth image is missing on disk
+        with open(os.path.join(d, n), "wb") as f:
+            f.write(b"x")
+    csv = os.path.join(tmpdir_path, "meta.csv")
+    labels_ = ["A|B", "A", "No Finding", "B", "A|C", "A"]
+    with open(csv, "w") as f:
+        f.write("Image Index,Finding Labels,Follow-up #,Patient ID,Patient Age,Patient Gender,View Position,"
+                "OriginalImage[Width,Height],OriginalImagePixelSpacing[x,y]\n".replace("[Width,Height]", "W,H")
+                .replace("[x,y]", "x,y"))
+        for i, (n, l) in enumerate(zip(names, labels_)):
+            f.write(f"{n},{l},0,{i},50,M,PA,10,10,0.1,0.1\n")
+    meta, kept = lab.preprocess_metadata(spark, csv, tmpdir_path, min_cases=2)
+    assert rows(kept) == [("A", 3), ("B", 2)]
+    got = {r.image_index: (r.A, r.B) for r in meta.collect()}
+    assert got == {"000.png": (1, 1), "001.png": (1, 0), "002.png": (0, 0), "003.png": (0, 1), "004.png": (1, 0)}
