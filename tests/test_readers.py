@@ -80,3 +80,14 @@ def test_zoned_date_is_session_zone_independent(spark):
             assert got == [dt.date(2005, 3, 1), dt.date(2005, 3, 2)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_sequence_and_csv_sinks(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, 0, [[1, 2], [3]], "train"), (2, 1, [[4]], "test")],
+                               "patient_id long, label int, seqs array<array<bigint>>, split string")
+    sinks.write_sequences(df, os.path.join(tmpdir_path, "seq"))
+    back = spark.read.parquet(os.path.join(tmpdir_path, "seq"))
+    assert {r.split for r in back.collect()} == {"train", "test"}
+    assert back.filter("patient_id = 1").first().seqs == [[1, 2], [3]]
+    sinks.write_csv(df.select("patient_id", "label"), os.path.join(tmpdir_path, "csv"), sep=";")
+    assert spark.read.option("header", True).option("sep", ";").csv(os.path.join(tmpdir_path, "csv")).count() == 2
