@@ -25,8 +25,12 @@ def dead_events(events: DataFrame, mortality: DataFrame) -> DataFrame:
 
 
 def with_status(per_patient: DataFrame, mortality: DataFrame) -> DataFrame:
-    """Tag a per-patient frame with is_dead 0/1 and status 'alive'/'dead'."""
-    m = mortality.select("patient_id", F.lit(1).alias("_dead"))
+    """Tag a per-patient frame with is_dead 0/1 and status 'alive'/'dead'.
+
+    Mortality ids are de-duplicated first, so a repeated mortality row cannot repeat
+    the per-patient rows.
+    """
+    m = mortality.select("patient_id").distinct().withColumn("_dead", F.lit(1))
     return (
         per_patient.join(m, "patient_id", "left")
         .withColumn("is_dead", F.coalesce(F.col("_dead"), F.lit(0)))

@@ -73,3 +73,11 @@ def test_top_events_ties_by_id(spark):
     m = spark.createDataFrame([], "patient_id long, death_date date, label int")
     top = rows(stats.top_events(ev, m, k=2), "event_class", "rank", "event_id", "event_count")
     assert top == [("DIAG", 1, "DIAG_C", 2), ("DIAG", 2, "DIAG_A", 1), ("LAB", 1, "LAB_X", 1)]
+
+
+def test_status_ignores_duplicate_mortality_rows(spark):
+    ev = _events(spark)
+    m = _mortality(spark).unionByName(_mortality(spark))
+    ec = {r.status: r.max_event_count for r in stats.event_count_metrics(ev, m).collect()}
+    assert ec == {"alive": 3, "dead": 3}
+    assert len(cohort.alive_dead_label(ev, m).collect()) == 3
