@@ -13,3 +13,14 @@ driver.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+# Functions of this package that run inside tasks (pandas kernels, small UDF helpers) are
+# pickled by value, so executors never need the package installed or on their path.
+try:  # pragma: no cover - depends on the PySpark build
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass
