@@ -42,12 +42,13 @@ def _sgd_pass(eta: float, mu: float):
 
 
 def sgd_train(bagged: DataFrame, eta: float = 0.01, mu: float = 0.0, shards: int | None = None,
-              key: str = "patient_id", max_rows_per_shard: int = 1_000_000) -> DataFrame:
+              key: str = "patient_id", max_rows_per_shard: int = 100_000) -> DataFrame:
     """(model_id, feature_id, weight) from rows (model_id, key, label, features array<struct>).
 
     ``shards=None`` sizes the split from the data: the largest bag is divided so that no
     group exceeds ``max_rows_per_shard`` rows (one shard — the exact sequential pass —
-    whenever the bag fits).
+    whenever the bag fits).  A group is held as a pandas frame of per-row feature lists,
+    so the bound keeps one task's memory to roughly a gigabyte.
     """
     if shards is None:
         biggest = bagged.groupBy("model_id").count().agg(F.max("count")).first()[0] or 0
