@@ -1,15 +1,16 @@
 """Operator 10: toxicity by class-conditional Kneser-Ney models.
 
 Expressions are words (runs of ASCII letters and digits and of all other-than-ASCII bytes,
-A-Z lower-cased), modelled byte by byte with contexts of five bytes from the word's start.
+A-Z lower-cased), modelled byte by byte with contexts of six bytes from the word's start.
 
-* A class c (toxic, ordinary) has its own six-byte counts from the labelled training rows:
+* A class c (toxic, ordinary) has its own seven-byte counts from the labelled training rows:
   P_c(g) = (max(n_c(g) - D, 0) + D * T_c(ctx) * P(g')) / n_c(ctx), T_c the distinct successors.
 * Both back off to one shared distribution P(g'): the Kneser-Ney continuation counts (distinct
-  left neighbours) of five-byte grams over *all* documents, interpolated with the
+  left neighbours) of six-byte grams over *all* documents, interpolated with the
   continuation unigram.  What neither class has seen thus counts for neither.
 * An expression's log-likelihood ratio is divided by a power of its length, and a document
-  has two features: the strongest expression and the mean over all.  A logistic
+  has three features: its strongest expression, the sum of the ``TOP`` strongest, and the mean
+  over all.  A logistic
   regression turns them into a score.  It is fitted on training rows scored by models
   that have not seen them: each half of the training rows scores the other half.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from heapq import nlargest
 
 import numpy as np
 import pandas as pd
@@ -39,10 +41,12 @@ from pyspark.sql import functions as F
 
 from .common import saved, slices, small
 
-ORDER = 6  # bytes of a gram
+ORDER = 7  # bytes of a gram
 DISCOUNT = 0.75
-GRAM_BITS, CONTEXT_BITS, CHUNK_BITS = 22, 20, 16
+GRAM_BITS, CONTEXT_BITS, CHUNK_BITS = 23, 20, 16
 LENGTH_POWER = 0.5
+TOP = 5
+FEATURES = ("strongest", "top", "mean")
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1  # crc32 of the id as text; this remainder never trains
 SMALL_TABLE = 1_000_000
@@ -57,7 +61,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All six-byte grams of the words (five spaces before, one after) as integers, and their word's number."""
+    """All grams of the words (padded by spaces, one after) as integers, and their word's number."""
     lead = ORDER - 1
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     joined = np.frombuffer(b"".join([b" " * lead + w + b" " for w in words]), np.uint8).astype(np.int64)
@@ -113,7 +117,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
 def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(gram, weight, all, f0, f2) and (ctx, weight, all, f0, f2): log-likelihood ratios, toxic over ordinary."""
-    counts = counts.withColumn("ctx", F.shiftright("gram", 8)).withColumn("tail", F.col("gram").bitwiseAND((1 << 40) - 1))
+    counts = counts.withColumn("ctx", F.shiftright("gram", 8)).withColumn("tail", F.col("gram").bitwiseAND((1 << 8 * (ORDER - 1)) - 1))
     tails = counts.groupBy("tail").agg(F.count("*").alias("left")).withColumn("ctx4", F.shiftright("tail", 8)).withColumn("byte", F.col("tail").bitwiseAND(255))
     tails = saved(tails)
     middle = tails.groupBy("ctx4").agg(F.sum("left").alias("n4"), F.count("*").alias("t4"))
@@ -180,7 +184,7 @@ class Scorer:
     def __init__(self, by_gram: np.ndarray, by_context: np.ndarray):
         self.by_gram, self.by_context, self.known = by_gram, by_context, {}
 
-    def features(self, texts: list[bytes | None]) -> list[tuple[float, float]]:
+    def features(self, texts: list[bytes | None]) -> list[tuple[float, float, float]]:
         split = [words_of(t) for t in texts]
         new = set().union(*split) - self.known.keys()
         if len(self.known) + len(new) > HELD_WORDS:
@@ -192,12 +196,13 @@ class Scorer:
         out = []
         for words in split:
             values = list(map(self.known.__getitem__, words))
-            out.append((max(values), sum(values) / len(values)) if values else (0.0, 0.0))
+            best = nlargest(TOP, values)
+            out.append((best[0], sum(best), sum(values) / len(values)) if values else (0.0, 0.0, 0.0))
         return out
 
 
 def with_features(rows: DataFrame, tables, keep: list[str], cross: bool) -> DataFrame:
-    """Columns keep, strongest and mean; cross: training rows only, scored by the model of the other half."""
+    """Columns keep and the features; cross: training rows only, scored by the model of the other half."""
     places = [rows.columns.index(c) for c in (*keep, "text")]
     text, group = places[-1], rows.columns.index("group")
     model_of = {0: "f2", 1: "f2", 2: "f0", 3: "f0"} if cross else {}
@@ -216,22 +221,22 @@ def with_features(rows: DataFrame, tables, keep: list[str], cross: bool) -> Data
                 for part in slices([len(texts[k] or b"") for k in rows_of]):
                     for k, f in zip(rows_of[part], scorers[m].features([texts[k] for k in rows_of[part]])):
                         found[k] = f
-            yield pa.RecordBatch.from_arrays([*(batch.column(p) for p in places[:-1]), pa.array([f[0] for f in found], pa.float64()),
-                                              pa.array([f[1] for f in found], pa.float64())], names=[*keep, "strongest", "mean"])
+            values = [pa.array([f[k] for f in found], pa.float64()) for k in range(len(FEATURES))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(p) for p in places[:-1]), *values], names=[*keep, *FEATURES])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{kinds}, strongest double, mean double")
+    return rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def fitted(trained: DataFrame) -> tuple[float, float, float]:
-    """(intercept, weight of strongest, weight of mean) of the logistic regression on cross-scored training rows."""
+def fitted(trained: DataFrame) -> tuple[float, list[float]]:
+    """Intercept and feature weights of the logistic regression on cross-scored training rows."""
     n, toxic = trained.agg(F.count("*"), F.sum("y")).first()
     if not n or not toxic or toxic == n:
         share = (toxic / n if n else 0.5)
-        return float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0, 0.0
-    data = saved(trained.select(array_to_vector(F.array("strongest", "mean")).alias("features"), F.col("y").cast("double").alias("label")))
+        return float(np.log((share + 1e-6) / (1 - share + 1e-6))), [0.0] * len(FEATURES)
+    data = saved(trained.select(array_to_vector(F.array(*FEATURES)).alias("features"), F.col("y").cast("double").alias("label")))
     model = LogisticRegression(regParam=1e-4, standardization=True, maxIter=50).fit(data)
-    return float(model.intercept), float(model.coefficients[0]), float(model.coefficients[1])
+    return float(model.intercept), [float(c) for c in model.coefficients]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple:
@@ -245,9 +250,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tup
     return sc.broadcast(({"all": grams_["all"]}, {"all": contexts["all"]})), weights
 
 
-def logistic(weights: tuple[float, float, float]) -> Column:
-    bias, strongest, mean = weights
-    return 1 / (1 + F.exp(-(bias + strongest * F.col("strongest") + mean * F.col("mean"))))
+def logistic(weights: tuple[float, list[float]]) -> Column:
+    bias, by_feature = weights
+    return 1 / (1 + F.exp(-sum((w * F.col(f) for f, w in zip(FEATURES, by_feature)), F.lit(bias))))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -263,7 +268,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The documents that are not predicted toxic, all columns unchanged; map-only after training."""
     tables, weights = train(docs, labels, id_col, text_col)
     at = docs.columns.index(text_col)
-    bias, strongest, mean = weights
+    bias, by_feature = weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_gram, by_context = tables.value
@@ -271,8 +276,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             found = [f for part in slices([len(t or b"") for t in texts]) for f in scorer.features(texts[part])]
-            x = np.array(found).reshape(-1, 2)
-            s = 1 / (1 + np.exp(-np.clip(bias + x[:, 0] * strongest + x[:, 1] * mean, -700, 700)))
+            margin = bias + np.array(found).reshape(-1, len(FEATURES)) @ np.array(by_feature)
+            s = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
             yield batch.filter(pa.array(s < threshold))
 
     return docs.mapInArrow(run, docs.schema)
