@@ -4,9 +4,11 @@ Base spans come from four patterns with their checks (number ranges, Luhn, digit
 They always stay.  High-recall generators propose further, overlapping spans: loose numbers
 and loose addresses ("name (at) host (dot) com").  A boosted-tree classifier judges each
 candidate by its format (length, digits, groups, separators) and its context (the characters
-and words around it).  It learns from the corpus itself: a candidate counts as positive if
-it coincides with a base span, negative otherwise; the checks themselves are no features, so
-candidates that look and stand like personal data but miss a check by a digit score high.
+and words around it).  It learns from the corpus itself by labelling functions: a candidate is
+positive if it coincides with a base span, if it is an address once "(at)" and "(dot)" are
+written out, or if it has the grouping of a national phone number; else negative.  The checks
+are no features, so candidates that look and stand like personal data but miss a check
+by a digit score high, too.
 All documents' candidates are counted by feature vector and fold; the features are small
 bounded integers, so the trees learn from a bounded table of weighted vectors that covers the
 whole corpus.  On the held-out fold, the lowest score from which on the precision stays above
@@ -144,9 +146,16 @@ def features(s: Column) -> list[Column]:
 N_FEATURES = 12
 
 
+def weak_label(c: Column) -> Column:
+    """Labelling functions beyond the base spans: spelt-out addresses, national phone grouping."""
+    plain = F.regexp_replace(F.regexp_replace(c["said"], r"\x20?[(\[]at[)\]]\x20?", "@"), r"\x20?[(\[]dot[)\]]\x20?", ".")
+    address = (c["kind"] == "address") & plain.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$")
+    return address | (c["kind"] == "number") & c["said"].rlike(r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}$")
+
+
 def training_table(spanned: DataFrame, id_col: str) -> DataFrame:
-    """(fold, x, y, n): how often each feature vector occurs, as a base span (1) or not (0)."""
-    same = lambda c: F.exists("__base", lambda b: (b["start"] == c["start"]) & (b["stop"] == c["stop"])).cast("int")
+    """(fold, x, y, n): how often each feature vector occurs, labelled personal data (1) or not (0)."""
+    same = lambda c: (F.exists("__base", lambda b: (b["start"] == c["start"]) & (b["stop"] == c["stop"])) | weak_label(c)).cast("int")
     seen = spanned.select((F.pmod(F.xxhash64(id_col), F.lit(FOLD)) == 0).alias("fold"),
                           F.explode(F.transform("__loose", lambda c: F.struct(F.array(*features(c)).alias("x"), same(c).alias("y")))).alias("c"))
     return saved(seen.groupBy("fold", "c.x", "c.y").agg(F.count("*").alias("n")))
