@@ -1,12 +1,16 @@
-"""Dense 0..n-1 indices in sort order without a single-task window.
+"""Dense 0..n-1 indices and running sums in sort order without a single-task window.
 
 ``row_number().over(Window.orderBy(...))`` (or over a partition that one key
 dominates) moves all of a group's rows into one task.  Here rows are
-range-partitioned on (group, sort key), numbered inside each range partition, and
-each (partition, group) gets an offset = running total of the counts of the earlier
-partitions of the same group.  The count table has one row per (partition, group).
+range-partitioned on (group, sort key) and sorted inside each range partition; a row's
+position there is the low part of ``monotonically_increasing_id()``, so numbering takes no
+second shuffle.  Each (partition, group) gets an offset = running total of the counts of the
+earlier partitions of the same group.  The count table has one row per (partition, group).
 
-The range-partitioned rows are checkpointed (reliable checkpoint in the shared
+The partition count is left to adaptive execution: it starts at
+``spark.sql.shuffle.partitions`` and is coalesced by the data's size, unless a caller names one.
+
+The numbered rows are checkpointed (reliable checkpoint in the shared
 ``spark.checkpoint.dir``) before the two branches read them: range bounds come from
 sampling, and a recomputed branch could otherwise see other bounds (after an executor
 loss, or when the two branches are planned differently) and misalign the offsets.
@@ -14,11 +18,39 @@ loss, or when the two branches are planned differently) and misalign the offsets
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+ROW_BITS = 33  # of monotonically_increasing_id(): the row's number in its partition
+BROADCAST_ROWS = 500_000  # of an offset table (a few numbers each) that may be broadcast
+
+
+def _numbered(df: DataFrame, ordering: list[Column], num_partitions: int | None) -> DataFrame:
+    """The rows in range partitions, with their partition (__pid) and position in it (__pos), stored."""
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(num_partitions, *ordering) if num_partitions else df.repartitionByRange(*ordering)
+    rows = ranged.sortWithinPartitions(*ordering).withColumn("__row", F.monotonically_increasing_id())
+    rows = rows.withColumn("__pid", F.shiftright("__row", ROW_BITS)).withColumn("__pos", F.col("__row").bitwiseAND((1 << ROW_BITS) - 1))
+    return rows.drop("__row").checkpoint(eager=True)
+
+
+def _with_offsets(rows: DataFrame, per: DataFrame, groups: list[str], cols: list[str]) -> DataFrame:
+    """Joins the offset table (keys __pid and groups, null-safe; values cols) to the rows."""
+    keys = {g: f"__key_{k}" for k, g in enumerate(groups)}
+    table = per.select(F.col("__pid").alias("__own"), *[F.col(g).alias(k) for g, k in keys.items()], *cols)
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        table = F.broadcast(table)
+    same = F.col("__pid") == F.col("__own")
+    for g, k in keys.items():
+        same = same & F.col(g).eqNullSafe(F.col(k))
+    return rows.join(table, same).drop("__own", *keys.values())
+
+
+def _ordering(groups: list[str], order_cols: list) -> list[Column]:
+    return [F.col(g) for g in groups] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+
 
 def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx", start: int = 0,
                 group_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
@@ -27,42 +59,32 @@ def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx", start:
     ``order_cols`` may hold Columns (e.g. ``F.col('n').desc()``); they must make rows
     unique inside a group for the numbering to be repeatable.
     """
-    spark = df.sparkSession
     groups = list(group_cols or [])
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordering = [F.col(g) for g in groups] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ensure_checkpoint_dir(spark)
-    pid, pos, cnt, off = "__di_pid", "__di_pos", "__di_n", "__di_off"
-    ranged = df.repartitionByRange(n, *ordering).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
-    local = ranged.withColumn(
-        pos, F.row_number().over(Window.partitionBy(pid, *groups).orderBy(*ordering[len(groups):]))
-    )
-    counts = ranged.groupBy(pid, *groups).agg(F.count(F.lit(1)).alias(cnt))
+    rows = _numbered(df, _ordering(groups, order_cols), num_partitions)
+    counts = rows.groupBy("__pid", *groups).agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first"))
     if groups:
-        before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select(pid, *groups, F.coalesce(F.sum(cnt).over(before), F.lit(0)).alias(off))
-        joined = local.join(offsets, [pid, *groups])
+        before = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first"))
+        rows = _with_offsets(rows, offsets, groups, ["__off"])
     else:
         # one count per range partition (as zipWithIndex does): the offsets become a literal array
-        joined = local.withColumn(off, _partition_offsets(counts, pid, cnt, n))
-    return (
-        joined.withColumn(index_col, (F.col(off) + F.col(pos) - 1 + F.lit(start)).cast("bigint"))
-        .drop(pid, pos, off)
-    )
+        rows = rows.withColumn("__off", _partition_offsets(counts, "__n"))
+    return rows.withColumn(index_col, (F.col("__off") + F.col("__pos") + F.lit(start)).cast("bigint")).drop("__pid", "__pos", "__off")
 
 
-def _partition_offsets(counts: DataFrame, pid: str, cnt: str, n: int):
-    """Column: running total of ``cnt`` over the partitions before this row's partition.
+def _partition_offsets(counts: DataFrame, value: str) -> Column:
+    """Column: running total of ``value`` over the partitions before this row's partition.
 
-    ``counts`` has at most ``n`` rows (one per range partition), so collecting it is
-    bounded by the partition count, not by the data.
+    ``counts`` has one row per range partition, so collecting it is bounded by the
+    partition count, not by the data.
     """
-    per = dict((r[0], r[1] or 0) for r in counts.select(pid, cnt).collect())
-    total, offs = 0, []
-    for i in range(n):
-        offs.append(total)
+    per = {r[0]: r[1] or 0 for r in counts.select("__pid", value).collect()}
+    total, offsets = 0, []
+    for i in range(max(per, default=0) + 1):
+        offsets.append(total)
         total += per.get(i, 0)
-    return F.element_at(F.array(*[F.lit(o).cast(counts.schema[cnt].dataType) for o in offs]), F.col(pid) + 1)
+    kind = counts.schema[value].dataType
+    return F.element_at(F.array(*[F.lit(o).cast(kind) for o in offsets]), (F.col("__pid") + 1).cast("int"))
 
 
 def prefix_sums(df: DataFrame, order_cols: list, sum_cols: list[str], group_cols: list[str] | None = None,
@@ -71,28 +93,21 @@ def prefix_sums(df: DataFrame, order_cols: list, sum_cols: list[str], group_cols
 
     Same scheme as :func:`dense_index`: local running sums inside range partitions plus
     per-partition offsets.  ``inclusive=False`` gives the sum over strictly earlier rows.
-    Rows should be unique in the ordering (aggregate ties first).
+    Rows should be unique in the ordering (aggregate ties first).  Unlike positions, the local
+    sums need a window by partition, which is one more shuffle of equal-sized parts.
     """
-    spark = df.sparkSession
     groups = list(group_cols or [])
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordering = [F.col(g) for g in groups] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ensure_checkpoint_dir(spark)
-    pid = "__ps_pid"
-    ranged = df.repartitionByRange(n, *ordering).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
-    frame = Window.partitionBy(pid, *groups).orderBy(*ordering[len(groups):]).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1)
-    local = ranged.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"__loc_{c}") for c in sum_cols])
-    totals = ranged.groupBy(pid, *groups).agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
+    rows = _numbered(df, _ordering(groups, order_cols), num_partitions)
+    frame = Window.partitionBy("__pid", *groups).orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    out = rows.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"__loc_{c}") for c in sum_cols])
+    totals = rows.groupBy("__pid", *groups).agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
     if groups:
-        before = Window.partitionBy(*groups).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(pid, *groups, *[F.coalesce(F.sum(f"__tot_{c}").over(before), F.lit(0))
-                                                .alias(f"__off_{c}") for c in sum_cols])
-        out = local.join(offsets, [pid, *groups])
+        before = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select("__pid", *groups, *[F.coalesce(F.sum(f"__tot_{c}").over(before), F.lit(0)).alias(f"__off_{c}") for c in sum_cols])
+        out = _with_offsets(out, offsets, groups, [f"__off_{c}" for c in sum_cols])
     else:
-        out = local
         for c in sum_cols:
-            out = out.withColumn(f"__off_{c}", _partition_offsets(totals, pid, f"__tot_{c}", n))
+            out = out.withColumn(f"__off_{c}", _partition_offsets(totals, f"__tot_{c}"))
     for c in sum_cols:
         out = out.withColumn(f"{c}{suffix}", F.col(f"__off_{c}") + F.col(f"__loc_{c}"))
-    return out.drop(pid, *[f"__loc_{c}" for c in sum_cols], *[f"__off_{c}" for c in sum_cols])
+    return out.drop("__pid", "__pos", *[f"__loc_{c}" for c in sum_cols], *[f"__off_{c}" for c in sum_cols])

@@ -36,3 +36,30 @@ def test_prefix_sums_match_cumsum(spark):
     cs = np.cumsum(v)
     assert [inc[i] for i in range(1000)] == cs.tolist()
     assert [exc[i] for i in range(1000)] == (cs - v).tolist()
+
+
+def test_null_groups_are_numbered_and_one_shuffle_suffices(spark):
+    from cohortlens.operators import indexing
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 9), ("a", 4), ("b", 1)], "g string, k int")
+    got = sorted((r.g or "", r.k, r.i) for r in indexing.dense_index(df, ["k"], "i", group_cols=["g"], num_partitions=3).collect())
+    assert got == [("", 1, 0), ("", 3, 1), ("a", 2, 0), ("a", 4, 1), ("a", 9, 2), ("b", 1, 0)]
+    seen, original = [], type(df).checkpoint
+
+    def spy(self, *a, **b):
+        seen.append(self._jdf.queryExecution().executedPlan().toString())
+        return original(self, *a, **b)
+
+    type(df).checkpoint = spy
+    try:
+        plan = indexing.dense_index(df, ["k", "g"], "i")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        type(df).checkpoint = original
+    assert len(seen) == 1 and seen[0].count("Exchange rangepartitioning") == 1 and seen[0].count("Exchange") == 1
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_numbering_over_many_ranges(spark):
+    from pyspark.sql import functions as F
+    from cohortlens.operators import indexing
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
+    assert indexing.dense_index(df, ["k"], "i", num_partitions=6).filter("k <> i").isEmpty()
