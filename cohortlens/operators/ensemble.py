@@ -1,67 +1,71 @@
 """Bagged SGD logistic regression and ensemble scoring.
 
 Training is the one place where sequential per-row Python logic is needed: each model
-makes one SGD pass over its bag.  A bag is split into ``shards`` (hash of the row key);
-each (model, shard) group runs the pass in ``applyInPandas`` and the shard weights are
-averaged (one-shot parameter mixing).  With one shard this is exactly the sequential
-pass; more shards bound the rows any single task holds.  Scoring is plain SQL.
+makes one SGD pass over its bag.  A bag is split into ``shards`` (hash of the row key), a fixed
+number whatever the data's size, so the same bag always gives the same weights.
+Each (model, shard) group runs the pass in ``applyInPandas`` and the shard weights are
+averaged (one-shot parameter mixing).  ``shards=1`` is exactly the sequential
+pass; a larger corpus needs a larger number, chosen by the caller, so that a shard fits in a
+task.  Scoring is plain SQL.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_unit
 from ..functions.sparse import sigmoid
 
 WEIGHT_SCHEMA = "model_id int, shard int, feature_id long, weight double"
-
-
-def _sgd_pass(eta: float, mu: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_key", kind="mergesort")
-        w: dict[int, float] = {}
-        for feats, y in zip(pdf["features"], pdf["label"]):
-            ids = [int(f["feature_id"]) for f in feats]
-            vals = [float(f["feature_value"]) for f in feats]
-            z = math.fsum(w.get(i, 0.0) * v for i, v in zip(ids, vals))
-            sig = 1.0 - 1.0 / (1.0 + math.exp(z)) if z < 0 else 1.0 / (1.0 + math.exp(-z))
-            for i, v in zip(ids, vals):
-                old = w.get(i, 0.0)
-                # only the weights present in the row are decayed (as in the original pass)
-                w[i] = old + eta * (v * (y - sig)) - 2.0 * eta * mu * old
-        keys = np.fromiter(w.keys(), dtype=np.int64, count=len(w))
-        return pd.DataFrame({"model_id": int(pdf["model_id"].iloc[0]), "shard": int(pdf["shard"].iloc[0]),
-                             "feature_id": keys, "weight": np.fromiter(w.values(), dtype=np.float64, count=len(w))})
+SHARDS = 16
+
+
+def _logistic(z: float) -> float:
+    return 1.0 / (1.0 + np.exp(-z)) if z >= 0 else np.exp(z) / (1.0 + np.exp(z))
+
+
+def _shard_trainer(eta: float, mu: float):
+    """One pass in row order; a step changes (and decays) only the weights of the row's features."""
+    def run(shard: pd.DataFrame) -> pd.DataFrame:
+        shard = shard.sort_values("row_key", kind="mergesort")
+        ids = [np.array([f["feature_id"] for f in row], dtype=np.int64) for row in shard["features"]]
+        known, places = np.unique(np.concatenate(ids), return_inverse=True)
+        weights, first = np.zeros(len(known)), 0
+        for row, y in zip(shard["features"], shard["label"]):
+            at = places[first:first + len(row)]
+            first += len(row)
+            x = np.array([f["feature_value"] for f in row], dtype=np.float64)
+            error = y - _logistic(float(weights[at] @ x))
+            weights[at] += eta * error * x - 2.0 * eta * mu * weights[at]
+        return pd.DataFrame({"model_id": int(shard["model_id"].iloc[0]), "shard": int(shard["shard"].iloc[0]),
+                             "feature_id": known, "weight": weights})
     return run
 
 
-def sgd_train(bagged: DataFrame, eta: float = 0.01, mu: float = 0.0, shards: int | None = None,
-              key: str = "patient_id", max_rows_per_shard: int = 100_000) -> DataFrame:
-    """(model_id, feature_id, weight) from rows (model_id, key, label, features array<struct>).
-
-    ``shards=None`` sizes the split from the data: the largest bag is divided so that no
-    group exceeds ``max_rows_per_shard`` rows (one shard — the exact sequential pass —
-    whenever the bag fits).  A group is held as a pandas frame of per-row feature lists,
-    so the bound keeps one task's memory to roughly a gigabyte.
-    """
-    if shards is None:
-        biggest = bagged.groupBy("model_id").count().agg(F.max("count")).first()[0] or 0
-        shards = max(1, math.ceil(biggest / max_rows_per_shard))
+def sgd_train(bagged: DataFrame, eta: float = 0.01, mu: float = 0.0, shards: int = SHARDS,
+              key: str = "patient_id") -> DataFrame:
+    """(model_id, feature_id, weight) from rows (model_id, key, label, features array<struct>)."""
     rows = bagged.select(
         F.col("model_id").cast("int").alias("model_id"), F.col(key).alias("row_key"),
         F.col("label").cast("double").alias("label"), "features",
         F.floor(hash_unit(key, "shard") * shards).cast("int").alias("shard"))
-    per_shard = rows.groupBy("model_id", "shard").applyInPandas(_sgd_pass(eta, mu), WEIGHT_SCHEMA)
+    per_shard = rows.groupBy("model_id", "shard").applyInPandas(_shard_trainer(eta, mu), WEIGHT_SCHEMA)
     return per_shard.groupBy("model_id", "feature_id").agg(
         (F.sum("weight") / F.lit(float(shards))).alias("weight"))
 
 
+def store_weights(weights: DataFrame, path: str) -> None:
+    """The trained weights table, one folder per model."""
+    weights.write.mode("errorifexists").partitionBy("model_id").parquet(path)
+
+
+def load_weights(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("feature_id long, weight double, model_id int").parquet(path).select("model_id", "feature_id", "weight")
+
+
 def ensemble_score(rows: DataFrame, weights: DataFrame, n_models: int, key: str = "patient_id") -> DataFrame:
     """(key, score): mean over models of sigmoid(w·x).  Rows are (key, features array<struct>).
 

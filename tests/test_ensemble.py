@@ -52,3 +52,12 @@ def test_sgd_sharded_is_average_of_shard_passes(spark):
             want[f] = want.get(f, 0.0) + v / 2
     got = {f: w for _, f, w in rows(ensemble.sgd_train(r, eta=0.1, mu=0.0, shards=2))}
     assert set(got) == set(want) and all(abs(got[f] - want[f]) < 1e-15 for f in want)
+
+
+def test_shards_do_not_depend_on_the_rows(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    r = _rows(spark).withColumn("model_id", F.lit(0))
+    same = rows(ensemble.sgd_train(r))
+    assert same == rows(ensemble.sgd_train(r, shards=ensemble.SHARDS))
+    ensemble.store_weights(ensemble.sgd_train(r), tmpdir_path + "/weights")
+    assert rows(ensemble.load_weights(spark, tmpdir_path + "/weights")) == same
