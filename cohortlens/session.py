@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -13,11 +14,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """Create (or reuse) a session with the settings this library assumes.
 
     AQE is on so that shuffle partitions coalesce and skewed join partitions are
-    split at run time; the session time zone is UTC so that DATE arithmetic never
-    depends on the host.
+    split at run time; ``shuffle_partitions`` is where coalescing starts, so set it for the
+    largest table (tests and bench pass a small one).  The session time zone is UTC so that
+    DATE arithmetic never depends on the host.
     """
     master = master or os.environ.get("SPARK_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("SHUFFLE_PARTITIONS", "8"))
+    parts = shuffle_partitions or int(os.environ.get("SHUFFLE_PARTITIONS", "200"))
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -40,8 +42,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared (HDFS/object-store) folder and is used as
-    is.  Only when nothing is configured (unit tests) a scratch folder is created.
+    On a cluster the setting must name a shared (HDFS/object-store) folder; without it this
+    raises, as a folder of one machine would be lost to the others.  Only in local mode,
+    where one process holds driver and executors, a scratch folder stands in.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
