@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sparse import format_pairs
+from ..functions.sparse import format_pairs, sparse_vector
 from .indexing import dense_index
 
 
@@ -145,25 +145,14 @@ def index_feature_tuples(tuples: DataFrame) -> tuple[DataFrame, DataFrame]:
     return indexed, vocab
 
 
-
-
-def _to_sparse(size, pairs):
-    from pyspark.ml.linalg import Vectors
-    return Vectors.sparse(int(size), [(int(p[0]), float(p[1])) for p in pairs])
-
-
 def feature_vectors(tuples: DataFrame) -> DataFrame:
     """(patient_id, features: SparseVector) from (patient_id, feature_name, feature_value).
 
-    The dictionary size is a scalar subquery.  The vector itself is assembled by a small per-row helper (Spark has no built-in that
-    builds a sparse vector from index/value arrays); all grouping happens in SQL.
+    The dictionary size is a scalar subquery; all grouping happens in SQL.
     """
-    from pyspark.ml.linalg import VectorUDT
-
     indexed, vocab = index_feature_tuples(tuples)
     lists = patient_feature_lists(indexed).withColumn("vec_size", vocab.agg(F.count(F.lit(1))).scalar())
-    to_vec = F.udf(_to_sparse, VectorUDT())
-    return lists.select("patient_id", to_vec("vec_size", "features").alias("features"))
+    return lists.select("patient_id", sparse_vector("vec_size", "features").alias("features"))
 
 
 def feature_vector_text(tuples: DataFrame, digits: int = 6) -> DataFrame:

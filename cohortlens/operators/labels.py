@@ -30,30 +30,32 @@ def label_frequency(df: DataFrame, min_cases: int = MIN_CASES, exclude: str = EX
 
 
 def label_indicators(df: DataFrame, kept: DataFrame, key: str, col: str = "finding_labels") -> DataFrame:
-    """One 0/1 column per kept label (a pivot; column names are the label values)."""
-    exploded = df.select(key, F.explode(F.split(F.col(col), r"\|")).alias("label"))
-    hits = exploded.join(kept.select("label"), "label", "left_semi")
-    wide = hits.groupBy(key).pivot("label").agg(F.count(F.lit(1)))
-    out = df.select(key).join(wide, key, "left")
-    return out.na.fill(0, subset=[c for c in out.columns if c != key])
+    """Long form: (key, label, indicator 1) for every kept label that a row carries.
+
+    The schema is fixed whatever labels the data holds; absent pairs are the zeros.
+    """
+    exploded = df.select(key, F.explode(F.split(F.col(col), r"\|")).alias("label")).distinct()
+    return exploded.join(kept.select("label"), "label", "left_semi").select(key, "label", F.lit(1).alias("indicator"))
+
+
+def wide_indicators(df: DataFrame, labels: list[str], key: str, col: str = "finding_labels") -> DataFrame:
+    """One 0/1 column per given label (the caller names them, so the schema is known beforehand)."""
+    held = F.split(F.col(col), r"\|")
+    return df.select(key, *[F.coalesce(F.array_contains(held, x), F.lit(False)).cast("int").alias(x) for x in labels])
 
 
 def weighted_sample(df: DataFrame, key: str, weight: str, n: int = SAMPLE_SIZE,
-                    offset: float = WEIGHT_OFFSET, salt: str = "ws", top_n_limit: int = 20000) -> DataFrame:
+                    offset: float = WEIGHT_OFFSET, salt: str = "ws") -> DataFrame:
     """Weighted sample without replacement of ``n`` rows (Efraimidis–Spirakis).
 
     w = weight / Σweight + offset; row key = −ln(u)/w with u a hash of the id, and the
-    n smallest keys are kept.  For n up to ``top_n_limit`` this is a top-n (each task
-    keeps n rows, one task merges partitions × n rows); for larger n every row gets its
-    position from the range-partitioned dense index and the first n are kept, so no
-    task ever holds more than a range partition.
+    n smallest keys are kept: every row gets its position from the range-partitioned dense
+    index and the first n stay, so no task ever holds more than a range partition.
     """
     total = df.agg(F.sum(weight)).scalar()
     # all-zero weights (no label kept) leave only the offset: a uniform sample
     w = F.coalesce(F.try_divide(F.col(weight).cast("double"), total.cast("double")), F.lit(0.0)) + F.lit(offset)
     keyed = df.withColumn("sample_key", -F.log(hash_unit(key, salt)) / w)
-    if n <= top_n_limit:
-        return keyed.orderBy("sample_key", key).limit(n)
     ranked = dense_index(keyed, ["sample_key", key], "_pos")
     return ranked.filter(F.col("_pos") < n).drop("_pos")
 
@@ -82,7 +84,8 @@ def preprocess_metadata(spark, metadata_path: str, image_root: str, min_cases: i
     Reads the metadata CSV with its declared schema (header on), lists image files under
     ``image_root`` (``images_*/images/*.png``; no content read), joins them on the file
     name, splits the labels, keeps labels with at least ``min_cases`` rows (``exclude``
-    removed) and adds one 0/1 column per kept label.  Returns (metadata, kept_labels).
+    removed) and adds one 0/1 column per kept label (their names are collected: a bounded
+    vocabulary of labels).  Returns (metadata, kept_labels).
     """
     from ..sources.readers import image_files, read_csv
 
@@ -90,7 +93,13 @@ def preprocess_metadata(spark, metadata_path: str, image_root: str, min_cases: i
     files = image_files(spark, image_root).filter(F.col("path").rlike(r"/images_[^/]*/images/[^/]+$"))
     joined = meta.join(files, "image_index")
     kept = label_frequency(joined, min_cases, exclude)
-    return label_indicators(joined, kept, "image_index").join(joined, "image_index"), kept
+    names = [r["label"] for r in kept.orderBy("label").collect()]
+    return wide_indicators(joined, names, "image_index").join(joined, "image_index"), kept
+
+
+def sample_and_split(df: DataFrame, key: str, weight: str, stratum, n: int = SAMPLE_SIZE, fractions=(0.2, 0.2)) -> DataFrame:
+    """The weighted sample first, then its stratified split, as the preparation chains them."""
+    return stratified_split(weighted_sample(df, key, weight, n).drop("sample_key"), key, stratum, fractions)
 
 
 METADATA_SCHEMA = T.StructType([

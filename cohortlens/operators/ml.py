@@ -14,11 +14,11 @@ from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sparse import sparse_vector
 from .metrics import purity
 
 SEED = 6250
@@ -29,26 +29,18 @@ def vector_rows(df: DataFrame, array_col: str = "embedding", out: str = "feature
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
-def _sparse_udf():
-    def build(size, pairs):
-        from pyspark.ml.linalg import Vectors
-        return Vectors.sparse(int(size), [(int(p[0]), float(p[1])) for p in pairs])
-    return F.udf(build, VectorUDT())
-
-
 def sparse_feature_rows(features: DataFrame, labels: DataFrame, size: int | None = None,
                         label_col: str = "is_dead") -> DataFrame:
     """(patient_id, label, features SparseVector) from long (patient_id, feature_id, feature_value).
 
-    The vector size is the dictionary size (max id + 1 unless given).  The vector is
-    assembled by a small per-row helper; grouping and sorting stay in SQL.
+    The vector size is the dictionary size (max id + 1 unless given).
     """
     lists = features.groupBy("patient_id").agg(
         F.array_sort(F.collect_list(F.struct("feature_id", "feature_value"))).alias("_p"))
     size_col = features.agg(F.max("feature_id") + 1).scalar() if size is None else F.lit(size)
     lists = lists.withColumn("_size", size_col)
     rows = lists.join(labels.select("patient_id", F.col(label_col).cast("double").alias("label")), "patient_id")
-    return rows.select("patient_id", "label", _sparse_udf()("_size", "_p").alias("features"))
+    return rows.select("patient_id", "label", sparse_vector("_size", "_p").alias("features"))
 
 
 def standardize(df: DataFrame, input_col: str = "features", output_col: str = "scaled") -> DataFrame:
@@ -86,14 +78,18 @@ def cluster_purity(df: DataFrame, method: str, class_col: str = "label", **kw) -
         F.lit(method).alias("model"), "purity")
 
 
-def classifier(kind: str, features_col: str = "features", label_col: str = "label", c: float = 1.0,
-               n_rows: int | None = None):
-    """Logistic regression, linear SVM or a depth-5 decision tree."""
+def classifier(kind: str, n_rows: int, features_col: str = "features", label_col: str = "label", c: float = 1.0):
+    """Logistic regression, linear SVM or a depth-5 decision tree for ``n_rows`` training rows.
+
+    The penalty is |w|^2 / 2 + C * (sum of losses) with C = 1 and features as given; Spark
+    averages the losses, so that is a regularisation of 1 / (n * C) without standardising.
+    """
     if kind == "lr":
-        reg = 1.0 / (c * n_rows) if n_rows else 0.0
-        return LogisticRegression(featuresCol=features_col, labelCol=label_col, regParam=reg, maxIter=100)
+        return LogisticRegression(featuresCol=features_col, labelCol=label_col, regParam=1.0 / (c * max(n_rows, 1)),
+                                  standardization=False, maxIter=100)
     if kind == "svm":
-        return LinearSVC(featuresCol=features_col, labelCol=label_col, maxIter=100, regParam=0.0)
+        return LinearSVC(featuresCol=features_col, labelCol=label_col, regParam=1.0 / (c * max(n_rows, 1)),
+                         standardization=False, maxIter=100)
     if kind == "tree":
         return DecisionTreeClassifier(featuresCol=features_col, labelCol=label_col, maxDepth=5, seed=SEED)
     raise ValueError(kind)
@@ -101,28 +97,41 @@ def classifier(kind: str, features_col: str = "features", label_col: str = "labe
 
 def fit_predict(train: DataFrame, score: DataFrame, kind: str, key: str = "patient_id") -> DataFrame:
     """Fit on ``train`` and predict ``score``: (key, label, prediction)."""
-    model = classifier(kind).fit(train)
+    model = classifier(kind, train.count()).fit(train)
     return model.transform(score).select(key, "label", F.col("prediction").cast("int").alias("prediction"))
 
 
+def _validated(train: DataFrame, test: DataFrame, kind: str) -> tuple[float | None, float | None]:
+    """Accuracy and exact AUC (no score bins) on ``test`` of a model fitted on ``train``; null where undefined."""
+    pred = classifier(kind, train.count()).fit(train).transform(test)
+    accuracy, classes = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")), F.count_distinct("label")).first()
+    exact = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
+    return accuracy, exact.evaluate(pred) if classes > 1 else None
+
+
+def _with_mean(spark, rows: list[tuple], round_col: str) -> DataFrame:
+    """One row per round, and their mean as round -1."""
+    per = spark.createDataFrame(rows, f"{round_col} int, accuracy double, auc double")
+    mean = per.agg(F.lit(-1).alias(round_col), F.avg("accuracy").alias("accuracy"), F.avg("auc").alias("auc"))
+    return per.unionByName(mean)
+
+
 def kfold_cv(df: DataFrame, fold_col: str = "fold", k: int = 5, kind: str = "lr") -> DataFrame:
     """Per-fold accuracy and AUC of a classifier trained on the other folds, plus the mean.
 
     Each fit is distributed; only the metric scalars return to the driver.
     """
-    spark = df.sparkSession
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
-                                              metricName="areaUnderROC")
+    rows = [(f, *_validated(df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f), kind)) for f in range(k)]
+    return _with_mean(df.sparkSession, rows, "fold")
+
+
+def random_split_cv(df: DataFrame, splits: DataFrame, iterations: int = 5, kind: str = "lr", key: str = "patient_id") -> DataFrame:
+    """Accuracy and AUC over repeated random splits (iteration, key, split in train/test), plus the mean."""
     rows = []
-    for f in range(k):
-        train, test = df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f)
-        pred = classifier(kind).fit(train).transform(test)
-        acc = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-        auc = evaluator.evaluate(pred) if pred.select("label").distinct().count() > 1 else None
-        rows.append((f, acc, auc))
-    per = spark.createDataFrame(rows, "fold int, accuracy double, auc double")
-    mean = per.agg(F.lit(-1).alias("fold"), F.avg("accuracy").alias("accuracy"), F.avg("auc").alias("auc"))
-    return per.unionByName(mean)
+    for i in range(iterations):
+        part = df.join(splits.filter(F.col("iteration") == i).select(key, "split"), key)
+        rows.append((i, *_validated(part.filter("split = 'train'"), part.filter("split = 'test'"), kind)))
+    return _with_mean(df.sparkSession, rows, "iteration")
 
 
 # Weights of the voting ensemble: gradient boosting 3, forest 1, ridge 1 (the network
@@ -130,12 +139,20 @@ def kfold_cv(df: DataFrame, fold_col: str = "fold", k: int = 5, kind: str = "lr"
 VOTING_WEIGHTS = (("gbt", 3.0), ("forest", 1.0), ("ridge", 1.0))
 
 
-def voting_ensemble(train: DataFrame, score: DataFrame, key: str = "patient_id") -> DataFrame:
-    """(key, score): weighted mean of the regressors' predictions."""
+TREES = 2000  # boosting rounds, and trees of the forest, in the original ensemble
+
+
+def voting_ensemble(train: DataFrame, score: DataFrame, key: str = "patient_id", trees: int = TREES, alpha: float = 1.0) -> DataFrame:
+    """(key, score): weighted mean of the regressors' predictions.
+
+    Ridge minimises (sum of squared errors) + alpha * |w|^2; Spark halves and averages the
+    errors, so its regularisation is alpha / n, without standardising.
+    """
     models = {
-        "gbt": GBTRegressor(featuresCol="features", labelCol="label", maxIter=20, seed=SEED),
-        "forest": RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=20, seed=SEED),
-        "ridge": LinearRegression(featuresCol="features", labelCol="label", regParam=1.0, elasticNetParam=0.0),
+        "gbt": GBTRegressor(featuresCol="features", labelCol="label", maxIter=trees, seed=SEED),
+        "forest": RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=trees, seed=SEED),
+        "ridge": LinearRegression(featuresCol="features", labelCol="label", regParam=alpha / max(train.count(), 1),
+                                  elasticNetParam=0.0, standardization=False),
     }
     out = score.select(key, "features")
     total = sum(w for _, w in VOTING_WEIGHTS)

@@ -8,7 +8,7 @@ tasks.  The visit position inside a patient comes from the range-partitioned
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import icd9_rollup
@@ -82,6 +82,22 @@ def padded_batch(flat: DataFrame, pad_to: int | None = None) -> DataFrame:
     return ordered.select("patient_id", "seq_length", longest.alias("padded_length"), "batch_pos")
 
 
+def padded_batches(flat: DataFrame, batch_size: int) -> DataFrame:
+    """(batch_id, batch_row, patient_id, seq_length, padded_length, visit_idx, codes), padded rows included.
+
+    Patients in id order form batches of ``batch_size``; a batch is sorted by length, longest
+    first (ties by id), and padded with empty visits to its own longest sequence.
+    """
+    lengths = flat.groupBy("patient_id").agg(F.count(F.lit(1)).alias("seq_length"))
+    placed = dense_index(lengths, ["patient_id"], "_pos").withColumn("batch_id", F.floor(F.col("_pos") / batch_size))
+    own = Window.partitionBy("batch_id")  # at most batch_size rows
+    rows = placed.select("batch_id", (F.row_number().over(own.orderBy(F.desc("seq_length"), "patient_id")) - 1).cast("bigint").alias("batch_row"),
+                         "patient_id", "seq_length", F.max("seq_length").over(own).alias("padded_length"))
+    grid = rows.withColumn("visit_idx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("padded_length") - 1)))
+    return grid.join(flat.select("patient_id", "visit_idx", "codes"), ["patient_id", "visit_idx"], "left").withColumn(
+        "codes", F.coalesce("codes", F.array().cast("array<bigint>")))
+
+
 def pad_sequence(seqs, padded_length, pad_value=None):
     """Column: seqs padded with empty visits up to padded_length (nested form)."""
     s = F.col(seqs) if isinstance(seqs, str) else seqs

@@ -72,7 +72,13 @@ sql("alive_dead_label", _with(*COHORT, LAB) + "SELECT patient_id, is_dead FROM l
 
 sql("index_dates", _with(*COHORT, IDX) + "SELECT patient_id, indx_date FROM idx")
 
-sql("window_filter", _with(*COHORT, IDX, FILT) + "SELECT patient_id, event_id, value FROM filt")
+# the dates are aggregated before the join, and the dead are excluded by an anti-join
+sql("window_filter", _with(*COHORT) + """
+, per AS MATERIALIZED (SELECT patient_id, max(event_date) AS last FROM ev GROUP BY patient_id),
+idx AS MATERIALIZED (SELECT patient_id, last AS indx_date FROM per WHERE NOT EXISTS (SELECT 1 FROM mort WHERE mort.patient_id = per.patient_id)
+  UNION ALL SELECT patient_id, CAST(death_date - INTERVAL 30 DAY AS DATE) FROM mort)
+SELECT e.patient_id, e.event_id, e.value FROM ev e JOIN idx i ON e.patient_id = i.patient_id
+WHERE e.event_date <= i.indx_date AND e.event_date >= i.indx_date - 2000""")
 
 sql("alive_time_difference", _with(*COHORT) + """
 , alive AS (SELECT * FROM ev WHERE patient_id NOT IN (SELECT patient_id FROM mort)),
@@ -275,9 +281,14 @@ sql("visit_multihot", _with(MORT, SEQ) + """
 SELECT DISTINCT patient_id, visit_idx, unnest(codes) AS code_idx FROM flat""")
 
 sql("padded_sequences", _with(MORT, SEQ) + """
-, len AS (SELECT patient_id, count(*) AS seq_length FROM flat GROUP BY patient_id)
-SELECT patient_id, seq_length, max(seq_length) OVER () AS padded_length,
-       CAST(row_number() OVER (ORDER BY seq_length DESC, patient_id) - 1 AS BIGINT) AS batch_pos FROM len""")
+, len AS (SELECT patient_id, count(*) AS seq_length FROM flat GROUP BY patient_id),
+pos AS (SELECT *, CAST((row_number() OVER (ORDER BY patient_id) - 1) // 32 AS BIGINT) AS batch_id FROM len),
+bat AS (SELECT *, CAST(row_number() OVER (PARTITION BY batch_id ORDER BY seq_length DESC, patient_id) - 1 AS BIGINT) AS batch_row,
+               max(seq_length) OVER (PARTITION BY batch_id) AS padded_length FROM pos),
+grid AS (SELECT *, unnest(range(padded_length)) AS visit_idx FROM bat)
+SELECT g.batch_id, g.batch_row, g.patient_id, g.seq_length, g.padded_length, g.visit_idx,
+       coalesce(array_to_string(f.codes, ','), '') AS codes
+FROM grid g LEFT JOIN flat f ON f.patient_id = g.patient_id AND f.visit_idx = g.visit_idx""")
 
 sql("num_features", _with(MORT, SEQ) + """
 SELECT count(DISTINCT c) AS num_features FROM (SELECT unnest(codes) AS c FROM flat)""")
@@ -294,21 +305,25 @@ freq AS (SELECT label, count(*) AS n_cases FROM ex GROUP BY label HAVING count(*
 
 sql("label_frequency", _with(META) + "SELECT label, n_cases FROM freq")
 
-# A dynamic PIVOT resolves its value list on its own source, so the source carries its own WITH.
 sql("multilabel_indicators", _with(META) + """
-SELECT k AS order_key, COALESCE(COLUMNS(* EXCLUDE (k, order_key)), 0) FROM (
-  SELECT m.order_key AS k, pv.* FROM meta m LEFT JOIN (
-    PIVOT (""" + _with(META) + """ SELECT order_key, label FROM ex WHERE label IN (SELECT label FROM freq))
-    ON label USING count(*) GROUP BY order_key) pv ON m.order_key = pv.order_key)""")
+SELECT DISTINCT order_key, label, 1 AS indicator FROM ex WHERE label IN (SELECT label FROM freq)""")
 
-sql("weighted_sample", _with(META) + """
-, w AS (SELECT m.order_key, coalesce(h.weight, 0) AS weight FROM meta m LEFT JOIN
+SAMPLE = """w AS (SELECT m.order_key, m.finding_labels, coalesce(h.weight, 0) AS weight FROM meta m LEFT JOIN
         (SELECT order_key, count(*) AS weight FROM ex WHERE label IN (SELECT label FROM freq) GROUP BY order_key) h
         ON m.order_key = h.order_key),
-tot AS (SELECT sum(weight) AS s FROM w)
-SELECT order_key, weight FROM w, tot
-ORDER BY -ln(""" + hash_unit_sql("order_key", "ws") + """) / (coalesce(weight / NULLIF(tot.s, 0), 0.0) + 0.04), order_key
-LIMIT 5000""")
+tot AS (SELECT sum(weight) AS s, count(*) * 5 // 7 AS n FROM w),
+smp AS (SELECT order_key, finding_labels, weight FROM (SELECT w.*, tot.n, row_number() OVER (
+    ORDER BY -ln(""" + hash_unit_sql("order_key", "ws") + """) / (coalesce(weight / NULLIF(tot.s, 0), 0.0) + 0.04), order_key) AS pos
+    FROM w, tot) WHERE pos <= n)"""
+
+sql("weighted_sample", _with(META, SAMPLE) + "SELECT order_key, weight FROM smp")
+
+sql("sampled_split", _with(META, SAMPLE) + """
+, b AS (SELECT order_key, substr(finding_labels, 1, 4) AS stratum, """ + hash_unit_sql("order_key", "strat") + """ AS h FROM smp),
+p AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY h, order_key) - 1 AS pos,
+             count(*) OVER (PARTITION BY stratum) AS n FROM b)
+SELECT order_key, stratum, CASE WHEN pos < floor(n * 0.2) THEN 'test' WHEN pos < floor(n * (0.2 + 0.2)) THEN 'valid'
+                                ELSE 'train' END AS split FROM p""")
 
 sql("stratified_split", _with(META) + """
 , b AS (SELECT order_key, substr(finding_labels, 1, 4) AS stratum, """ + hash_unit_sql("order_key", "strat") + """ AS h FROM meta),

@@ -134,6 +134,8 @@ def graph_inputs(spark: SparkSession, d: str):
 
 # ---- metrics / ML inputs ------------------------------------------------------------
 
+BATCH_SIZE = 32       # sequences of a padded batch
+VOTING_TREES = 20     # of the registered voting query, for its run time; the operator's default is 2000
 N_MODELS = 5          # bagged SGD models (the reference stores five model parts)
 BAG_RATIO = 0.5
 PRED_THRESHOLD_CHARS = 1500   # stand-in binary classifier: n_chars >= threshold

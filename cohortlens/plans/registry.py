@@ -8,6 +8,7 @@ are rounded to 6 digits so that the DuckDB oracle (different summation order) ag
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,6 +174,14 @@ def _count_tuples(spark, d, candidates: bool = False):
     return features.count_features(dx, "code").unionByName(features.count_features(med, "medicine"))
 
 
+def _family_tuples(spark, d):
+    """Counts per code family (the part before the subcode): PCA's matrix is square in the feature number."""
+    dx, med, _ = P.pheno_inputs(spark, d)
+    family = lambda c: F.substring_index(F.substring_index(c, ".", 1), "-", 1)
+    return features.count_features(dx.withColumn("code", family("code")), "code").unionByName(
+        features.count_features(med.withColumn("medicine", family("medicine")), "medicine"))
+
+
 def _lab_tuples(spark, d, candidates: bool = False):
     _, _, lab = P.pheno_inputs(spark, d)
     cl = None
@@ -227,7 +236,8 @@ def q_visit_multihot(spark, d):
 
 @register("padded_sequences")
 def q_padded_sequences(spark, d):
-    return seq.padded_batch(P.seq_inputs(spark, d)[4])
+    return seq.padded_batches(P.seq_inputs(spark, d)[4], P.BATCH_SIZE).select(
+        "batch_id", "batch_row", "patient_id", "seq_length", "padded_length", "visit_idx", F.array_join("codes", ",").alias("codes"))
 
 
 @register("num_features")
@@ -258,15 +268,27 @@ def _weighted_meta(spark, d):
         "order_key", "finding_labels", F.coalesce(F.col("weight"), F.lit(0)).alias("weight"))
 
 
-# Sample size of the registered weighted-sample query (the reference's 80000 is for a
-# 112k-row table; the driver tables at sf0.01 have ~15k orders).
-WEIGHTED_SAMPLE_N = 5000
+# Share of the rows that the registered weighted sample draws (80,000 of about 112,000 in the
+# original preparation).
+WEIGHTED_SAMPLE_SHARE = 5 / 7
+
+
+def _sample_size(meta):
+    return int(meta.count() * 5 // 7)
 
 
 @register("weighted_sample")
 def q_weighted_sample(spark, d):
-    s = lab_ops.weighted_sample(_weighted_meta(spark, d), "order_key", "weight", n=WEIGHTED_SAMPLE_N)
-    return s.select("order_key", "weight")
+    meta = P.training_frame(_weighted_meta(spark, d))
+    return lab_ops.weighted_sample(meta, "order_key", "weight", n=_sample_size(meta)).select("order_key", "weight")
+
+
+@register("sampled_split")
+def q_sampled_split(spark, d):
+    """The sample first, then its stratified split."""
+    meta = P.training_frame(_weighted_meta(spark, d))
+    return lab_ops.sample_and_split(meta, "order_key", "weight", F.substring("finding_labels", 1, 4), n=_sample_size(meta)).select(
+        "order_key", "stratum", "split")
 
 
 @register("stratified_split")
@@ -365,7 +387,7 @@ def q_random_walk(spark, d):
 @register("pic_clusters")
 def q_pic_clusters(spark, d):
     patients, _, _, edges = P.graph_inputs(spark, d)
-    return graph.power_iteration_clusters(graph.jaccard_all_pairs(edges, patients), k=3, max_iter=100)
+    return graph.power_iteration_clusters(graph.jaccard_all_pairs(edges, patients), k=3, max_iter=100, patients=patients)
 
 
 # ---- metrics ------------------------------------------------------------------------
@@ -452,7 +474,7 @@ def q_gmm_purity(spark, d):
     return ml.cluster_purity(_pca(spark, d), "gmm", k=3, max_iter=20)
 
 
-def _streaming_assign(spark, d, vec_col="embedding", dims=None):
+def _streaming_assign(spark, d, vec_col="embedding"):
     import uuid
 
     from ..session import ensure_checkpoint_dir
@@ -461,15 +483,10 @@ def _streaming_assign(spark, d, vec_col="embedding", dims=None):
 
     schema = read_table(spark, d, "embeddings").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(d)
-    if dims is not None:
-        stream = stream.withColumn(vec_col, F.slice(vec_col, 1, dims))
-    dim = dims or 64
-    state = StreamingKMeansState.random(k=3, dim=dim, weight=0.5, seed=ml.SEED, decay=1.0)
+    state = StreamingKMeansState.random(k=3, dim=64, weight=0.5, seed=ml.SEED, decay=1.0)
     ckpt = ensure_checkpoint_dir(spark).rstrip("/") + f"/streaming-kmeans-{uuid.uuid4().hex}"
     run_streaming_kmeans(stream.select("vec_id", "label", vec_col), vec_col, state, ckpt)
     static = read_table(spark, d, "embeddings")
-    if dims is not None:
-        static = static.withColumn(vec_col, F.slice(vec_col, 1, dims))
     return assign(static.select("vec_id", "label", vec_col), vec_col, state)
 
 
@@ -480,21 +497,39 @@ def q_streaming_kmeans(spark, d):
 
 @register("clustering_report")
 def q_clustering_report(spark, d):
-    """Purity of k-means, Gaussian mixture and streaming k-means on all 64 dimensions
-    and on a filtered view (first 32 dimensions)."""
-    out = None
-    for name, dims in (("all", None), ("filtered", 32)):
-        e = P.embedding_rows(spark, d)
-        if dims:
-            e = ml.vector_rows(e.withColumn("embedding", F.slice("embedding", 1, dims)))
-        p = P.training_frame(ml.pca(ml.standardize(e), k=10))
-        parts = [ml.cluster_purity(p, "kmeans", k=3, max_iter=20), ml.cluster_purity(p, "gmm", k=3, max_iter=20),
-                 metrics.purity(_streaming_assign(spark, d, dims=dims).select("cluster", F.col("label").alias("class")))
-                 .select(F.lit("streaming").alias("model"), "purity")]
-        for part in parts:
-            part = part.select(F.lit(name).alias("feature_set"), "model", "purity")
-            out = part if out is None else out.unionByName(part)
-    return out
+    """Purity of k-means, Gaussian mixture and streaming k-means against the phenotype class, on
+    patient features: all codes (by family) and labs, and those of the candidate lists."""
+    pheno = q_phenotype(spark, d)
+    parts = []
+    for name, filtered in (("all", False), ("filtered", True)):
+        codes = _count_tuples(spark, d, True) if filtered else _family_tuples(spark, d)
+        tuples = codes.unionByName(_lab_tuples(spark, d, filtered))
+        points = P.training_frame(ml.pca(ml.standardize(features.feature_vectors(tuples)), k=10))
+        points = P.training_frame(points.join(pheno, "patient_id").select("patient_id", F.col("label").alias("label"), "pca"))
+        streamed = _stream_clusters(spark, points)
+        for model, purity in (("kmeans", ml.cluster_purity(points, "kmeans", k=3, max_iter=20)),
+                              ("gmm", ml.cluster_purity(points, "gmm", k=3, max_iter=20)),
+                              ("streaming", metrics.purity(streamed.select("cluster", F.col("label").alias("class"))))):
+            parts.append(purity.select(F.lit(name).alias("feature_set"), F.lit(model).alias("model"), "purity"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _stream_clusters(spark, points):
+    """Streaming k-means over the projected points, read as a stream of stored files."""
+    import uuid
+
+    from pyspark.ml.functions import vector_to_array
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.kmeans import StreamingKMeansState, assign, run_streaming_kmeans
+
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/clusters-{uuid.uuid4().hex}"
+    points.select("patient_id", "label", vector_to_array("pca").alias("point")).write.parquet(f"{base}/points")
+    stored = spark.read.parquet(f"{base}/points")
+    dim = stored.agg(F.max(F.size("point"))).first()[0] or 1
+    state = StreamingKMeansState.random(k=3, dim=dim, weight=0.5, seed=ml.SEED, decay=1.0)
+    run_streaming_kmeans(spark.readStream.schema(stored.schema).parquet(f"{base}/points"), "point", state, f"{base}/state")
+    return assign(stored, "point", state)
 
 
 @register("mlp_predict")
@@ -527,6 +562,12 @@ def q_tree_predict(spark, d):
     return ml.fit_predict(train, rows, "tree")
 
 
+@register("random_split_cv")
+def q_random_split_cv(spark, d):
+    rows = P.patient_feature_rows(spark, d)
+    return ml.random_split_cv(rows, splits.shuffle_split(rows.select("patient_id"), "patient_id", 5, 0.2), 5, "lr")
+
+
 @register("kfold_cv")
 def q_kfold_cv(spark, d):
     rows = splits.kfold_assign(P.patient_feature_rows(spark, d), "patient_id", 5)
@@ -536,7 +577,7 @@ def q_kfold_cv(spark, d):
 @register("voting_ensemble")
 def q_voting_ensemble(spark, d):
     rows, train = _split_rows(spark, d)
-    return ml.voting_ensemble(train, rows)
+    return ml.voting_ensemble(train, rows, trees=P.VOTING_TREES)
 
 
 @register("sgd_weights")
@@ -553,6 +594,24 @@ def _ensemble_scores(spark, d):
     return ensemble.ensemble_score(P.patient_lists(spark, d, fmap), w, P.N_MODELS)
 
 
+@register("ensemble_roc")
+def q_ensemble_roc(spark, d):
+    """Train the bagged models, store and reload their weights, score all patients, AUC."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    lists = P.training_frame(P.patient_lists(spark, d))
+    labels = P.labels(spark, d)
+    bag = splits.bagging_sample(labels, "patient_id", P.N_MODELS, P.BAG_RATIO)
+    rows = bag.join(lists, "patient_id").select("model_id", "patient_id", F.col("is_dead").alias("label"), "features")
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/sgd-weights-{uuid.uuid4().hex}"
+    ensemble.store_weights(ensemble.sgd_train(rows), path)
+    scores = ensemble.ensemble_score(lists, ensemble.load_weights(spark, path), P.N_MODELS)
+    judged = scores.join(labels, "patient_id").select(F.col("is_dead").alias("y_true"), F.round("score", 9).alias("score"))
+    return P.rounded(metrics.roc_auc(judged), ["auc"])
+
+
 @register("ensemble_score")
 def q_ensemble_score(spark, d):
     return P.rounded(_ensemble_scores(spark, d), ["score"])

@@ -35,9 +35,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     reader = spark.read.option("header", header).option("sep", sep)
     if not drop_malformed:
         return reader.schema(schema).option("dateFormat", "yyyy-MM-dd").csv(path)
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = reader.schema(text_schema).option("mode", "DROPMALFORMED").csv(path)
+    raw = reader.schema(text_schema).option("columnPruning", False).option("mode", "DROPMALFORMED").csv(path)
     typed = [F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name) for f in schema.fields]
     ok = F.lit(True)
     for f, t in zip(schema.fields, typed):
@@ -45,6 +44,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     return raw.filter(ok).select(*typed)
 
 
+def read_signals(spark: SparkSession, path: str, n_features: int = 178, label_col: str = "y") -> DataFrame:
+    """Wide numeric CSV (row name, X1..Xn, class from 1) → (row_name, features array<double>, label from 0).
+
+    The schema is declared; rows with a wrong field count or a field that is no number are dropped.
+    """
+    names = [f"X{i}" for i in range(1, n_features + 1)]
+    schema = T.StructType([T.StructField("row_name", T.StringType()), *[T.StructField(x, T.DoubleType()) for x in names],
+                           T.StructField(label_col, T.IntegerType())])
+    wide = read_csv(spark, path, schema, header=True, drop_malformed=True)
+    return wide.select("row_name", F.array(*names).alias("features"), (F.col(label_col) - 1).alias("label"))
+
+
 def table_name_from_path(path: str) -> str:
     """'…/dir/lab_results.csv' → 'lab_results' (driver-side string helper)."""
     base = re.split(r"[\\/]", path.rstrip("/\\"))[-1]

@@ -17,6 +17,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,13 +75,10 @@ def batch_stats(batch: DataFrame, vec_col: str, centers: np.ndarray) -> tuple[np
     """Per-cluster vector sums and counts of one batch (k rows collected)."""
     k, dim = centers.shape
     assigned = batch.select(nearest_center(F.col(vec_col), centers).alias("c"), F.col(vec_col).alias("v"))
-    agg = assigned.select("c", F.posexplode("v").alias("j", "x")).groupBy("c", "j").agg(F.sum("x").alias("s"))
-    cnt = assigned.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    per = assigned.groupBy("c").agg(Summarizer.sum(array_to_vector("v")).alias("s"), F.count(F.lit(1)).alias("n"))
     sums, counts = np.zeros((k, dim)), np.zeros(k)
-    for r in agg.collect():          # at most k·d small rows
-        sums[r["c"], r["j"]] = r["s"]
-    for r in cnt.collect():          # at most k rows
-        counts[r["c"]] = r["n"]
+    for r in per.collect():          # one pass over the batch, at most k rows of d numbers
+        sums[r["c"]], counts[r["c"]] = r["s"].toArray(), r["n"]
     return sums, counts
 
 

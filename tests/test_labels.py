@@ -13,8 +13,11 @@ def test_label_frequency_and_indicators(spark):
     freq = lab.label_frequency(m, min_cases=15)
     assert rows(freq) == [("A", 30), ("B", 20), ("C", 20)]
     ind = lab.label_indicators(m, freq, "order_key")
-    r = {x.order_key: (x.A, x.B, x.C) for x in ind.collect()}
-    assert r[0] == (1, 1, 0) and r[3] == (0, 0, 0) and r[4] == (1, 0, 1)
+    held = {(x.order_key, x.label) for x in ind.collect()}
+    assert ind.columns == ["order_key", "label", "indicator"]
+    assert {k for k in held if k[0] in (0, 3, 4)} == {(0, "A"), (0, "B"), (4, "A"), (4, "C")}
+    r = {x.order_key: (x.A, x.B, x.C) for x in lab.wide_indicators(m, ["A", "B", "C"], "order_key").collect()}
+    assert r[0] == (1, 1, 0) and r[4] == (1, 0, 1)
 
 
 def test_weighted_sample_deterministic(spark):
@@ -50,12 +53,20 @@ def test_hash_splits(spark):
     assert set(per) == {0, 1, 2, 3} and all(800 < v < 1200 for v in per.values())
 
 
-def test_weighted_sample_large_n_uses_distributed_ranking(spark):
+def test_weighted_sample_takes_the_smallest_keys(spark):
     from pyspark.sql import functions as F
     m = _meta(spark).withColumn("w", F.col("order_key") % 3 + 1.0)
-    small = {r.order_key for r in lab.weighted_sample(m, "order_key", "w", n=7).collect()}
-    big = {r.order_key for r in lab.weighted_sample(m, "order_key", "w", n=7, top_n_limit=0).collect()}
-    assert small == big and len(big) == 7
+    some = {r.order_key: r.sample_key for r in lab.weighted_sample(m, "order_key", "w", n=7).collect()}
+    every = {r.order_key: r.sample_key for r in lab.weighted_sample(m, "order_key", "w", n=10**6).collect()}
+    assert len(some) == 7 and len(every) == m.count()
+    assert sorted(some.values()) == sorted(every.values())[:7]
+
+
+def test_sample_then_split(spark):
+    from pyspark.sql import functions as F
+    m = _meta(spark).withColumn("w", F.lit(1.0))
+    out = lab.sample_and_split(m, "order_key", "w", F.lit("s"), n=10)
+    assert sorted(r.split for r in out.collect()) == ["test"] * 2 + ["train"] * 6 + ["valid"] * 2
 
 
 def test_preprocess_metadata(spark, tmpdir_path):

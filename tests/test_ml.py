@@ -45,3 +45,50 @@ def test_classifiers_on_separable_data(spark):
     for kind in ("lr", "svm", "tree"):
         pred = ml.fit_predict(df, df, kind)
         assert pred.filter(F.col("prediction") != F.col("label")).count() == 0
+
+
+def _noisy(spark, n=300):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, [1.0, 5.0], (n, 2))
+    y = (x[:, 0] + 0.2 * x[:, 1] + rng.normal(0, 1, n) > 0).astype(float)
+    return x, y, spark.createDataFrame([(i, float(b), Vectors.dense(a.tolist())) for i, (a, b) in enumerate(zip(x, y))], ["patient_id", "label", "features"])
+
+
+def test_logistic_regression_reaches_the_penalised_optimum(spark):
+    import numpy as np
+    from cohortlens.operators import ml
+    x, y, df = _noisy(spark)
+    model = ml.classifier("lr", len(y)).fit(df)
+    w = np.zeros(3)
+    a = np.c_[x, np.ones(len(y))]
+    for _ in range(50):                      # Newton steps on |w|^2 / 2 + sum of losses (the intercept is free)
+        p = 1 / (1 + np.exp(-a @ w))
+        free = np.diag([1.0, 1.0, 0.0])
+        w -= np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + free, a.T @ (p - y) + free @ w)
+    assert np.allclose([*model.coefficients, model.intercept], w, atol=1e-3)
+
+
+def test_cv_auc_is_exact(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+    from cohortlens.operators import metrics, ml, splits
+    _, _, df = _noisy(spark)
+    folded = splits.kfold_assign(df, "patient_id", 3)
+    got = {r.fold: r.auc for r in ml.kfold_cv(folded, "fold", 3).collect()}
+    train, test = folded.filter("fold <> 0"), folded.filter("fold = 0")
+    pred = ml.classifier("lr", train.count()).fit(train).transform(test)
+    scored = pred.select(F.col("label").cast("int").alias("y_true"), vector_to_array("rawPrediction")[1].alias("score"))
+    assert abs(metrics.roc_auc(scored).first()["auc"] - got[0]) < 1e-9
+    repeated = ml.random_split_cv(df, splits.shuffle_split(df.select("patient_id"), "patient_id", 2, 0.2), 2).collect()
+    assert sorted(r.iteration for r in repeated) == [-1, 0, 1] and all(0.5 < r.auc <= 1 for r in repeated)
+
+
+def test_ridge_weight_of_the_ensemble_is_scaled_by_the_rows(spark):
+    import numpy as np
+    from pyspark.ml.regression import LinearRegression
+    x, y, df = _noisy(spark)
+    model = LinearRegression(regParam=1.0 / len(y), elasticNetParam=0.0, standardization=False).fit(df)
+    c, m = x - x.mean(axis=0), y - y.mean()
+    assert np.allclose(model.coefficients, np.linalg.solve(c.T @ c + np.eye(2), c.T @ m), atol=1e-6)

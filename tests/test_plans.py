@@ -12,12 +12,27 @@ BAD = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython")
 
 
 def _plan(spark, name):
-    return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    """The query's plan, with the plans of all frames that it checkpoints on the way."""
+    frame = type(spark.range(0))
+    original, plans = frame.checkpoint, []
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def spy(self, *a, **b):
+        plans.append(text(self))
+        return original(self, *a, **b)
+
+    frame.checkpoint = spy
+    try:
+        plans.append(text(E.queries()[name](spark, SF)))
+    finally:
+        frame.checkpoint = original
+    return "\n".join(plans)
 
 
 @pytest.mark.parametrize("name", ["svmlight_lines", "phenotype", "top_events", "visit_sequences", "graph_edges",
                                   "jaccard_top10", "jaccard_all_pairs", "roc_curve", "weighted_sample",
-                                  "padded_sequences", "feature_vectors", "ensemble_score"])
+                                  "padded_sequences", "feature_vectors", "ensemble_score", "lr_predict", "sampled_split",
+                                  "vector_rows", "multilabel_indicators"])
 def test_no_cartesian_or_row_udf(spark, name):
     assert not BAD.search(_plan(spark, name))
 

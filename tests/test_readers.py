@@ -91,3 +91,24 @@ def test_sequence_and_csv_sinks(spark, tmpdir_path):
     assert back.filter("patient_id = 1").first().seqs == [[1, 2], [3]]
     sinks.write_csv(df.select("patient_id", "label"), os.path.join(tmpdir_path, "csv"), sep=";")
     assert spark.read.option("header", True).option("sep", ";").csv(os.path.join(tmpdir_path, "csv")).count() == 2
+
+
+def test_wide_signal_csv(spark, tmpdir_path):
+    import os
+    from cohortlens.sources.readers import read_signals
+    path = os.path.join(tmpdir_path, "signals.csv")
+    with open(path, "w") as f:
+        f.write(",X1,X2,X3,y\na,1,2.5,-3,1\nb,4,5,6,5\nc,7,8,1\nd,7,x,9,2\n")
+    got = {r.row_name: (r.features, r.label) for r in read_signals(spark, path, n_features=3).collect()}
+    assert got == {"a": ([1.0, 2.5, -3.0], 0), "b": ([4.0, 5.0, 6.0], 4)}
+
+
+def test_malformed_rows_need_no_session_setting(spark, tmpdir_path):
+    import os
+    from cohortlens.sources.readers import FEATURE_MAP_SCHEMA, read_csv
+    before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
+    path = os.path.join(tmpdir_path, "map.csv")
+    with open(path, "w") as f:
+        f.write("idx,event_id\n1,a\n2\n3,b,c\n4,d\n")
+    assert [r.event_id for r in read_csv(spark, path, FEATURE_MAP_SCHEMA, drop_malformed=True).select("event_id").collect()] == ["a", "d"]
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before

@@ -32,6 +32,11 @@ def test_visit_sequences(spark):
     assert rows(seq.multihot_coordinates(flat)) == [(1, 0, 1), (1, 1, 0), (1, 1, 1), (2, 0, 2)]
     assert rows(seq.padded_batch(flat)) == [(1, 2, 2, 0), (2, 1, 2, 1)]
     assert seq.num_features(flat).first().num_features == 3
+    batches = rows(seq.padded_batches(flat, 2), "batch_id", "batch_row", "patient_id", "seq_length", "padded_length", "visit_idx")
+    assert batches == [(0, 0, 1, 2, 2, 0), (0, 0, 1, 2, 2, 1), (0, 1, 2, 1, 2, 0), (0, 1, 2, 1, 2, 1)]
+    assert {r.patient_id: r.codes for r in seq.padded_batches(flat, 2).filter("visit_idx = 1").collect()}[2] == []
+    alone = rows(seq.padded_batches(flat, 1), "batch_id", "patient_id", "padded_length", "visit_idx")
+    assert alone == [(0, 1, 2, 0), (0, 1, 2, 1), (1, 2, 1, 0)]
     padded = visits.groupBy("patient_id").agg(F.collect_list("codes").alias("s")).select(
         "patient_id", seq.pad_sequence("s", 3).alias("p"))
     assert all(len(r.p) == 3 for r in padded.collect())
