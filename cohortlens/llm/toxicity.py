@@ -15,8 +15,8 @@ A-Z lower-cased), modelled byte by byte with contexts of six bytes from the word
   that have not seen them: each half of the training rows scores the other half.
 
 Counts come from every document, in one pass with partial sums per task and one shuffle by
-gram.  The ratios go into tables of 2**22 slots (grams) and 2**20 slots (contexts): a
-fixed 20 MB per model whatever the corpus, sent to the executors; slots that several
+gram.  The ratios go into tables of 2**22 slots (grams) and 2**20 slots (contexts), two bytes each: a
+fixed 10 MB per model whatever the corpus, sent to the executors; slots that several
 grams share hold their count-weighted mean.  Scoring is map-only.
 
 Cases: null and empty texts have features 0 and a score like any other; a document without
@@ -43,7 +43,7 @@ from .common import saved, slices, small
 
 ORDER = 7  # bytes of a gram
 DISCOUNT = 0.75
-GRAM_BITS, CONTEXT_BITS, CHUNK_BITS = 23, 20, 16
+GRAM_BITS, CONTEXT_BITS, CHUNK_BITS = 22, 20, 16
 LENGTH_POWER = 0.5
 TOP = 5
 FEATURES = ("strongest", "top", "mean")
@@ -139,7 +139,7 @@ def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dense(table: DataFrame, key: str, bits: int) -> dict[str, np.ndarray]:
-    """The table as one array of 2**bits float32 per model; slots without a key are NaN.
+    """The table as one array of 2**bits half-precision numbers per model; slots without a key are NaN.
 
     Made in 2**(bits - CHUNK_BITS) pieces by as many groups; their size is fixed.
     """
@@ -156,16 +156,16 @@ def dense(table: DataFrame, key: str, bits: int) -> dict[str, np.ndarray]:
     def pack(piece: pd.DataFrame) -> pd.DataFrame:
         row = {"chunk": piece["chunk"].iloc[0]}
         for m in MODELS:
-            values = np.full(1 << CHUNK_BITS, np.nan, np.float32)
+            values = np.full(1 << CHUNK_BITS, np.nan, np.float16)
             values[piece["at"].to_numpy()] = piece[m].to_numpy()
             row[m] = values.tobytes()
         return pd.DataFrame([row])
 
-    out = {m: np.full(1 << bits, np.nan, np.float32) for m in MODELS}
+    out = {m: np.full(1 << bits, np.nan, np.float16) for m in MODELS}
     for row in mean.groupBy("chunk").applyInPandas(pack, "chunk long, " + ", ".join(f"{m} binary" for m in MODELS)).toLocalIterator():
         for m in MODELS:
             first = row["chunk"] << CHUNK_BITS
-            out[m][first:first + (1 << CHUNK_BITS)] = np.frombuffer(row[m], np.float32)
+            out[m][first:first + (1 << CHUNK_BITS)] = np.frombuffer(row[m], np.float16)
     return out
 
 
@@ -174,7 +174,7 @@ def word_ratios(words: list[bytes], by_gram: np.ndarray, by_context: np.ndarray)
     found, own = grams(words)
     value = by_gram[slot(found, GRAM_BITS)]
     value = np.where(np.isnan(value), by_context[slot(found >> 8, CONTEXT_BITS)], value)
-    total = np.bincount(own, weights=np.nan_to_num(value), minlength=len(words))
+    total = np.bincount(own, weights=np.nan_to_num(value.astype(np.float64)), minlength=len(words))
     return total / (np.fromiter(map(len, words), np.int64, len(words)) + 1) ** LENGTH_POWER
 
 
@@ -244,10 +244,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tup
     rows = training_rows(docs.select(F.col(id_col), F.col(text_col).alias("text")), labels, id_col)
     by_gram, by_context = ratios(gram_counts(rows))
     grams_, contexts = dense(by_gram, "gram", GRAM_BITS), dense(by_context, "ctx", CONTEXT_BITS)
-    sc = docs.sparkSession.sparkContext
-    crossed = with_features(rows.where("group is not null"), sc.broadcast((grams_, contexts)), ["group"], True)
-    weights = fitted(saved(crossed.withColumn("y", (F.col("group") % 2 == 0).cast("int"))))
-    return sc.broadcast(({"all": grams_["all"]}, {"all": contexts["all"]})), weights
+    tables = docs.sparkSession.sparkContext.broadcast((grams_, contexts))
+    crossed = with_features(rows.where("group is not null"), tables, ["group"], True)
+    return tables, fitted(saved(crossed.withColumn("y", (F.col("group") % 2 == 0).cast("int"))))
 
 
 def logistic(weights: tuple[float, list[float]]) -> Column:
