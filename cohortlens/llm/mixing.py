@@ -32,7 +32,7 @@ WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 QUALITY = {1: 2.0, 0: 0.5}  # labels.quality -> sampling weight
 UNLABELLED = 1.0
-RANGE_ROWS = 20_000  # documents of a source in one key range, about
+RANGE_ROWS = 2_000  # documents of a source in one key range, about
 SMALL_TABLE = 1_000_000
 SALT = "mix:"
 WORD = "[^\\x20\\x09-\\x0D]+"
