@@ -505,7 +505,7 @@ def q_clustering_report(spark, d):
         codes = _count_tuples(spark, d, True) if filtered else _family_tuples(spark, d)
         tuples = codes.unionByName(_lab_tuples(spark, d, filtered))
         points = P.training_frame(ml.pca(ml.standardize(features.feature_vectors(tuples)), k=10))
-        points = P.training_frame(points.join(pheno, "patient_id").select("patient_id", F.col("label").alias("label"), "pca"))
+        points = P.training_frame(points.join(pheno, "patient_id").select("patient_id", F.col("phenotype").alias("label"), "pca"))
         streamed = _stream_clusters(spark, points)
         for model, purity in (("kmeans", ml.cluster_purity(points, "kmeans", k=3, max_iter=20)),
                               ("gmm", ml.cluster_purity(points, "gmm", k=3, max_iter=20)),
