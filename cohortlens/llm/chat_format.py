@@ -1,7 +1,7 @@
 """Operator 8: chat formatting with cumulative-snapshot collapse.
 
 Logs often hold every state of a conversation: turns 1-2, then 1-4, then 1-6.  Each turn's
-content is hashed, its position is mixed in, and running sums of these hashes in turn order
+role and text are hashed, its position is mixed in, and running sums of these hashes in turn order
 give a rolling hash of every prefix.  A conversation whose whole hash is a proper prefix of
 another one's is removed by an anti-join on (length, hash), and of equal conversations the
 smallest id stays.  Only the maximal ones are rendered.
@@ -11,7 +11,7 @@ many turns spreads over tasks; prefixes are made distinct (with partial aggregat
 before the anti-join, so a common first turn is one row.  Rendered text comes in parts of at
 most ``PART_TURNS`` turns, in order; usually a conversation has one part.
 
-Cases: turns are ordered by (turn with null first, role, md5 of the text); rows equal in all
+Cases: turns are ordered by (turn with null first, role, md5 of role and text); rows equal in all
 four columns count once; null roles and texts are empty; a null conv_id is a conversation
 of its own; an empty table gives no rows.  ``<|`` inside texts becomes ``<¦``, so that a text
 can't open or close a turn.
@@ -52,7 +52,7 @@ def maximal(rolling: DataFrame) -> DataFrame:
 def format_chats(conversations: DataFrame, id_col: str = "conv_id", part_turns: int = PART_TURNS) -> DataFrame:
     """One row per part of each maximal conversation: id, part (from 0), n_turns (of the part), text."""
     rows = conversations.select(F.struct(F.col(id_col).alias("id")).alias("conv"), "turn", F.coalesce("role", F.lit("")).alias("role"),
-                                F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.md5("text"))
+                                F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.md5(F.concat("role", F.lit("\n"), "text")))
     rolling = saved(prefixes(rows.select("conv", "turn", "role", "h").distinct()))
     kept = saved(maximal(rolling))
     places = rolling.join(F.broadcast(kept) if small(kept, SMALL_TABLE) else kept, "conv").select("conv", "turn", "role", "h", "pos")
@@ -67,8 +67,8 @@ def format_chats(conversations: DataFrame, id_col: str = "conv_id", part_turns:
 
 ORACLE_SQL = f"""
 WITH d AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) - 1 AS pos FROM d),
-k AS (SELECT *, md5(string_agg(md5(text), ',') OVER (PARTITION BY conv_id ORDER BY pos)) AS h FROM p),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(role || chr(10) || text)) - 1 AS pos FROM d),
+k AS (SELECT *, md5(string_agg(md5(role || chr(10) || text), ',') OVER (PARTITION BY conv_id ORDER BY pos)) AS h FROM p),
 e AS (SELECT conv_id, max(pos) AS pos, arg_max(h, pos) AS h FROM k GROUP BY conv_id),
 m AS (SELECT min(conv_id) AS conv_id FROM e WHERE NOT EXISTS (SELECT 1 FROM k JOIN e l ON l.conv_id IS NOT DISTINCT FROM k.conv_id
     WHERE k.pos < l.pos AND k.pos = e.pos AND k.h = e.h) GROUP BY pos, h)

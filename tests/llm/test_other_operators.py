@@ -21,7 +21,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 def same_as_duckdb(sql, got, tables):
     con = duckdb.connect()
     for name, rows in tables.items():
-        con.register(name, rows.toPandas()) if hasattr(rows, "toPandas") else con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{rows}')")
+        con.register(name, rows.toArrow()) if hasattr(rows, "toArrow") else con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{rows}')")
     rel = con.sql(sql)
     cols = sorted(got.columns)
     at = [rel.columns.index(c) for c in cols]
@@ -227,7 +227,7 @@ def test_pipeline_equals_brute_force(spark):
         clean.append((i, text, r.lang, r.source, r.n_chars))
     left = spark.createDataFrame(clean, docs.schema)
     con = duckdb.connect()
-    con.register("documents", left.toPandas())
+    con.register("documents", left.toArrow())
     con.execute(f"CREATE VIEW labels AS SELECT * FROM read_parquet('{SF}/labels.parquet')")
     taken = {r[0]: (r[1], r[2]) for r in con.sql(f"SELECT doc_id, taken, size FROM ({mixing.oracle_sql()})").fetchall()}
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
