@@ -38,15 +38,15 @@ K = 20
 EVERY = 20  # queries: ids divisible by this
 PIVOTS = 64
 BLOCK = 4096
-LEAF = 48
-CHUNK = 1024  # points scored in one call
+LEAF, QUERY_LEAF = 48, 8  # points of a data leaf; of a query leaf, whose worst kth score prunes for all of it
+CHUNK = 256  # points scored in one call
 
 
 class CoverTree:
     """Nodes of a simplified cover tree: centre, covering radius, children or points."""
 
-    def __init__(self, points: np.ndarray):
-        self.points = points
+    def __init__(self, points: np.ndarray, leaf: int = LEAF):
+        self.points, self.leaf = points, leaf
         self.centre: list[np.ndarray] = []
         self.radius: list[float] = []
         self.children: list[np.ndarray | None] = []
@@ -69,7 +69,7 @@ class CoverTree:
             self.members.append(own)
             if parent is not None:
                 self.children[parent] = np.append(self.children[parent], node)
-            if len(own) > LEAF and away.max() > 0:
+            if len(own) > self.leaf and away.max() > 0:
                 self.children[node] = np.zeros(0, np.int64)
                 todo += [(part, node) for part in self.net(own, float(away.max()) / 2)]
         return top
@@ -83,7 +83,7 @@ class CoverTree:
             (parts if near.sum() > 1 else alone).append(rest[near])
             rest = rest[~near]
         lone = np.concatenate(alone) if alone else np.zeros(0, np.int64)
-        parts += [lone[i:i + LEAF] for i in range(0, len(lone), LEAF)]
+        parts += [lone[i:i + self.leaf] for i in range(0, len(lone), self.leaf)]
         return parts
 
 
@@ -97,7 +97,7 @@ class Search:
         self.best = np.full((len(queries), k), -np.inf) if self.exact else np.full((len(queries), k), -(1 << 200), dtype=object)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.bounds, self.scored = bounds, 0
-        self.q, self.d = CoverTree(queries), CoverTree(data)
+        self.q, self.d = CoverTree(queries, QUERY_LEAF), CoverTree(data)
         self.descend(self.q.root, np.array([self.d.root]))
 
     def worst(self, members: np.ndarray) -> float:
