@@ -50,7 +50,7 @@ FEATURES = ("strongest", "top", "mean")
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1  # crc32 of the id as text; this remainder never trains
 SMALL_TABLE = 1_000_000
-HELD_WORDS = 300_000  # distinct words of a task, before their grams go out; scored words kept
+HELD_WORDS = 150_000  # distinct words of a task, before their grams go out; scored words kept
 MODELS = ("all", "f0", "f2")  # trained on all training rows, or on one remainder only
 LETTERS = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 SUMS = ["t0", "o0", "t2", "o2"]  # toxic and ordinary counts by remainder
