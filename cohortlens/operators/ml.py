@@ -139,20 +139,29 @@ def random_split_cv(df: DataFrame, splits: DataFrame, iterations: int = 5, kind:
 VOTING_WEIGHTS = (("gbt", 3.0), ("forest", 1.0), ("ridge", 1.0))
 
 
+def ridge(train: DataFrame, alpha: float = 1.0) -> LinearRegression:
+    """Estimator of (sum of squared errors) + alpha * |w|^2 for these training rows.
+
+    Spark halves and averages the errors and divides the parameter by the label's deviation,
+    so it is alpha * deviation / n, without standardising the features.
+    """
+    n, deviation = train.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+    return LinearRegression(featuresCol="features", labelCol="label", regParam=alpha * (deviation or 0.0) / max(n, 1),
+                            elasticNetParam=0.0, standardization=False)
+
+
 TREES = 2000  # boosting rounds, and trees of the forest, in the original ensemble
 
 
 def voting_ensemble(train: DataFrame, score: DataFrame, key: str = "patient_id", trees: int = TREES, alpha: float = 1.0) -> DataFrame:
     """(key, score): weighted mean of the regressors' predictions.
 
-    Ridge minimises (sum of squared errors) + alpha * |w|^2; Spark halves and averages the
-    errors, so its regularisation is alpha / n, without standardising.
+    Ridge minimises (sum of squared errors) + alpha * |w|^2 (see :func:`ridge`).
     """
     models = {
         "gbt": GBTRegressor(featuresCol="features", labelCol="label", maxIter=trees, seed=SEED),
         "forest": RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=trees, seed=SEED),
-        "ridge": LinearRegression(featuresCol="features", labelCol="label", regParam=alpha / max(train.count(), 1),
-                                  elasticNetParam=0.0, standardization=False),
+        "ridge": ridge(train, alpha),
     }
     out = score.select(key, "features")
     total = sum(w for _, w in VOTING_WEIGHTS)

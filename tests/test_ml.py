@@ -87,8 +87,8 @@ def test_cv_auc_is_exact(spark):
 
 def test_ridge_weight_of_the_ensemble_is_scaled_by_the_rows(spark):
     import numpy as np
-    from pyspark.ml.regression import LinearRegression
+    from cohortlens.operators import ml
     x, y, df = _noisy(spark)
-    model = LinearRegression(regParam=1.0 / len(y), elasticNetParam=0.0, standardization=False).fit(df)
+    model = ml.ridge(df, alpha=1.0).fit(df)
     c, m = x - x.mean(axis=0), y - y.mean()
     assert np.allclose(model.coefficients, np.linalg.solve(c.T @ c + np.eye(2), c.T @ m), atol=1e-6)
