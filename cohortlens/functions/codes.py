@@ -16,9 +16,3 @@ def icd9_rollup(col) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
         F.substring(c, F.lit(1), F.when(c.startswith("E"), F.lit(4)).otherwise(F.lit(3)))
     )
-
-
-def clean_name(col) -> Column:
-    """Lower-case and trim a free-text name (medicine, test, code)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.lower(F.trim(c))

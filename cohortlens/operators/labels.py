@@ -17,10 +17,6 @@ SAMPLE_SIZE = 80000
 WEIGHT_OFFSET = 4e-2
 
 
-def label_array(df: DataFrame, col: str = "finding_labels") -> DataFrame:
-    return df.withColumn("labels", F.split(F.col(col), r"\|"))
-
-
 def label_frequency(df: DataFrame, min_cases: int = MIN_CASES, exclude: str = EXCLUDED_LABEL,
                     col: str = "finding_labels") -> DataFrame:
     """(label, n_cases) for labels with at least ``min_cases`` rows, ``exclude`` removed."""

@@ -15,15 +15,6 @@ from pyspark.sql import functions as F
 from .cohort import with_status
 
 
-def per_patient_summary(events: DataFrame) -> DataFrame:
-    """(patient_id, event_count, encounter_count, record_length) in one pass."""
-    return events.groupBy("patient_id").agg(
-        F.count(F.col("event_id")).alias("event_count"),
-        F.count_distinct("event_date").alias("encounter_count"),
-        F.datediff(F.max("event_date"), F.min("event_date")).alias("record_length"),
-    )
-
-
 def _metrics(summary: DataFrame, mortality: DataFrame, metric: str, median: bool,
              digits: int = 6) -> DataFrame:
     s = with_status(summary.select("patient_id", metric), mortality)

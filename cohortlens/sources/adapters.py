@@ -99,22 +99,6 @@ def event_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clinical_tables(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Split the orders profile into (diagnostic, medication, lab_result).
-
-    diagnostic(patient_id, date, code), medication(patient_id, date, medicine),
-    lab_result(patient_id, date, test_name, value); item text is lower-cased the
-    way the phenotype rules compare it.
-    """
-    base = events.select("patient_id", F.col("event_date").alias("date"), "event_class", "item", "value")
-    diag = base.filter(F.col("event_class") == "DIAG").select("patient_id", "date", F.col("item").alias("code"))
-    med = base.filter(F.col("event_class") == "DRUG").select(
-        "patient_id", "date", F.lower(F.trim("item")).alias("medicine"))
-    lab = base.filter(F.col("event_class") == "LAB").select(
-        "patient_id", "date", F.lower(F.trim("item")).alias("test_name"), "value")
-    return diag, med, lab
-
-
 def raw_lab_text(spark: SparkSession, sf_dir: str, blank_fraction: float = 0.05) -> DataFrame:
     """Raw lab export rows, all text: Member_ID, Date_Resulted (zoned ISO), Result_Name, Numeric_Result.
 
