@@ -50,7 +50,8 @@ FEATURES = ("strongest", "top", "mean")
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1  # crc32 of the id as text; this remainder never trains
 SMALL_TABLE = 1_000_000
-HELD_WORDS = 150_000  # distinct words of a task, before their grams go out; scored words kept
+HELD_WORDS, HELD_GRAMS, EMITTED_ROWS = 50_000, 1_000_000, 50_000  # in a task: words and grams counted together; rows of an output batch
+KNOWN_WORDS = 150_000  # scored words kept
 MODELS = ("all", "f0", "f2")  # trained on all training rows, or on one remainder only
 LETTERS = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 SUMS = ["t0", "o0", "t2", "o2"]  # toxic and ordinary counts by remainder
@@ -93,23 +94,35 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     """(gram, t0, o0, t2, o2): every gram of the corpus with its training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [Counter() for _ in range(len(SUMS) + 1)]
+        kinds, sums = np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
 
-        def emit() -> pa.RecordBatch:
+        def fold() -> None:
+            """Turns the held words into grams and adds them to the task's sums."""
+            nonlocal kinds, sums
             words = sorted(set().union(*held))
             found, own = grams(words)
-            kinds, at = np.unique(found, return_inverse=True)
-            sums = [np.bincount(at, weights=np.fromiter((c[w] for w in words), np.float64, len(words))[own], minlength=len(kinds)) for c in held[:-1]]
+            counts = [np.fromiter((c[w] for w in words), np.float64, len(words))[own] for c in held[:-1]]
             for c in held:
                 c.clear()
-            return pa.RecordBatch.from_arrays([pa.array(kinds), *(pa.array(s.astype(np.int64)) for s in sums)], names=["gram", *SUMS])
+            kinds, at = np.unique(np.concatenate([kinds, found]), return_inverse=True)
+            sums = np.stack([np.bincount(at, weights=np.concatenate([s, c]), minlength=len(kinds)) for s, c in zip(sums, counts)])
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            nonlocal kinds, sums
+            for k in range(0, len(kinds), EMITTED_ROWS):
+                part = slice(k, k + EMITTED_ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds[part]), *(pa.array(s[part].astype(np.int64)) for s in sums)], names=["gram", *SUMS])
+            kinds, sums = np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
 
         for batch in batches:
             for text, group in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()):
                 held[-1 if group is None else group].update(words_of(text.as_py()))
                 if sum(map(len, held)) > HELD_WORDS:
-                    yield emit()
-        if any(held):
-            yield emit()
+                    fold()
+                    if len(kinds) > HELD_GRAMS:
+                        yield from emit()
+        fold()
+        yield from emit()
 
     parts = rows.select("text", "group").mapInArrow(run, "gram long, " + ", ".join(f"{s} long" for s in SUMS))
     return saved(parts.groupBy("gram").agg(*[F.sum(s).alias(s) for s in SUMS]))
@@ -187,7 +200,7 @@ class Scorer:
     def features(self, texts: list[bytes | None]) -> list[tuple[float, float, float]]:
         split = [words_of(t) for t in texts]
         new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > HELD_WORDS:
+        if len(self.known) + len(new) > KNOWN_WORDS:
             self.known.clear()
             new = set().union(*split)
         if new:
