@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices
+from .common import as_bytes, lean, slices
 from .shingles import WIDTH, shingle_sets
 
 THRESHOLD = 75  # percent
@@ -126,7 +126,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
         return run
 
-    parts = [src.mapInArrow(searcher(s), schema) for s in shared_blocks(items, item_id_col, item_text_col, block_shingles, width)]
+    parts = [src.mapInArrow(lean(searcher(s)), schema) for s in shared_blocks(items, item_id_col, item_text_col, block_shingles, width)]
     out = reduce(DataFrame.union, parts)
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_id_col), "n_item", "n_shared")
 
@@ -149,7 +149,7 @@ def remove_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item
         return run
 
     for shared in shared_blocks(items, item_id_col, item_text_col, block_shingles, width):
-        docs = docs.mapInArrow(cleaner(shared), docs.schema)
+        docs = docs.mapInArrow(lean(cleaner(shared)), docs.schema)
     return docs
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices, small
+from .common import give_back, lean, saved, slices, small
 from .components import connected_components
 from .shingles import WIDTH, mix, shingle_sets
 
@@ -168,7 +168,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(fps, pa.binary()),
                                               pa.array(bands, pa.list_(pa.int64()))], names=["id", "n", "fp", "bands"])
 
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n long, fp binary, bands array<bigint>")
+    return src.mapInArrow(lean(run), f"id {src.schema['id'].dataType.simpleString()}, n long, fp binary, bands array<bigint>")
 
 
 def verified(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int) -> DataFrame:
@@ -191,6 +191,8 @@ def verified(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, wi
             filled = [k for k, s in enumerate(sets) if len(s)]  # all, unless rows share a doc_id
             links += family_links([nodes[k] for k in filled], [cols["comp"][rows[nodes[k]]] for k in filled],
                                   [sets[k] for k in filled], threshold)
+        del by_family, raw, cols
+        give_back()
         u, v = zip(*links) if links else ((), ())
         return pa.table({"u": pa.array(u, table.schema.field("node").type), "v": pa.array(v, table.schema.field("node").type)})
 

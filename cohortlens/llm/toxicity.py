@@ -39,7 +39,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices, small
+from .common import lean, saved, slices, small
 
 ORDER = 7  # bytes of a gram
 DISCOUNT = 0.75
@@ -124,7 +124,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
         fold()
         yield from emit()
 
-    parts = rows.select("text", "group").mapInArrow(run, "gram long, " + ", ".join(f"{s} long" for s in SUMS))
+    parts = rows.select("text", "group").mapInArrow(lean(run), "gram long, " + ", ".join(f"{s} long" for s in SUMS))
     return saved(parts.groupBy("gram").agg(*[F.sum(s).alias(s) for s in SUMS]))
 
 
@@ -238,7 +238,7 @@ def with_features(rows: DataFrame, tables, keep: list[str], cross: bool) -> Data
             yield pa.RecordBatch.from_arrays([*(batch.column(p) for p in places[:-1]), *values], names=[*keep, *FEATURES])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{f} double" for f in FEATURES))
+    return rows.mapInArrow(lean(run), f"{kinds}, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def fitted(trained: DataFrame) -> tuple[float, list[float]]:
@@ -292,4 +292,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
             s = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
             yield batch.filter(pa.array(s < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
