@@ -14,10 +14,11 @@ A-Z lower-cased), modelled byte by byte with contexts of six bytes from the word
   regression turns them into a score.  It is fitted on training rows scored by models
   that have not seen them: each half of the training rows scores the other half.
 
-Counts come from every document, in one pass with partial sums per task and one shuffle by
-gram.  The ratios go into tables of 2**22 slots (grams) and 2**20 slots (contexts), two bytes each: a
-fixed 10 MB per model whatever the corpus, sent to the executors; slots that several
-grams share hold their count-weighted mean.  Scoring is map-only.
+One pass over the documents makes *packs*: a bounded amount of text as its distinct words, with
+counts, and the rows' words as numbers into them.  Counts come from the packs' words with
+partial sums per task and one shuffle by gram.  The ratios stay a distributed table by gram,
+exact and as large as the corpus asks.  Each pack's distinct grams are joined with it (a gram
+has one row per pack, so no gram is hot), come back to their pack and score its rows.
 
 Cases: null and empty texts have features 0 and a score like any other; a document without
 label, with a null label or a null id trains nothing; of several labels of an id the largest
@@ -27,23 +28,22 @@ toxic rows (0.5 without rows); repeated rows are scored (and counted) each.
 
 from __future__ import annotations
 
+import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from heapq import nlargest
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, saved, slices, small
+from .common import give_back, lean, saved, slices, small
 
 ORDER = 7  # bytes of a gram
 DISCOUNT = 0.75
-GRAM_BITS, CONTEXT_BITS, CHUNK_BITS = 22, 20, 16
 LENGTH_POWER = 0.5
 TOP = 5
 FEATURES = ("strongest", "top", "mean")
@@ -51,10 +51,12 @@ THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1  # crc32 of the id as text; this remainder never trains
 SMALL_TABLE = 1_000_000
 HELD_WORDS, HELD_GRAMS, EMITTED_ROWS = 50_000, 1_000_000, 50_000  # in a task: words and grams counted together; rows of an output batch
-KNOWN_WORDS = 150_000  # scored words kept
+PACK_BYTES, ROW_BYTES = 1 << 26, 100  # text of a pack; counted for a row besides its text
 MODELS = ("all", "f0", "f2")  # trained on all training rows, or on one remainder only
 LETTERS = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 SUMS = ["t0", "o0", "t2", "o2"]  # toxic and ordinary counts by remainder
+BLOBS = ["words", "counts", "lengths", "codes", "times"]  # of a pack, compressed
+CROSSED = tuple(f"cross_{f}" for f in FEATURES)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -75,11 +77,6 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return rolled[within + starts[own]], own
 
 
-def slot(gram: np.ndarray, bits: int) -> np.ndarray:
-    """A gram's slot: the top bits of a multiplicative hash."""
-    return ((gram.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
-
-
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     """The documents (id, text) with columns held_out and group: 0..3 (toxic, ordinary by remainder) or null."""
     marks = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("__toxic")).where("__id is not null and __toxic in (0, 1)")
@@ -90,23 +87,80 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     return out.withColumn("group", group.cast("int")).withColumn("held_out", F.coalesce(F.col("rest") == HELD_OUT, F.lit(False))).drop("rest", "__id", "__toxic")
 
 
-def gram_counts(rows: DataFrame) -> DataFrame:
+def packed(rows: DataFrame) -> DataFrame:
+    """Rows (id, text, group) in packs of about ``PACK_BYTES`` of text of one task, numbered.
+
+    A pack has its rows' ids and groups, its distinct words with their training counts, and of
+    each row the distinct words (as numbers into the pack's) and how often each stands in it.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, groups, lengths, codes, times, size = [], [], array("I"), array("I"), array("I"), 0
+        numbers: dict[bytes, int] = {}
+        trained = [Counter() for _ in SUMS]
+
+        def pack() -> pa.RecordBatch:
+            nonlocal size
+            counts = np.zeros((len(SUMS), len(numbers)), np.int64)
+            for k, c in enumerate(trained):
+                counts[k, np.fromiter((numbers[w] for w in c), np.int64, len(c))] = np.fromiter(c.values(), np.int64, len(c))
+            n = np.frombuffer(lengths, np.uint32)
+            ends = np.cumsum(n, dtype=np.int64)
+            number, of_row = np.frombuffer(codes, np.uint32).astype(np.int64), np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((number, of_row))
+            step = np.diff(number[order], prepend=0)
+            begin = (ends - n)[n > 0]
+            step[begin] = number[order][begin]  # a row's least number, then differences
+            blobs = [b" ".join(numbers), counts.tobytes(), *map(small_ints, (n, step, np.frombuffer(times, np.uint32)[order]))]
+            row = pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(id_type)), pa.array([groups], pa.list_(pa.int32())),
+                                              *(pa.array([zlib.compress(b)], pa.binary()) for b in blobs)], names=["ids", "groups", *BLOBS])
+            size = 0
+            for held in (ids, groups, numbers, *trained):
+                held.clear()
+            return row
+
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for id_, text, group in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()):
+                text = text.as_py()
+                found = Counter(words_of(text))
+                ids.append(id_)
+                groups.append(group)
+                lengths.append(len(found))
+                codes.extend([numbers.setdefault(w, len(numbers)) for w in found])
+                times.extend(found.values())
+                if group is not None:
+                    trained[group].update(found)
+                size += len(text or b"") + ROW_BYTES
+                if size >= PACK_BYTES:
+                    yield pack()
+                    lengths, codes, times = array("I"), array("I"), array("I")
+        if ids:
+            yield pack()
+
+    packs = rows.select("id", "text", "group").mapInArrow(lean(run), f"ids array<{kind}>, groups array<int>, " + ", ".join(f"{b} binary" for b in BLOBS))
+    return saved(packs).withColumn("pack", F.monotonically_increasing_id())  # of stored rows, so always the same
+
+
+def small_ints(values: np.ndarray) -> bytes:
+    """uint32 numbers, all lowest bytes first: the others are mostly zero and compress well."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def ints(stored: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(stored, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def word_parts(words: list[bytes]) -> Iterator[slice]:
+    return slices([1] * len(words), HELD_WORDS)
+
+
+def gram_counts(packs: DataFrame) -> DataFrame:
     """(gram, t0, o0, t2, o2): every gram of the corpus with its training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [Counter() for _ in range(len(SUMS) + 1)]
         kinds, sums = np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
 
-        def fold() -> None:
-            """Turns the held words into grams and adds them to the task's sums."""
-            nonlocal kinds, sums
-            words = sorted(set().union(*held))
-            found, own = grams(words)
-            counts = [np.fromiter((c[w] for w in words), np.float64, len(words))[own] for c in held[:-1]]
-            for c in held:
-                c.clear()
-            kinds, at = np.unique(np.concatenate([kinds, found]), return_inverse=True)
-            sums = np.stack([np.bincount(at, weights=np.concatenate([s, c]), minlength=len(kinds)) for s, c in zip(sums, counts)])
-
         def emit() -> Iterator[pa.RecordBatch]:
             nonlocal kinds, sums
             for k in range(0, len(kinds), EMITTED_ROWS):
@@ -115,21 +169,23 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             kinds, sums = np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
 
         for batch in batches:
-            for text, group in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()):
-                held[-1 if group is None else group].update(words_of(text.as_py()))
-                if sum(map(len, held)) > HELD_WORDS:
-                    fold()
+            for packed_words, packed_counts in zip(batch.column(0), batch.column(1)):
+                words = zlib.decompress(packed_words.as_py()).split()
+                counts = np.frombuffer(zlib.decompress(packed_counts.as_py()), np.int64).reshape(len(SUMS), -1)
+                for part in word_parts(words):
+                    found, own = grams(words[part])
+                    kinds, at = np.unique(np.concatenate([kinds, found]), return_inverse=True)
+                    sums = np.stack([np.bincount(at, weights=np.concatenate([s, c[part][own]]), minlength=len(kinds)) for s, c in zip(sums, counts)])
                     if len(kinds) > HELD_GRAMS:
                         yield from emit()
-        fold()
         yield from emit()
 
-    parts = rows.select("text", "group").mapInArrow(lean(run), "gram long, " + ", ".join(f"{s} long" for s in SUMS))
+    parts = packs.select("words", "counts").mapInArrow(lean(run), "gram long, " + ", ".join(f"{s} long" for s in SUMS))
     return saved(parts.groupBy("gram").agg(*[F.sum(s).alias(s) for s in SUMS]))
 
 
-def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(gram, weight, all, f0, f2) and (ctx, weight, all, f0, f2): log-likelihood ratios, toxic over ordinary."""
+def ratios(counts: DataFrame) -> DataFrame:
+    """(gram, all, f0, f2): log-likelihood ratios, toxic over ordinary, of every gram whose context a class has seen."""
     counts = counts.withColumn("ctx", F.shiftright("gram", 8)).withColumn("tail", F.col("gram").bitwiseAND((1 << 8 * (ORDER - 1)) - 1))
     tails = counts.groupBy("tail").agg(F.count("*").alias("left")).withColumn("ctx4", F.shiftright("tail", 8)).withColumn("byte", F.col("tail").bitwiseAND(255))
     tails = saved(tails)
@@ -144,101 +200,89 @@ def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     contexts = split.groupBy("ctx").agg(*sums)
     back = lambda k, m: F.when(F.col(f"n{k}_{m}") > 0, DISCOUNT * F.col(f"d{k}_{m}") / F.col(f"n{k}_{m}")).otherwise(1.0)
     contexts = contexts.select("ctx", *[c for m in MODELS for k in "to" for c in (F.col(f"n{k}_{m}"), back(k, m).alias(f"b{k}_{m}"))])
-    by_context = contexts.select("ctx", (F.col("nt_all") + F.col("no_all")).alias("weight"), *[(F.log(f"bt_{m}") - F.log(f"bo_{m}")).alias(m) for m in MODELS])
     joined = split.join(contexts, "ctx").join(shared, "tail")
     prob = lambda k, m: F.when(F.col(f"n{k}_{m}") > 0, F.greatest(F.col(f"{k}_{m}") - DISCOUNT, F.lit(0.0)) / F.col(f"n{k}_{m}")).otherwise(0.0) + F.col(f"b{k}_{m}") * F.col("p")
-    by_gram = joined.select("gram", (F.col("t_all") + F.col("o_all")).alias("weight"), *[(F.log(prob("t", m)) - F.log(prob("o", m))).alias(m) for m in MODELS])
-    return by_gram, by_context
+    trained = joined.select("gram", *[(F.log(prob("t", m)) - F.log(prob("o", m))).alias(m) for m in MODELS])
+    untrained = counts.where("t0 + o0 + t2 + o2 = 0").join(contexts, "ctx").select("gram", *[(F.log(f"bt_{m}") - F.log(f"bo_{m}")).alias(m) for m in MODELS])
+    return trained.union(untrained)
 
 
-def dense(table: DataFrame, key: str, bits: int) -> dict[str, np.ndarray]:
-    """The table as one array of 2**bits half-precision numbers per model; slots without a key are NaN.
+def pack_ratios(packs: DataFrame, by_gram: DataFrame) -> DataFrame:
+    """(pack, gram, all, f0, f2): the ratios of each pack's distinct grams; a gram has at most one row per pack.
 
-    Made in 2**(bits - CHUNK_BITS) pieces by as many groups; their size is fixed.
+    f0 and f2 are null for grams that no row of the pack needs them for.
     """
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = slot(batch.column(0).to_numpy(), bits)
-            yield pa.RecordBatch.from_arrays([pa.array(at >> CHUNK_BITS), pa.array(at & ((1 << CHUNK_BITS) - 1)), *batch.columns[1:]],
-                                             names=["chunk", "at", "weight", *MODELS])
-
-    kinds = ", ".join(f"{m} double" for m in MODELS)
-    placed = table.select(key, F.col("weight").cast("double").alias("weight"), *MODELS).mapInArrow(place, f"chunk long, at long, weight double, {kinds}")
-    mean = placed.groupBy("chunk", "at").agg(*[(F.sum(F.col(m) * F.col("weight")) / F.sum("weight")).alias(m) for m in MODELS])
-
-    def pack(piece: pd.DataFrame) -> pd.DataFrame:
-        row = {"chunk": piece["chunk"].iloc[0]}
-        for m in MODELS:
-            values = np.full(1 << CHUNK_BITS, np.nan, np.float16)
-            values[piece["at"].to_numpy()] = piece[m].to_numpy()
-            row[m] = values.tobytes()
-        return pd.DataFrame([row])
-
-    out = {m: np.full(1 << bits, np.nan, np.float16) for m in MODELS}
-    for row in mean.groupBy("chunk").applyInPandas(pack, "chunk long, " + ", ".join(f"{m} binary" for m in MODELS)).toLocalIterator():
-        for m in MODELS:
-            first = row["chunk"] << CHUNK_BITS
-            out[m][first:first + (1 << CHUNK_BITS)] = np.frombuffer(row[m], np.float16)
-    return out
-
-
-def word_ratios(words: list[bytes], by_gram: np.ndarray, by_context: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood ratios of words."""
-    found, own = grams(words)
-    value = by_gram[slot(found, GRAM_BITS)]
-    value = np.where(np.isnan(value), by_context[slot(found >> 8, CONTEXT_BITS)], value)
-    total = np.bincount(own, weights=np.nan_to_num(value.astype(np.float64)), minlength=len(words))
-    return total / (np.fromiter(map(len, words), np.int64, len(words)) + 1) ** LENGTH_POWER
-
-
-class Scorer:
-    """Features of texts under one model; words' ratios are kept while they are few."""
-
-    def __init__(self, by_gram: np.ndarray, by_context: np.ndarray):
-        self.by_gram, self.by_context, self.known = by_gram, by_context, {}
-
-    def features(self, texts: list[bytes | None]) -> list[tuple[float, float, float]]:
-        split = [words_of(t) for t in texts]
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = set().union(*split)
-        if new:
-            order = sorted(new)
-            self.known.update(zip(order, word_ratios(order, self.by_gram, self.by_context).tolist()))
-        out = []
-        for words in split:
-            values = list(map(self.known.__getitem__, words))
-            best = nlargest(TOP, values)
-            out.append((best[0], sum(best), sum(values) / len(values)) if values else (0.0, 0.0, 0.0))
-        return out
-
-
-def with_features(rows: DataFrame, tables, keep: list[str], cross: bool) -> DataFrame:
-    """Columns keep and the features; cross: training rows only, scored by the model of the other half."""
-    places = [rows.columns.index(c) for c in (*keep, "text")]
-    text, group = places[-1], rows.columns.index("group")
-    model_of = {0: "f2", 1: "f2", 2: "f0", 3: "f0"} if cross else {}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_gram, by_context = tables.value
-        scorers: dict[str, Scorer] = {}
         for batch in batches:
-            texts, groups = batch.column(text).cast(pa.binary()).to_pylist(), batch.column(group).to_pylist()
-            names = [model_of.get(g, "all") for g in groups]
-            found: list = [None] * len(texts)
-            for m in set(names):
-                if m not in scorers:
-                    scorers[m] = Scorer(by_gram[m], by_context[m])
-                rows_of = [k for k, n in enumerate(names) if n == m]
-                for part in slices([len(texts[k] or b"") for k in rows_of]):
-                    for k, f in zip(rows_of[part], scorers[m].features([texts[k] for k in rows_of[part]])):
-                        found[k] = f
-            values = [pa.array([f[k] for f in found], pa.float64()) for k in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(p) for p in places[:-1]), *values], names=[*keep, *FEATURES])
-
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(lean(run), f"{kinds}, " + ", ".join(f"{f} double" for f in FEATURES))
+            for pack, packed_words, packed_counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                words = zlib.decompress(packed_words.as_py()).split()
+                t0, o0, t2, o2 = np.frombuffer(zlib.decompress(packed_counts.as_py()), np.int64).reshape(len(SUMS), -1)
+                crossed = (t2 + o2 > 0) + 2 * (t0 + o0 > 0)
+                kinds, needs = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                for part in word_parts(words):
+                    found, own = grams(words[part])
+                    need = np.concatenate([needs, crossed[part][own]])
+                    kinds, at = np.unique(np.concatenate([kinds, found]), return_inverse=True)
+                    needs = sum((np.bincount(at, weights=need & bit, minlength=len(kinds)) > 0) * bit for bit in (1, 2))
+                for k in range(0, len(kinds), EMITTED_ROWS):
+                    part = slice(k, k + EMITTED_ROWS)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds[part]), pack)), pa.array(kinds[part]), pa.array(needs[part])],
+                                                     names=["pack", "gram", "need"])
+
+    rows = packs.select("pack", "words", "counts").mapInArrow(lean(run), "pack long, gram long, need long").join(by_gram, "gram")
+    return rows.select("pack", "gram", "all", *[F.when(F.col("need").bitwiseAND(bit) > 0, F.col(m)).alias(m) for m, bit in (("f0", 1), ("f2", 2))])
+
+
+def word_ratios(words: list[bytes], known: np.ndarray, by_gram: np.ndarray) -> np.ndarray:
+    """Length-normalised log-likelihood ratios of words; known is sorted, other grams count 0."""
+    found, own = grams(words)
+    at = np.searchsorted(known, found)
+    at[at == len(known)] = 0
+    value = np.where(known[at] == found, by_gram[at], 0.0) if len(known) else np.zeros(len(found))
+    return np.bincount(own, weights=value, minlength=len(words)) / (np.fromiter(map(len, words), np.int64, len(words)) + 1) ** LENGTH_POWER
+
+
+def summary(values: np.ndarray, times: np.ndarray) -> tuple[float, float, float]:
+    """The features of a text whose distinct words have these ratios, each so many times."""
+    if not len(values):
+        return 0.0, 0.0, 0.0
+    most = np.argsort(-values, kind="stable")[:TOP] if len(values) <= TOP else np.argpartition(-values, TOP - 1)[:TOP]
+    best = np.sort(np.repeat(values[most], np.minimum(times[most], TOP)))[::-1][:TOP]
+    return float(best[0]), float(best.sum()), float(values @ times / times.sum())
+
+
+def with_features(packs: DataFrame, by_gram: DataFrame, kind: str) -> DataFrame:
+    """(id, group, features, cross features) of every row; cross: of training rows, by the model of the other half."""
+    model_of = {0: "f2", 1: "f2", 2: "f0", 3: "f0"}
+
+    def run(pack: pa.Table, table: pa.Table) -> pa.Table:
+        blob = lambda c: zlib.decompress(pack.column(c)[0].as_py())
+        words, groups = blob("words").split(), pack.column("groups")[0].as_py()
+        lengths, steps, times = (ints(blob(c)) for c in ("lengths", "codes", "times"))
+        ends = np.cumsum(lengths)
+        sums = np.cumsum(np.concatenate([np.zeros(1, np.int64), steps]))
+        codes = sums[1:] - np.repeat(sums[ends - lengths], lengths)
+        grams_ = table.column("gram").to_numpy()
+        order = np.argsort(grams_)
+        value = {}
+        for m in MODELS:
+            by_gram = table.column(m).to_numpy()[order]
+            value[m] = np.concatenate([np.zeros(0), *(word_ratios(words[part], grams_[order], by_gram) for part in word_parts(words))])
+        found, crossed = [], []
+        for first, end, group in zip((ends - lengths).tolist(), ends.tolist(), groups):
+            own, n = codes[first:end], times[first:end]
+            found.append(summary(value["all"][own], n))
+            crossed.append((None,) * len(FEATURES) if group is None else summary(value[model_of[group]][own], n))
+        columns = [pa.array(c, pa.float64()) for rows in (found, crossed) for c in zip(*rows)]
+        ids = pack.column("ids").combine_chunks().flatten()
+        del words, codes, times, steps, sums, value
+        give_back()
+        return pa.table([ids, pa.array(groups, pa.int32()), *columns], names=["id", "group", *FEATURES, *CROSSED])
+
+    values = pack_ratios(packs, by_gram)
+    made = packs.drop("counts").groupBy("pack").cogroup(values.groupBy("pack")).applyInArrow(
+        run, f"id {kind}, group int, " + ", ".join(f"{f} double" for f in (*FEATURES, *CROSSED)))
+    return saved(made)
 
 
 def fitted(trained: DataFrame) -> tuple[float, list[float]]:
@@ -252,14 +296,13 @@ def fitted(trained: DataFrame) -> tuple[float, list[float]]:
     return float(model.intercept), [float(c) for c in model.coefficients]
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple:
-    """(broadcast tables, logistic weights) from all documents and the labelled training rows."""
-    rows = training_rows(docs.select(F.col(id_col), F.col(text_col).alias("text")), labels, id_col)
-    by_gram, by_context = ratios(gram_counts(rows))
-    grams_, contexts = dense(by_gram, "gram", GRAM_BITS), dense(by_context, "ctx", CONTEXT_BITS)
-    tables = docs.sparkSession.sparkContext.broadcast((grams_, contexts))
-    crossed = with_features(rows.where("group is not null"), tables, ["group"], True)
-    return tables, fitted(saved(crossed.withColumn("y", (F.col("group") % 2 == 0).cast("int"))))
+def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, key: Column) -> tuple:
+    """(features by key, logistic weights) of all documents, learned from the labelled training rows."""
+    rows = training_rows(docs.select(F.col(id_col), F.col(text_col).alias("text"), key.alias("key")), labels, id_col)
+    packs = packed(rows.select(F.col("key").alias("id"), "text", "group"))
+    features = with_features(packs, ratios(gram_counts(packs)), rows.schema["key"].dataType.simpleString())
+    crossed = features.where("group is not null").select(*[F.col(c).alias(f) for f, c in zip(FEATURES, CROSSED)], (F.col("group") % 2 == 0).cast("int").alias("y"))
+    return features, fitted(crossed)
 
 
 def logistic(weights: tuple[float, list[float]]) -> Column:
@@ -269,27 +312,16 @@ def logistic(weights: tuple[float, list[float]]) -> Column:
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document row: id, held_out, score, predicted."""
-    tables, weights = train(docs, labels, id_col, text_col)
-    src = docs.select(F.col(id_col), F.col(text_col).alias("text"), F.lit(None).cast("int").alias("group"))
-    out = with_features(src, tables, [id_col], False).withColumn("score", logistic(weights))
+    features, weights = train(docs, labels, id_col, text_col, F.col(id_col))
+    out = features.select(F.col("id").alias(id_col), logistic(weights).alias("score"))
     held = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT
     return out.select(id_col, F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are not predicted toxic, all columns unchanged; map-only after training."""
-    tables, weights = train(docs, labels, id_col, text_col)
-    at = docs.columns.index(text_col)
-    bias, by_feature = weights
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_gram, by_context = tables.value
-        scorer = Scorer(by_gram["all"], by_context["all"])
-        for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            found = [f for part in slices([len(t or b"") for t in texts]) for f in scorer.features(texts[part])]
-            margin = bias + np.array(found).reshape(-1, len(FEATURES)) @ np.array(by_feature)
-            s = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
-            yield batch.filter(pa.array(s < threshold))
-
-    return docs.mapInArrow(lean(run), docs.schema)
+    """The documents that are not predicted toxic, all columns unchanged; equal texts have equal scores, so texts go by their hash."""
+    key = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256))
+    features, weights = train(docs, labels, id_col, text_col, key)
+    gone = saved(features.where(logistic(weights) >= threshold).select(F.col("id").alias("__gone")).distinct())
+    gone = F.broadcast(gone) if small(gone, SMALL_TABLE) else gone
+    return docs.join(gone, key == F.col("__gone"), "left_anti").select(docs.columns)

@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -200,6 +201,52 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == df.columns and sorted(r.doc_id or -1 for r in kept.collect()) == sorted(r.doc_id or -1 for r in rows if not r.predicted)
 
 
+def exact_ratios(docs, groups, model):
+    """Every corpus gram's log-likelihood ratio under the training groups of a model, by dictionaries."""
+    seen, by_class = Counter(), (Counter(), Counter())
+    for (_, text), group in zip(docs, groups):
+        found = toxicity.grams(toxicity.words_of(text.encode()))[0].tolist()
+        seen.update(found)
+        if group in model:
+            by_class[group % 2].update(found)
+    tails = Counter(g & (1 << 48) - 1 for g in seen)
+    n4, t4, n1 = Counter(), Counter(g >> 8 for g in tails), Counter()
+    for g, left in tails.items():
+        n4[g >> 8] += left
+        n1[g & 255] += left
+    shared = lambda g: (max(tails[g] - 0.75, 0) + 0.75 * t4[g >> 8] * n1[g & 255] / len(seen)) / n4[g >> 8]
+    probs = []
+    for counts in by_class:
+        n, t = Counter(), Counter(g >> 8 for g in counts)
+        for g, k in counts.items():
+            n[g >> 8] += k
+        probs.append({g: (max(counts[g] - 0.75, 0) + 0.75 * t[g >> 8] * shared(g & (1 << 48) - 1)) / n[g >> 8] if n[g >> 8] else shared(g & (1 << 48) - 1) for g in seen})
+    return {g: math.log(probs[0][g]) - math.log(probs[1][g]) for g in seen}
+
+
+def exact_features(text, ratio):
+    values = [sum(ratio[g] for g in toxicity.grams([w])[0].tolist()) / (len(w) + 1) ** 0.5 for w in toxicity.words_of(text.encode())]
+    return [max(values), sum(sorted(values)[-5:]), sum(values) / len(values)] if values else [0.0] * 3
+
+
+def test_toxicity_scores_equal_exact_tables(spark):
+    """60,000 grams, some hundred of which would share one of 2**22 slots."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 12)))
+    docs = [(i, " ".join([word() for _ in range(40)] + ["grubl" + word()[:3]] * (i % 4 == 0))) for i in range(200)]
+    rest = [zlib.crc32(str(i).encode()) % 3 for i, _ in docs]
+    groups = [None if r == 1 else int(i % 4 != 0) + r for (i, _), r in zip(docs, rest)]
+    tables = {k: exact_ratios(docs, groups, m) for k, m in (("all", range(4)), (0, (2, 3)), (2, (0, 1)))}
+    crossed = [(*exact_features(t, tables[r]), 1 - g % 2) for (_, t), r, g in zip(docs, rest, groups) if g is not None]
+    bias, weights = toxicity.fitted(spark.createDataFrame(crossed, "strongest double, top double, mean double, y int"))
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                     spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in docs], "doc_id long, toxic int")).collect()}
+    margin = lambda s: math.log(s / (1 - s))
+    for i, text in docs:
+        want = bias + sum(w * f for w, f in zip(weights, exact_features(text, tables["all"])))
+        assert abs(want) > 30 or abs(margin(got[i]) - want) < 1e-4
+
+
 def test_toxicity_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
