@@ -6,7 +6,7 @@
    simple tree matching: roots of equal label match, and the children's best order-keeping
    matching adds up (dynamic programming).  Aligned nodes share a slot of the wrapper; a node
    without a partner gets a slot of its own path.
-3. Texts are counted per (host, slot, text).  Slots whose texts keep coming back across the
+3. Texts are counted per (host, slot, text) over distinct pages, so copies don't vote.  Slots whose texts keep coming back across the
    host's pages are template; varying slots are content.
 4. Text is read from the article or main element if there is one, else from the body, without
    elements that are furniture by tag, role, class or id, and without template slots.
@@ -253,12 +253,14 @@ def align(skeletons: DataFrame) -> DataFrame:
 
 
 def induce(seen: DataFrame) -> DataFrame:
-    """(host, skel, flags) from described pages."""
-    kinds = saved(seen.groupBy("host", "skel").agg(F.count("*").alias("n")))
+    """(host, skel, flags) from described pages; pages of a host with the same texts in the same places count once."""
+    copy = F.xxhash64("skel", "hashes")
+    kinds = saved(seen.groupBy("host", "skel").agg(F.countDistinct(copy).alias("n")))
     reference = kinds.groupBy("host").agg(F.max_by("skel", F.struct("n", "skel")).alias("reference"))
     aligned = saved(align(kinds.join(reference, "host")))
     few = F.broadcast(aligned) if small(aligned, SMALL_TABLE // 10) else aligned
-    texts = seen.join(few, ["host", "skel"]).select("host", F.explode(F.arrays_zip("slots", "hashes", "chars")).alias("t")).where("t.hashes >= 0")
+    distinct = seen.groupBy("host", copy.alias("copy")).agg(*[F.first(c).alias(c) for c in ("skel", "hashes", "chars")])
+    texts = distinct.join(few, ["host", "skel"]).select("host", F.explode(F.arrays_zip("slots", "hashes", "chars")).alias("t")).where("t.hashes >= 0")
     counts = texts.groupBy("host", F.col("t.slots").alias("slot"), F.col("t.hashes").alias("hash")).agg(F.count("*").alias("n"), F.sum("t.chars").alias("chars"))
     stats = saved(counts.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.max("n").alias("most"), F.count("*").alias("kinds"), F.sum("chars").alias("chars")))
     whole = stats.groupBy("host").agg(F.sum("chars").alias("all_chars"))

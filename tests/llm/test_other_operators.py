@@ -62,6 +62,16 @@ def test_copies_of_an_article_stay_content(spark):
     assert {r.text for r in html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {"The same words again, many times over on this host"}
 
 
+def test_copies_do_not_make_a_template(spark):
+    words = "The same long words again, many times over on this host. " * 9
+    copies = [(i, f"http://h.org/{i}", page(f"<article><h1>Headline</h1><p>{words}</p><div class=box>Note</div></article>")) for i in range(30)]
+    twice = [(100 + 2 * i + k, f"http://t.org/{i}/{k}", f"<html><body><h1>Head {i}</h1><p>Lead {i} is short</p><div class=a>{i} {words}</div><div class=b>{words} {i}</div></body></html>")
+             for i in range(10) for k in range(2)]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(copies + twice, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Headline {words}Note" for i in range(30))
+    assert all(got[100 + 2 * i + k].startswith(f"Head {i} Lead {i} is short {i} The") for i in range(10) for k in range(2))
+
+
 def test_tree_match_aligns_in_order():
     a = [[-1, ""], [0, "body"], [1, "nav"], [1, "p"], [1, "footer"]]
     b = [[-1, ""], [0, "body"], [1, "p"], [1, "footer"]]
