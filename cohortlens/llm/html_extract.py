@@ -10,7 +10,8 @@
    host's pages are template; varying slots are content.
 4. Text is read from the article or main element if there is one, else from the body, without
    elements that are furniture by tag, role, class or id, and without template slots.
-   Inside an article, only slots with one text on nearly all pages are template, never
+   Inside an article, a name counts as a whole class; words of an id or of a longer class only
+   where the slot is repeated as well.  There, other than that, only slots with one text on nearly all pages are template, never
    one that carries much of the host's text, so copies of an article stay content.
 
 Counting is by partial aggregation on (host, slot, text), so a hot host is no hot task; page
@@ -54,6 +55,8 @@ FURNITURE_NAMES = frozenset(
     "footer header masthead topbar breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
     "subscribe subscription signup login social share sharing related recommended recommendations comment comments commentlist disqus respond "
     "reply replies widget search pagination pager toc copyright legal disclaimer tags meta byline hidden".split())
+COMMENTS = frozenset(("comment", "comments"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 KEPT_TAGS = frozenset("html body article main".split())
 
@@ -70,10 +73,10 @@ NAME = re.compile(r"[a-z]+")
 class Block:
     """An open or closed block element."""
 
-    __slots__ = ("tag", "path", "furniture", "main")
+    __slots__ = ("tag", "path", "furniture", "main", "named")
 
-    def __init__(self, tag: str, path: tuple, furniture: bool, main: bool):
-        self.tag, self.path, self.furniture, self.main = tag, path, furniture, main
+    def __init__(self, tag: str, path: tuple, furniture: bool, main: bool, named: bool):
+        self.tag, self.path, self.furniture, self.main, self.named = tag, path, furniture, main, named
 
 
 def opened(tag: str, attributes: str, parent: Block) -> Block:
@@ -84,14 +87,20 @@ def opened(tag: str, attributes: str, parent: Block) -> Block:
     main = parent.main or tag in ("article", "main") or role in ("main", "article")
     furniture = parent.furniture or tag in FURNITURE_TAGS or role in FURNITURE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
     furniture |= tag == "header" and not parent.main
-    furniture |= tag not in KEPT_TAGS and bool(words & FURNITURE_NAMES) and not words & MAIN_NAMES or "comments" in words or "comment" in words
+    named = tag not in KEPT_TAGS and bool(words & FURNITURE_NAMES) and not words & MAIN_NAMES or bool(words & COMMENTS)
+    if main:  # whole classes only; an id is often made from a heading's words
+        classes = set(found.get("class", "").lower().split())
+        furniture |= tag not in KEPT_TAGS and bool(classes & FURNITURE_NAMES) and not words & MAIN_NAMES or bool(classes & COMMENTS)
+        furniture |= found.get("id", "").lower() in COMMENTS and tag not in HEADINGS
+    else:
+        furniture |= named
     label = tag + re.sub(r"\d+", "0", "".join(f".{x}" for x in sorted(names.split())))
-    return Block(tag, (*parent.path, label), furniture, main)
+    return Block(tag, (*parent.path, label), furniture, main, parent.named or named)
 
 
 def blocks(page: str) -> Iterator[tuple[Block, str]]:
     """The page's texts in order, each with its block: white space is one space, references decoded."""
-    stack, said = [Block("", (), False, False)], []
+    stack, said = [Block("", (), False, False, False)], []
 
     def flush() -> list[tuple[Block, str]]:
         text = " ".join(html_lib.unescape("".join(said)).split())
@@ -224,7 +233,7 @@ def read_text(page: str | None, flags: str) -> str:
     for b, text in found:
         at = place[b.path]
         flag = flags[at] if at < len(flags) else "0"
-        if not b.furniture and flag != "2" and (b.main or not has_main and flag == "0"):
+        if not b.furniture and flag != "2" and not (b.named and flag == "1") and (b.main or not has_main and flag == "0"):
             kept.append(text)
     return " ".join(kept)
 

@@ -72,6 +72,17 @@ def test_copies_do_not_make_a_template(spark):
     assert all(got[100 + 2 * i + k].startswith(f"Head {i} Lead {i} is short {i} The") for i in range(10) for k in range(2))
 
 
+def test_names_inside_an_article(spark):
+    body = ("<article><section id='search-methods'><p>Found</p></section><h2 id='related-work'>Related</h2><section id='legal'><p>Law</p></section>"
+            "<div class='share-price'>Price</div><p class='meta-analysis'>Meta</p><h2 id='comments'>Views</h2><div class='share'>Tweet</div></article>")
+    rows = [(1, "http://a.com/1", page(body))] + [
+        (i, f"http://b.com/{i}", page(f"<article><p>Story {i} tells of {i * 7} things that matter</p><div class='related-posts'>See also {i % 2}</div><div class='x'>Part {i % 2}</div></article>"))
+        for i in range(10, 22)]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "Found Related Law Price Meta Views"
+    assert "See also" not in got[11] and got[11].endswith("Part 1")
+
+
 def test_tree_match_aligns_in_order():
     a = [[-1, ""], [0, "body"], [1, "nav"], [1, "p"], [1, "footer"]]
     b = [[-1, ""], [0, "body"], [1, "p"], [1, "footer"]]
