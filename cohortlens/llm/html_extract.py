@@ -19,7 +19,7 @@ content is read map-only, twice, next to a table of slot flags by content hash.
 
 Cases: null or empty html gives empty text; a null url has the empty host; unclosed, misnested
 or cut-off markup is read as far as it goes; elements deeper than ``DEPTH`` join their
-ancestor; repeated pages each give their row; extra input columns are ignored.
+ancestor's slot, but close and are judged as any other; repeated pages each give their row; extra input columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ import html as html_lib
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -95,7 +96,7 @@ def opened(tag: str, attributes: str, parent: Block) -> Block:
     else:
         furniture |= named
     label = tag + re.sub(r"\d+", "0", "".join(f".{x}" for x in sorted(names.split())))
-    return Block(tag, (*parent.path, label), furniture, main, parent.named or named)
+    return Block(tag, (*parent.path, label) if len(parent.path) < DEPTH - 1 else parent.path, furniture, main, parent.named or named)
 
 
 def blocks(page: str) -> Iterator[tuple[Block, str]]:
@@ -107,7 +108,16 @@ def blocks(page: str) -> Iterator[tuple[Block, str]]:
         said.clear()
         return [(stack[-1], text)] if text else []
 
-    at, raw = 0, None
+    def close(k: int) -> None:
+        """Closes the open elements from the kth on."""
+        count.subtract(b.tag for b in stack[k:])
+        del stack[k:]
+
+    def near() -> range:
+        """The innermost open elements, among which an unclosed one is looked for."""
+        return range(len(stack) - 1, max(0, len(stack) - 1 - DEPTH), -1)
+
+    at, raw, count = 0, None, Counter()  # open elements by tag
     while at < len(page):
         if raw:  # up to the end tag, whatever stands there
             end = re.compile(rf"</{re.escape(raw)}(?=[\s/>])|</{re.escape(raw)}\Z", re.I).search(page, at)
@@ -124,30 +134,29 @@ def blocks(page: str) -> Iterator[tuple[Block, str]]:
         if m[1]:
             if tag in INLINE:
                 continue
-            if any(b.tag == tag for b in stack):
+            if count[tag]:
                 yield from flush()
-                while stack.pop().tag != tag:
-                    pass
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
         elif tag in INLINE:
             said.append(" " if tag in ("br", "wbr") and tag == "br" else "")
         else:
             yield from flush()
             if tag in CLOSES_P:
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == "p" or stack[k].tag in STOPS), 0)
+                k = next((k for k in near() if stack[k].tag == "p" or stack[k].tag in STOPS), 0)
                 if stack[k].tag == "p":
-                    del stack[k:]
-            for k in range(len(stack) - 1, 0, -1) if tag in SELF_CLOSING else ():
+                    close(k)
+            for k in near() if tag in SELF_CLOSING else ():
                 if stack[k].tag in SELF_CLOSING[tag]:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in STOPS:
                     break
             if tag in VOID:
                 continue
-            if len(stack) < DEPTH:
-                stack.append(opened(tag, m[3], stack[-1]))
-                if tag in RAW:
-                    raw = tag
+            stack.append(opened(tag, m[3], stack[-1]))
+            count[tag] += 1
+            if tag in RAW:
+                raw = tag
     yield from flush()
 
 

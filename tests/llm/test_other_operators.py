@@ -83,6 +83,12 @@ def test_names_inside_an_article(spark):
     assert "See also" not in got[11] and got[11].endswith("Part 1")
 
 
+def test_html_after_a_deep_nest():
+    nest = "<div>" * 300 + "deep<script>x</script><nav>menu</nav>" + "</div>" * 300
+    html = f"<html><body><div id=page><article>{nest}<p>after</p></article></div><p>outside</p></body></html>"
+    assert html_extract.read_text(html, "") == "deep after"
+
+
 def test_tree_match_aligns_in_order():
     a = [[-1, ""], [0, "body"], [1, "nav"], [1, "p"], [1, "footer"]]
     b = [[-1, ""], [0, "body"], [1, "p"], [1, "footer"]]
