@@ -17,11 +17,12 @@ is at least 75 % (100 * shared >= 75 * union, in integers).
 5. In a task, pairs sharing a band are compared 32 MinHash values at a time.  A pair is
    dropped as soon as the posterior probability (uniform prior) that its similarity reaches
    75 % falls under ``MISS``.  Survivors are verified on their whole sets.
-6. The verified links' components (smallest doc_id) go back to all documents of each class.
+6. The verified links' components go back to all documents of each class, with the component's
+   smallest doc_id.
 
 Cases: documents without words or text have an empty set and stand alone; fewer than five
-words are one shingle; rows that repeat a doc_id are one node, and each input row gives one
-output row; a null doc_id takes its class's component if another member has an id, else null.
+words are one shingle; each input row is judged by its own text, also if rows repeat a doc_id,
+and gives one output row; a null doc_id takes its component's if a member has an id, else null.
 Other columns are ignored.  Equal 64-bit shingle hashes count as equal shingles.
 """
 
@@ -33,7 +34,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import give_back, lean, saved, slices, small
@@ -150,9 +151,18 @@ def family_links(nodes: list, groups: list, sets: list[np.ndarray], threshold: i
     return [(n, min(members)) for members in joined.values() for n in members if n != min(members)]
 
 
+def text_hash(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def same_row(left: DataFrame, id_col: str, text_col: str, right: DataFrame) -> Column:
+    """Null-safe equality of (id, hash of the text) with the columns rid and rhash of another frame."""
+    return left[id_col].eqNullSafe(right["rid"]) & text_hash(left[text_col]).eqNullSafe(right["rhash"])
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, n_shingles, fp, bands) of every document row; fp and bands are null for empty sets."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(id, n_shingles, fp, bands, hash of the text) of every document row; fp and bands are null for empty sets."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,31 +176,33 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
                 fps += [hashlib.blake2b(s, digest_size=16).digest() if len(s) else None for s in sets]
                 bands += [next(keys) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(fps, pa.binary()),
-                                              pa.array(bands, pa.list_(pa.int64()))], names=["id", "n", "fp", "bands"])
+                                              pa.array(bands, pa.list_(pa.int64())), batch.column(2)], names=["id", "n", "fp", "bands", "hash"])
 
-    return src.mapInArrow(lean(run), f"id {src.schema['id'].dataType.simpleString()}, n long, fp binary, bands array<bigint>")
+    return src.mapInArrow(lean(run), f"id {src.schema['id'].dataType.simpleString()}, n long, fp binary, bands array<bigint>, hash binary")
 
 
-def verified(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int) -> DataFrame:
-    """Links (u, v) found in the groups (a, b) of members (node, family, comp, a, b), whose texts docs has."""
-    plan = F.broadcast(members) if small(members, SMALL_TABLE) else members
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(plan, "node")
+def verified(members: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int) -> DataFrame:
+    """Links (u, v) found in the groups (a, b) of members (node, family, comp, a, b); docs has the texts of the classes' first rows."""
+    plan = members.join(classes.select("node", "least.rid", "least.rhash"), "node")
+    plan = F.broadcast(plan) if small(members, SMALL_TABLE) else plan
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    once = rows.where("id is null").withColumn("hash", text_hash(F.col("text"))).dropDuplicates(["hash"]).drop("hash")
+    rows = rows.where("id is not null").union(once)
+    texts = rows.join(plan, same_row(rows, "id", "text", plan)).drop("id", "rid", "rhash")
 
     def run(table: pa.Table) -> pa.Table:
         cols = {c: table.column(c).to_pylist() for c in ("node", "family", "comp")}
         raw = table.column("text").cast(pa.binary()).to_pylist()
         by_family: dict = {}
         for k, f in enumerate(cols["family"]):
-            by_family.setdefault(f, {})[cols["node"][k]] = k  # a node that comes twice counts once
+            by_family.setdefault(f, {})[cols["node"][k]] = k  # rows that repeat id and text count once
         links = []
         for rows in by_family.values():
             nodes = sorted(rows)
             sets = []
             for part in slices([len(raw[rows[n]] or b"") for n in nodes]):
                 sets += shingle_sets([raw[rows[n]] for n in nodes[part]], width)
-            filled = [k for k, s in enumerate(sets) if len(s)]  # all, unless rows share a doc_id
-            links += family_links([nodes[k] for k in filled], [cols["comp"][rows[nodes[k]]] for k in filled],
-                                  [sets[k] for k in filled], threshold)
+            links += family_links(nodes, [cols["comp"][rows[n]] for n in nodes], sets, threshold)
         del by_family, raw, cols
         give_back()
         u, v = zip(*links) if links else ((), ())
@@ -200,7 +212,7 @@ def verified(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, wi
     return saved(texts.groupBy("a", "b").applyInArrow(run, f"u {kind}, v {kind}"))
 
 
-def link_families(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int,
+def link_families(members: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int,
                   block_docs: int, block_shingles: int) -> DataFrame:
     """Verified links inside the families of members (node, n, family)."""
     sizes = members.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).select(
@@ -213,7 +225,7 @@ def link_families(members: DataFrame, docs: DataFrame, id_col: str, text_col: st
     large = placed.where("blocks > 1")
     first = large.select("node", "family", F.col("node").alias("comp"), F.col("family").alias("a"),
                          F.explode(F.expr("if(block = 0, sequence(0L, blocks - 1L), array(bigint(block)))")).alias("b"))
-    links = verified(saved(whole.union(first)), docs, id_col, text_col, width, threshold)
+    links = verified(saved(whole.union(first)), classes, docs, id_col, text_col, width, threshold)
     if large.isEmpty():
         return links
     comps = connected_components(links, "u", "v")
@@ -226,46 +238,62 @@ def link_families(members: DataFrame, docs: DataFrame, id_col: str, text_col: st
     outside = open_.where("comp <> main").select("node", "family", "comp", "blocks", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
                                                  F.col("rest_block").alias("r"))
     pairs = each.unionByName(outside).select("node", "family", "comp", F.col("family").alias("a"), (F.col("r") * F.col("blocks") + F.col("block")).cast("long").alias("b"))
-    return links.union(verified(saved(pairs), docs, id_col, text_col, width, threshold))
+    return links.union(verified(saved(pairs), classes, docs, id_col, text_col, width, threshold))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: int = THRESHOLD,
-                    block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """One row per document row: id, n_shingles, component_id, kept (id = component_id)."""
+def judged(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH, threshold: int = THRESHOLD,
+           block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(id, n, hash, least, unnamed) of every document row.
+
+    least is its component's first row (no_id, rid, rhash) by id and hash, unnamed the least hash
+    of its rows with a null id; null for empty sets.
+    """
     base = saved(sketch(docs, id_col, text_col, width))
-    classes = saved(base.where("fp is not null").groupBy("fp").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-                    .where("node is not null"))
+    row = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("rid"), F.col("hash").alias("rhash"))
+    classes = saved(base.where("fp is not null").groupBy("fp").agg(F.min(row).alias("least"), F.min(F.when(F.col("id").isNull(), F.col("hash"))).alias("unnamed"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    classes = classes.withColumn("node", F.monotonically_increasing_id())  # of stored rows, so always the same
     entries = classes.select("node", F.explode("bands").alias("key"))
     buckets = saved(entries.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last"))
     met = entries.join(F.broadcast(buckets) if small(buckets, SMALL_TABLE) else buckets, "key").where("node <> hub")
     families = connected_components(met, "hub", "node").select("node", F.col("component").alias("family"))
-    members = families.join(classes.groupBy("node").agg(F.max("n").alias("n")), "node")
-    links = link_families(members, docs, id_col, text_col, width, threshold, block_docs, block_shingles)
+    members = families.join(classes.select("node", "n"), "node")
+    links = link_families(members, classes, docs, id_col, text_col, width, threshold, block_docs, block_shingles)
     comps = connected_components(links, "u", "v")
-    by_fp = classes.select("fp", "node").join(comps, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return base.join(by_fp, "fp", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"),
+    firsts = saved(comps.join(classes.select("node", "least", "unnamed"), "node").groupBy("component").agg(
+        F.min("least").alias("all_least"), F.min("unnamed").alias("all_unnamed")))
+    firsts = F.broadcast(firsts) if small(firsts, SMALL_TABLE) else firsts
+    by_fp = classes.select("fp", "node", "least", "unnamed").join(comps.join(firsts, "component"), "node", "left").select(
+        "fp", F.coalesce("all_least", "least").alias("least"), F.coalesce("all_unnamed", "unnamed").alias("unnamed"))
+    return base.join(by_fp, "fp", "left").select("id", "n", "hash", "least", "unnamed")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document row: id, n_shingles, component_id, kept (id = component_id)."""
+    return judged(docs, id_col, text_col, **options).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least.rid")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
 
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The kept documents, all columns unchanged.
+    """The kept documents, all columns unchanged: of each component one row of the smallest id.
 
-    Documents whose id is null can't be named as kept and go only if another document of
-    their component has an id; of rows that repeat one id, one row stays.
+    Rows whose id is null can't be named as kept; one of them stays in each component, too.  Of rows that
+    repeat both id and text one stays; documents without words stay, with a null id all.
     """
-    judged = near_duplicates(docs, id_col, text_col, **options)
-    gone = saved(judged.where(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct())
-    repeated = judged.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
-    gone = F.broadcast(gone) if small(gone, SMALL_TABLE) else gone
-    rest = docs.join(gone, id_col, "left_anti").select(docs.columns)
-    repeated = saved(repeated)
+    rows = judged(docs, id_col, text_col, **options).select(F.col("id").alias("rid"), F.col("hash").alias("rhash"), "n", "least", "unnamed")
+    first = F.when(F.col("rid").isNull(), F.col("unnamed")).when(F.col("rid") == F.col("least.rid"), F.col("least.rhash"))
+    kept = (F.col("n") == 0) | F.coalesce(F.col("rhash") == first, F.lit(False))
+    seen = saved(rows.groupBy("rid", "rhash").agg(F.first(kept).alias("kept"), F.count("*").alias("n_rows"), F.max("n").alias("n"))
+                 .where("not kept or n_rows > 1 and (n > 0 or rid is not null)"))
+    few = lambda t: F.broadcast(t) if small(t, SMALL_TABLE) else t
+    gone = few(seen.where("not kept").select("rid", "rhash"))
+    rest = docs.join(gone, same_row(docs, id_col, text_col, gone), "left_anti")
+    repeated = seen.where("kept").select("rid", "rhash")
     if repeated.isEmpty():
         return rest
-    few = F.broadcast(repeated) if small(repeated, SMALL_TABLE) else repeated
-    once = rest.join(few, id_col, "left_semi").select(docs.columns).dropDuplicates([id_col])
-    return rest.join(few, id_col, "left_anti").select(docs.columns).union(once)
+    repeated = few(repeated)
+    once = rest.join(repeated, same_row(rest, id_col, text_col, repeated), "left_semi").withColumn("__hash", text_hash(F.col(text_col))).dropDuplicates([id_col, "__hash"])
+    return rest.join(repeated, same_row(rest, id_col, text_col, repeated), "left_anti").union(once.select(docs.columns))
 
 
 ORACLE_SQL = """

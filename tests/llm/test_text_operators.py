@@ -89,6 +89,19 @@ def test_near_duplicate_edge_cases(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(200)) for x in "abcd")
+    rows = [(5, a), (9, a), (3, b), (5, b), (None, b), (None, b), (None, c), (None, c), (None, c + " more"), (8, d), (None, d), (7, ""), (None, ""), (None, None), (5, a)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, rhash int")
+    kept = [(r.doc_id, r.text) for r in near_dedup.keep_one_per_component(df).collect()]
+    of_c = [t for i, t in kept if i is None and t and t.startswith("c0")]
+    assert len(of_c) == 1
+    want = [(5, a), (3, b), (None, b), (None, of_c[0]), (8, d), (None, d), (7, ""), (None, ""), (None, None)]
+    assert sorted(map(repr, kept)) == sorted(map(repr, want))
+    out = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect() if r.n_shingles}
+    assert out == {(5, 5, True), (9, 5, False), (3, 3, True), (5, 3, False), (None, 3, False), (None, None, False), (8, 8, True), (None, 8, False)}
+
+
 def test_bayesian_bounds_keep_the_threshold():
     least = near_dedup.least_matches()
     assert list(least) == [40, 80, 120, 160, 200] and all(m < 0.75 * n for n, m in least.items())
