@@ -1,8 +1,9 @@
 """Operator 7: personal data by candidate gradient boosting (DataFrame functions only).
 
 Base spans come from four patterns with their checks (number ranges, Luhn, digit counts).
-They always stay.  High-recall generators propose further, overlapping spans: loose numbers
-and loose addresses ("name (at) host (dot) com").  A boosted-tree classifier judges each
+They always stay.  High-recall generators propose further, overlapping spans: loose numbers,
+numbers by format (national grouping, dotted, digits only) that may lie inside the loose ones,
+and loose addresses ("name (at) host (dot) com").  Of accepted spans that overlap the best scored stays.  A boosted-tree classifier judges each
 candidate by its format (length, digits, groups, separators) and its context (the characters
 and words around it).  It learns from the corpus itself by labelling functions: a candidate is
 positive if it coincides with a base span, if it is an address once "(at)" and "(dot)" are
@@ -47,6 +48,11 @@ PATTERNS = {
 LOOSE_NUMBER = r"(?<![0-9A-Za-z.])[+(]?[0-9][0-9\x20().-]{5,40}[0-9](?![0-9A-Za-z])"
 LOOSE_ADDRESS = (rf"(?<!{EMAIL_RUN}){EMAIL_RUN}{{1,64}}(?:@|\x20?(?:\(at\)|\[at\])\x20?)[A-Za-z0-9-]{{1,63}}"
                  r"(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63})+")
+#: Numbers by format, whose matches may lie inside or across those of LOOSE_NUMBER.
+FORMATS = {
+    "national": r"(?<![0-9A-Za-z])(?:\([0-9]{3}\)[\x20.-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
+    "run": r"(?<![0-9A-Za-z])(?:[0-9]{1,4}(?:\.[0-9]{1,4}){2,4}|[0-9]{7,19})(?![0-9A-Za-z])",
+}
 OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 CONTEXT = (r"(?i)(?:tel|phone|fon|call|mobile|cell|fax|mail|contact|card|visa|account|konto|iban|ip|addr|address|host|server)\W{0,3}$")
 MARK, OTHER = "\x01", "\x02"
@@ -111,13 +117,13 @@ CHECKS = {
 
 def with_spans(docs: DataFrame, text_col: str) -> DataFrame:
     """The documents with columns __base (checked spans) and __loose (candidates)."""
-    patterns = PATTERNS | {"number": LOOSE_NUMBER, "address": LOOSE_ADDRESS}
+    patterns = PATTERNS | {"number": LOOSE_NUMBER, "address": LOOSE_ADDRESS} | FORMATS
     out = docs.withColumn("__text", F.translate(F.coalesce(F.col(text_col), F.lit("")), MARK, OTHER))
     out = out.withColumns({f"__cut_{k}": pieces(F.col("__text"), p) for k, p in patterns.items()})
     out = out.withColumns({f"__at_{k}": F.when(F.size(f"__cut_{k}") > 1, running_starts(F.transform(f"__cut_{k}", F.char_length))) for k in patterns})
-    out = out.withColumns({f"__all_{k}": located(F.col(f"__cut_{k}"), F.col(f"__at_{k}"), k) for k in patterns})
+    out = out.withColumns({f"__all_{k}": located(F.col(f"__cut_{k}"), F.col(f"__at_{k}"), "number" if k in FORMATS else k) for k in patterns})
     out = out.withColumn("__base", F.array_sort(F.concat(*[F.filter(f"__all_{k}", CHECKS[k]) for k in KINDS]), in_order))
-    out = out.withColumn("__loose", F.concat("__all_number", "__all_address"))
+    out = out.withColumn("__loose", F.array_distinct(F.concat("__all_number", "__all_address", *[f"__all_{k}" for k in FORMATS])))
     return out.drop("__text", *[f"__{x}_{k}" for x in ("cut", "at", "all") for k in patterns])
 
 
@@ -206,13 +212,21 @@ def learn(table: DataFrame) -> tuple | None:
 
 
 def added(model_and_threshold: tuple | None) -> Column:
-    """Accepted candidates that touch no base span, as (start, stop, kind)."""
+    """Accepted candidates that touch no base span and no better accepted one, as (start, stop, kind).
+
+    Better is the higher score, then the shorter and the earlier one.
+    """
     if model_and_threshold is None:
         return F.array().cast("array<struct<start:int,stop:int,kind:string>>")
     model, least = model_and_threshold
     free = lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"]))
     vectors = F.transform(F.filter("__loose", free), lambda c: F.struct(c.alias("c"), F.array(*features(c)).alias("x")))
-    good = F.filter(vectors, lambda v: F.round(margin(model, [F.get(v["x"], k) for k in range(N_FEATURES)]), 9) >= least)
+    scored = F.transform(vectors, lambda v: F.struct(
+        (-F.round(margin(model, [F.get(v["x"], k) for k in range(N_FEATURES)]), 9)).alias("worse"),
+        (v["c"]["stop"] - v["c"]["start"]).alias("length"), v["c"]["start"].alias("start"), v["c"].alias("c")))
+    best_first = F.array_sort(F.filter(scored, lambda v: v["worse"] <= -least))
+    good = F.aggregate(best_first, F.filter(best_first, lambda v: F.lit(False)), lambda kept, v: F.when(
+        F.exists(kept, lambda k: (k["start"] < v["c"]["stop"]) & (v["start"] < k["c"]["stop"])), kept).otherwise(F.concat(kept, F.array(v))))
     kind = lambda c: F.when(c["kind"] == "address", "email").when(c["said"].rlike(r"^[0-9]+(\.[0-9]+){3}$"), "ip").when(
         F.char_length(digits(c["said"])) >= 12, "card").otherwise("phone")
     return F.transform(good, lambda v: F.struct(v["c"]["start"].alias("start"), v["c"]["stop"].alias("stop"), kind(v["c"]).alias("kind")))

@@ -190,6 +190,13 @@ def test_base_spans_equal_brute_force_and_stay(spark):
         assert out.n_email == want.count("email:") and out.n_ip == want.count("ip:") and out.n_card == want.count("card:") and out.n_phone == want.count("phone:")
 
 
+def test_numbers_beside_other_numbers_are_found(spark):
+    rows = [(i, f"call 555-{i % 900 + 100}-{i + 1000} now, part {i * 7919 % 10**7:07d} of lot {i}-{i % 7}-{i * 31 % 999:03d}") for i in range(400)]
+    fused = [(1000, "call 555-123-4567 555-222-3333"), (1001, "call 555-123-4567 24/7"), (1002, "call 555-123-4567. 2 items")]
+    got = {r.doc_id: r.spans.split(",") for r in pii.find_pii(spark.createDataFrame(rows + fused, DOCS)).where("doc_id >= 1000").collect()}
+    assert got == {1000: ["phone:5:17", "phone:18:30"], 1001: ["phone:5:17"], 1002: ["phone:5:17"]}
+
+
 def test_redaction_keeps_columns_and_clean_texts(spark):
     rows = [(1, "write to a.b@c.de or 10.0.0.1 now", "x"), (2, "nothing here", None), (3, None, "y"), (None, "", "z"), (4, "a@b.c" * 2, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, __extra string")
