@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import chat_format, cover_tree, decontaminate, html_extract, merkle, mixing, near_dedup, periodic_runs, pii, token_counts, toxicity, url_filter
+from . import chat_format, cover_tree, decontaminate, html_extract, merkle, mixing, near_dedup, periodic_runs, pii, posting_lists, token_counts, toxicity, url_filter
 from .common import documents
 
 
@@ -57,8 +57,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(documents(spark, sf_dir))
 
 
+def op13_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_html_extract, op2_url_filter, op3_mixing, op4_near_dedup, op5_decontaminate, op6_top_k, op7_pii,
-                                   op8_chat_format, op9_token_counts, op10_toxicity, op11_merkle_manifest, op12_periodic_runs)}
+                                   op8_chat_format, op9_token_counts, op10_toxicity, op11_merkle_manifest, op12_periodic_runs, op13_posting_lists)}
 ORACLE_SQL = {"op2_url_filter": url_filter.oracle_sql(), "op3_mixing": mixing.oracle_sql(), "op4_near_dedup": near_dedup.ORACLE_SQL,
               "op5_decontaminate": decontaminate.ORACLE_SQL, "op6_top_k": cover_tree.ORACLE_SQL, "op8_chat_format": chat_format.ORACLE_SQL,
               "op11_merkle_manifest": merkle.ORACLE_SQL}
