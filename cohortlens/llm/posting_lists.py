@@ -38,8 +38,8 @@ from .cover_tree import sound
 
 K = 20
 EVERY = 20  # queries: ids divisible by this
-SAMPLE, SAMPLE_BYTES = 8192, 32 << 20
-LIST, MAX_LISTS = 256, 4096
+SAMPLE, SAMPLE_BYTES = 4096, 32 << 20
+LIST, MAX_LISTS = 256, 2048
 LINKS = 12  # near centroids linked to each
 BEAM = 16  # of the search for a row's lists
 REPLICAS, CLOSE = 3, 1.03
@@ -240,8 +240,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def fit_index(rows: DataFrame, n: int, dim: int, norm: float, k: int) -> Index:
     """The index of a bounded sample, with the table's own largest norm."""
     size = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * dim)))
-    held = rows.orderBy(F.xxhash64("id"), "id", "x").limit(size).collect()
-    sample = np.unique(matrix(pa.array([[float(c) for c in r["x"]] for r in held], pa.list_(pa.float64())), dim), axis=0) if held else np.zeros((0, dim))
+    held = rows.orderBy(F.xxhash64("id"), "id", "x").limit(size).toArrow()
+    sample = np.unique(matrix(held["x"].combine_chunks(), dim), axis=0)
     return Index(sample, n, norm, k)
 
 
