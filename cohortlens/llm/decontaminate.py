@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import as_bytes, lean, slices
 from .shingles import WIDTH, shingle_sets
@@ -112,6 +113,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = (f"id {src.schema['id'].dataType.simpleString()}, item {items.schema[item_id_col].dataType.simpleString()}, "
               "n_item long, n_shared long")
+    item_type = to_arrow_type(items.schema[item_id_col].dataType)
 
     def searcher(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +123,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                 found = list(matches(batch.column(1), names, index, threshold, width))
                 rows, hit_items, n_item, n_shared = zip(*found) if found else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(hit_items, pa.array(names[:1]).type),
+                    [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(hit_items, item_type),
                      pa.array(n_item, pa.int64()), pa.array(n_shared, pa.int64())], names=["id", "item", "n_item", "n_shared"])
 
         return run

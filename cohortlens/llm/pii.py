@@ -20,7 +20,8 @@ Positions: every match is wrapped in \\x01 by ``regexp_replace``, the text is sp
 running sums of the pieces' lengths (two-level, so that many matches don't cost their
 square) are the offsets, in code points.  A \\x01 of the text itself counts as another control
 character.  The patterns use possessive loops and start only at edges of their character
-runs (or where the last match ended), which finds the same matches without backtracking.
+runs (or where the last match ended), which finds the same matches without backtracking; groups are repeated
+possessively or a bounded number of times, so the depth of a match doesn't grow with its length.
 
 Cases: null and empty texts have no spans; matches that fail their check are dropped without
 retry; repeated rows and null ids each give their row; other columns are ignored.
@@ -47,7 +48,7 @@ PATTERNS = {
 }
 LOOSE_NUMBER = r"(?<![0-9A-Za-z.])[+(]?[0-9][0-9\x20().-]{5,40}[0-9](?![0-9A-Za-z])"
 LOOSE_ADDRESS = (rf"(?<!{EMAIL_RUN}){EMAIL_RUN}{{1,64}}(?:@|\x20?(?:\(at\)|\[at\])\x20?)[A-Za-z0-9-]{{1,63}}"
-                 r"(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63})+")
+                 r"(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63})++")
 #: Numbers by format, whose matches may lie inside or across those of LOOSE_NUMBER.
 FORMATS = {
     "national": r"(?<![0-9A-Za-z])(?:\([0-9]{3}\)[\x20.-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
@@ -155,7 +156,7 @@ N_FEATURES = 12
 def weak_label(c: Column) -> Column:
     """Labelling functions beyond the base spans: spelt-out addresses, national phone grouping."""
     plain = F.regexp_replace(F.regexp_replace(c["said"], r"\x20?[(\[]at[)\]]\x20?", "@"), r"\x20?[(\[]dot[)\]]\x20?", ".")
-    address = (c["kind"] == "address") & plain.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$")
+    address = (c["kind"] == "address") & plain.rlike(r"^[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$")
     return address | (c["kind"] == "number") & c["said"].rlike(r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}$")
 
 

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm import decontaminate, near_dedup, pii, shingles, token_counts
 
@@ -204,3 +205,25 @@ def test_redaction_keeps_columns_and_clean_texts(spark):
     assert out.columns == df.columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "write to [EMAIL] or [IP] now", 2: "nothing here", 3: None, None: "", 4: "[EMAIL]@b.c"}
     assert pii.find_pii(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_long_chains_do_not_overflow(spark):
+    n = 100_000
+    texts = ["x@" + "a." * n + "a", "x(at)" + "a(dot)" * n + "a", "x@" + "a [dot] " * n + "a", "a" * n + "@b.c", "a@b" + ".c" * n + "@" + "d." * n, "1 " * n, "1" * n,
+             "1-" * n + "1", "+1" + "(2) " * n + "3", "+" * n + "1", "1." * n + "1", "555-123-4567 " * n, "0" * n + ".1.1.1", "x@y.z" * n]
+    patterns = [*pii.PATTERNS.values(), pii.LOOSE_NUMBER, pii.LOOSE_ADDRESS, *pii.FORMATS.values()]
+    counted = spark.createDataFrame([(t,) for t in texts], "text string").select(*[F.regexp_count("text", F.lit(p)) for p in patterns]).collect()
+    assert [r[5] for r in counted[:3]] == [1, 1, 1] and [r[0] for r in counted] == [1, 0, 0, 1, 1, 0, 0, 0, 0, 0, 0, 0, 0, n // 2]
+    clean = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(list(enumerate(texts[:7])), DOCS)).collect()}
+    assert clean[0] == "[EMAIL]" and clean[3] == "[EMAIL]"
+
+
+def test_null_item_ids_in_any_order(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text), (2, "clean " * 40)], DOCS)
+    for kind in ("long", "string", "decimal(20,0)"):
+        for order in ((None, 5), (5, None), (None, None)):
+            items = spark.createDataFrame([(i, text if i is None else text + " more") for i in order], "item_id long, text string")
+            items = items.coalesce(1).selectExpr(f"cast(item_id as {kind}) as item_id", "text")
+            got = {None if r.item_id is None else int(r.item_id) for r in decontaminate.find_leaks(docs, items).collect()}
+            assert got == set(order) and [r.doc_id for r in decontaminate.remove_leaks(docs, items).collect()] == [2]
