@@ -174,14 +174,6 @@ def _count_tuples(spark, d, candidates: bool = False):
     return features.count_features(dx, "code").unionByName(features.count_features(med, "medicine"))
 
 
-def _family_tuples(spark, d):
-    """Counts per code family (the part before the subcode): PCA's matrix is square in the feature number."""
-    dx, med, _ = P.pheno_inputs(spark, d)
-    family = lambda c: F.substring_index(F.substring_index(c, ".", 1), "-", 1)
-    return features.count_features(dx.withColumn("code", family("code")), "code").unionByName(
-        features.count_features(med.withColumn("medicine", family("medicine")), "medicine"))
-
-
 def _lab_tuples(spark, d, candidates: bool = False):
     _, _, lab = P.pheno_inputs(spark, d)
     cl = None
@@ -393,7 +385,7 @@ def q_pic_clusters(spark, d):
 # ---- metrics ------------------------------------------------------------------------
 
 from ..functions.hashing import hash_unit  # noqa: E402
-from ..operators import ensemble, metrics, ml  # noqa: E402
+from ..operators import ensemble, lowrank, metrics, ml  # noqa: E402
 
 
 def _pred_embeddings(spark, d):
@@ -498,13 +490,12 @@ def q_streaming_kmeans(spark, d):
 @register("clustering_report")
 def q_clustering_report(spark, d):
     """Purity of k-means, Gaussian mixture and streaming k-means against the phenotype class, on
-    patient features: all codes (by family) and labs, and those of the candidate lists."""
+    patient features: all codes and labs, and those of the candidate lists."""
     pheno = q_phenotype(spark, d)
     parts = []
     for name, filtered in (("all", False), ("filtered", True)):
-        codes = _count_tuples(spark, d, True) if filtered else _family_tuples(spark, d)
-        tuples = codes.unionByName(_lab_tuples(spark, d, filtered))
-        points = P.training_frame(ml.pca(ml.standardize(features.feature_vectors(tuples)), k=10))
+        tuples = _count_tuples(spark, d, filtered).unionByName(_lab_tuples(spark, d, filtered))
+        points = lowrank.sparse_pca(tuples, k=10).projected
         points = P.training_frame(points.join(pheno, "patient_id").select("patient_id", F.col("phenotype").alias("label"), "pca"))
         streamed = _stream_clusters(spark, points)
         for model, purity in (("kmeans", ml.cluster_purity(points, "kmeans", k=3, max_iter=20)),

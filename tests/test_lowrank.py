@@ -1,0 +1,70 @@
+import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from cohortlens.operators import features, lowrank, ml
+from cohortlens.plans import profile as P, registry
+
+SF = "/root/testdata/sf0.001"
+
+
+def _long(spark, x):
+    rows = [(i, f"f{j}", float(x[i, j])) for i in range(len(x)) for j in range(x.shape[1]) if x[i, j]]
+    return spark.createDataFrame(rows, "patient_id long, feature_name string, feature_value double")
+
+
+def _dense_pca(x, k):
+    s = x.std(0, ddof=1)
+    z = (x - x.mean(0)) * np.where(s > 0, 1 / np.where(s > 0, s, 1), 0)
+    u, d, v = np.linalg.svd(z, full_matrices=False)
+    return z @ v[:k].T, d[:k] ** 2 / (len(x) - 1)
+
+
+def _sparse(n, d, seed=5, strength=(9.0, 6.0, 4.0, 2.5)):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, len(strength))) * strength @ rng.normal(size=(len(strength), d)) + rng.normal(size=(n, d))
+    return np.where(rng.random((n, d)) < 0.7, np.round(x, 3) + 5, 0)
+
+
+def _signless(a, b, tol):
+    return all(min(np.abs(a[:, j] - b[:, j]).max(), np.abs(a[:, j] + b[:, j]).max()) < tol for j in range(a.shape[1]))
+
+
+def test_sparse_pca_equals_dense_pca(spark):
+    x = _sparse(120, 60)
+    x[:, 7] = 3.0                                    # a constant feature takes no part
+    got = lowrank.sparse_pca(_long(spark, x), k=3, oversample=12, tol=1e-9, max_rounds=40)
+    want, variances = _dense_pca(x, 3)
+    rows = {r.patient_id: r.p for r in got.projected.select("patient_id", vector_to_array("pca").alias("p")).collect()}
+    assert _signless(np.array([rows[i] for i in range(len(x))]), want, 1e-3)
+    assert np.allclose(got.variances, variances, rtol=1e-6) and got.rounds < 40
+    loadings = np.array([r.loadings for r in got.components.collect()])
+    assert np.allclose(loadings.T @ loadings, np.eye(3), atol=1e-9) and (loadings.max(axis=0) == np.abs(loadings).max(axis=0)).all()
+
+
+def test_sparse_pca_equals_spark_pca_on_patient_features(spark):
+    tuples = P.training_frame(registry._count_tuples(spark, SF, True).unionByName(registry._lab_tuples(spark, SF, True)))
+    dense = ml.pca(ml.standardize(features.feature_vectors(tuples)), k=3)
+    want = {r.patient_id: r.p for r in dense.select("patient_id", vector_to_array("pca").alias("p")).collect()}
+    d = tuples.select("feature_name").distinct().count()
+    got = lowrank.sparse_pca(tuples, k=3, oversample=d, tol=1e-9)       # a basis of all features: exact
+    have = {r.patient_id: r.p for r in got.projected.select("patient_id", vector_to_array("pca").alias("p")).collect()}
+    assert set(have) == set(want)
+    ids = sorted(want)
+    assert _signless(np.array([have[i] for i in ids]), np.array([want[i] for i in ids]), 1e-5)
+
+
+def test_sparse_pca_small_inputs(spark):
+    schema = "patient_id long, feature_name string, feature_value double"
+    assert lowrank.sparse_pca(spark.createDataFrame([], schema)).projected.count() == 0
+    one = lowrank.sparse_pca(spark.createDataFrame([(1, "a", 2.0), (2, "a", 4.0), (3, "b", None), (None, "a", 1.0)], schema), k=5)
+    points = {r.patient_id: r.p for r in one.projected.select("patient_id", vector_to_array("pca").alias("p")).collect()}
+    assert np.allclose([points[1], points[2]], [[-np.sqrt(0.5)], [np.sqrt(0.5)]]) and len(points) == 2
+
+
+def test_report_keeps_every_code(spark):
+    assert not hasattr(registry, "_family_tuples")
+    all_codes = registry._count_tuples(spark, SF).select("feature_name").distinct().count()
+    pca = lowrank.sparse_pca(registry._count_tuples(spark, SF), k=2, max_rounds=2)
+    assert pca.components.count() == all_codes
+    assert pca.components.select(F.size("loadings").alias("n")).distinct().collect()[0].n == 2
