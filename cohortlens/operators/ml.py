@@ -7,18 +7,23 @@ driver-side values are fitted parameters and per-fold metric scalars.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sparse import sparse_vector
+from ..session import ensure_checkpoint_dir
+from . import regressors
 from .metrics import purity
 
 SEED = 6250
@@ -101,42 +106,72 @@ def fit_predict(train: DataFrame, score: DataFrame, kind: str, key: str = "patie
     return model.transform(score).select(key, "label", F.col("prediction").cast("int").alias("prediction"))
 
 
-def _validated(train: DataFrame, test: DataFrame, kind: str) -> tuple[float | None, float | None]:
+def _validated(train: DataFrame, test: DataFrame, kind: str, n_train: int) -> tuple[float | None, float | None]:
     """Accuracy and exact AUC (no score bins) on ``test`` of a model fitted on ``train``; null where undefined."""
-    pred = classifier(kind, train.count()).fit(train).transform(test)
+    pred = classifier(kind, n_train).fit(train).transform(test)
     accuracy, classes = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")), F.count_distinct("label")).first()
     exact = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
     return accuracy, exact.evaluate(pred) if classes > 1 else None
 
 
-def _with_mean(spark, rows: list[tuple], round_col: str) -> DataFrame:
-    """One row per round, and their mean as round -1."""
-    per = spark.createDataFrame(rows, f"{round_col} int, accuracy double, auc double")
+def _rounds(parts: list[tuple[DataFrame, DataFrame, int]], kind: str, round_col: str, parallelism: int) -> DataFrame:
+    """One row per round (train, test, rows of train) and their mean as round -1; some fits run at a time, as jobs of one session."""
+    spark = parts[0][0].sparkSession
+    with ThreadPool(processes=max(1, min(parallelism, len(parts)))) as pool:
+        found = pool.map(inheritable_thread_target(spark)(lambda p: _validated(p[0], p[1], kind, p[2])), parts)
+    per = spark.createDataFrame([(i, *f) for i, f in enumerate(found)], f"{round_col} int, accuracy double, auc double")
     mean = per.agg(F.lit(-1).alias(round_col), F.avg("accuracy").alias("accuracy"), F.avg("auc").alias("auc"))
     return per.unionByName(mean)
 
 
-def kfold_cv(df: DataFrame, fold_col: str = "fold", k: int = 5, kind: str = "lr") -> DataFrame:
+PARALLELISM = 4  # fits at a time
+
+
+def kfold_cv(df: DataFrame, fold_col: str = "fold", k: int = 5, kind: str = "lr", parallelism: int = PARALLELISM) -> DataFrame:
     """Per-fold accuracy and AUC of a classifier trained on the other folds, plus the mean.
 
-    Each fit is distributed; only the metric scalars return to the driver.
+    The rows are stored once; every fit is distributed, ``parallelism`` of them run at a time, and only
+    the metric scalars return to the driver.
     """
-    rows = [(f, *_validated(df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f), kind)) for f in range(k)]
-    return _with_mean(df.sparkSession, rows, "fold")
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    sizes = {r[fold_col]: r["count"] for r in df.groupBy(fold_col).count().collect()}  # one row per fold
+    total = sum(n for f, n in sizes.items() if f is not None)
+    return _rounds([(df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f), total - sizes.get(f, 0)) for f in range(k)], kind, "fold", parallelism)
+
+
+def random_split_cv(df: DataFrame, splits: DataFrame, iterations: int = 5, kind: str = "lr", key: str = "patient_id",
+                    parallelism: int = PARALLELISM) -> DataFrame:
+    """Accuracy and AUC over repeated random splits (iteration, key, split in train/test), plus the mean; as :func:`kfold_cv`."""
+    ensure_checkpoint_dir(df.sparkSession)
+    both = df.join(splits.select("iteration", key, "split"), key).checkpoint(eager=True)
+    sizes = {r["iteration"]: r["count"] for r in both.filter("split = 'train'").groupBy("iteration").count().collect()}  # one row per iteration
+    part = lambda i, s: both.filter((F.col("iteration") == i) & (F.col("split") == s))
+    return _rounds([(part(i, "train"), part(i, "test"), sizes.get(i, 0)) for i in range(iterations)], kind, "iteration", parallelism)
+
 
+def store_model(model: PipelineModel, path: str) -> None:
+    """Writes a fitted pipeline to a shared folder; an earlier one there is replaced."""
+    model.write().overwrite().save(path)
 
-def random_split_cv(df: DataFrame, splits: DataFrame, iterations: int = 5, kind: str = "lr", key: str = "patient_id") -> DataFrame:
-    """Accuracy and AUC over repeated random splits (iteration, key, split in train/test), plus the mean."""
-    rows = []
-    for i in range(iterations):
-        part = df.join(splits.filter(F.col("iteration") == i).select(key, "split"), key)
-        rows.append((i, *_validated(part.filter("split = 'train'"), part.filter("split = 'test'"), kind)))
-    return _with_mean(df.sparkSession, rows, "iteration")
 
+def load_model(path: str) -> PipelineModel:
+    """A stored pipeline, in this or another session."""
+    return PipelineModel.load(path)
 
-# Weights of the voting ensemble: gradient boosting 3, forest 1, ridge 1 (the network
-# regressor of the original ensemble has no Spark counterpart and is left out).
-VOTING_WEIGHTS = (("gbt", 3.0), ("forest", 1.0), ("ridge", 1.0))
+
+def fit_classifier(train: DataFrame, kind: str, scale: bool = False) -> PipelineModel:
+    """A fitted pipeline of a classifier, on standardised features if wanted; :func:`store_model` keeps it."""
+    n = train.count()
+    if not scale:
+        return Pipeline(stages=[classifier(kind, n)]).fit(train)
+    return Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True), classifier(kind, n, "scaled")]).fit(train)
+
+
+# Weights of the voting ensemble: gradient boosting, extremely randomised trees, ridge, network.
+VOTING_WEIGHTS = (("gbt", 3.0), ("trees", 1.0), ("ridge", 1.0), ("network", 3.0))
+# Fixed values of the original ensemble: boosting rounds and trees, their depth, the boosting step.
+TREES, DEPTH, STEP = 2000, 5, 0.01
 
 
 def ridge(train: DataFrame, alpha: float = 1.0) -> LinearRegression:
@@ -150,28 +185,32 @@ def ridge(train: DataFrame, alpha: float = 1.0) -> LinearRegression:
                             elasticNetParam=0.0, standardization=False)
 
 
-TREES = 2000  # boosting rounds, and trees of the forest, in the original ensemble
+def voting_members(train: DataFrame, score: DataFrame, key: str, trees: int = TREES, rounds: int = TREES, alpha: float = 1.0,
+                   steps: int = 200, max_features: float = 1.0) -> DataFrame:
+    """(key, p_gbt, p_trees, p_ridge, p_network): the members' predictions; boosting in squared error, depth 5, step 0.01."""
+    models = (GBTRegressor(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=DEPTH, stepSize=STEP, seed=SEED, predictionCol="p_gbt"),
+              ridge(train, alpha).setPredictionCol("p_ridge"))
+    out = score.select(key, "features")
+    for m in models:
+        out = m.fit(train).transform(out)
+    out = out.drop("features")
+    rows, asked, d = regressors.stored_rows(train), regressors.stored_rows(score, key, None), regressors.n_features(train)
+    forest = regressors.extra_trees(rows, d, trees, DEPTH, max_features, SEED)
+    network = regressors.train_network(rows, d, steps=steps, seed=SEED)
+    for name, model in (("p_trees", forest), ("p_network", network)):
+        out = out.join(regressors.scored(asked, d, key, model, name), key)
+    return out
 
 
-def voting_ensemble(train: DataFrame, score: DataFrame, key: str = "patient_id", trees: int = TREES, alpha: float = 1.0) -> DataFrame:
-    """(key, score): weighted mean of the regressors' predictions.
+def voting_ensemble(train: DataFrame, score: DataFrame, key: str = "patient_id", trees: int = TREES, rounds: int = TREES, alpha: float = 1.0,
+                    steps: int = 200, max_features: float = 1.0) -> DataFrame:
+    """(key, score): mean of the four regressors' predictions, weighted 3, 1, 1, 3; keys must be unique.
 
     Ridge minimises (sum of squared errors) + alpha * |w|^2 (see :func:`ridge`).
     """
-    models = {
-        "gbt": GBTRegressor(featuresCol="features", labelCol="label", maxIter=trees, seed=SEED),
-        "forest": RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=trees, seed=SEED),
-        "ridge": ridge(train, alpha),
-    }
-    out = score.select(key, "features")
+    out = voting_members(train, score, key, trees, rounds, alpha, steps, max_features)
     total = sum(w for _, w in VOTING_WEIGHTS)
-    acc = None
-    for name, w in VOTING_WEIGHTS:
-        m = models[name].fit(train)
-        out = m.setPredictionCol(f"p_{name}").transform(out)
-        term = F.col(f"p_{name}") * F.lit(w)
-        acc = term if acc is None else acc + term
-    return out.select(key, (acc / F.lit(total)).alias("score"))
+    return out.select(key, (sum((F.col(f"p_{name}") * w for name, w in VOTING_WEIGHTS), F.lit(0.0)) / total).alias("score"))
 
 
 def mlp_predict(train: DataFrame, score: DataFrame, n_inputs: int, n_classes: int, hidden: int = 50,

@@ -568,7 +568,7 @@ def q_kfold_cv(spark, d):
 @register("voting_ensemble")
 def q_voting_ensemble(spark, d):
     rows, train = _split_rows(spark, d)
-    return ml.voting_ensemble(train, rows, trees=P.VOTING_TREES)
+    return ml.voting_ensemble(train, rows, trees=P.VOTING_TREES, rounds=P.VOTING_ROUNDS, steps=P.VOTING_STEPS)
 
 
 @register("sgd_weights")

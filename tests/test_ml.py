@@ -1,8 +1,14 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cohortlens.operators import ml
+from cohortlens.operators import ml, splits
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def _vectors(spark, n=60, d=6, seed=2):
@@ -92,3 +98,31 @@ def test_ridge_weight_of_the_ensemble_is_scaled_by_the_rows(spark):
     model = ml.ridge(df, alpha=1.0).fit(df)
     c, m = x - x.mean(axis=0), y - y.mean()
     assert np.allclose(model.coefficients, np.linalg.solve(c.T @ c + np.eye(2), c.T @ m), atol=1e-6)
+
+
+def test_concurrent_folds_equal_fits_one_by_one(spark):
+    _, _, df = _noisy(spark)
+    folded = splits.kfold_assign(df, "patient_id", 4)
+    one = {r.fold: (r.accuracy, r.auc) for r in ml.kfold_cv(folded, "fold", 4, parallelism=1).collect()}
+    many = {r.fold: (r.accuracy, r.auc) for r in ml.kfold_cv(folded, "fold", 4, parallelism=4).collect()}
+    assert one == many and sorted(one) == [-1, 0, 1, 2, 3]
+
+
+def test_stored_models_score_alike_in_another_session(spark, tmpdir_path):
+    _, _, df = _noisy(spark)
+    for kind in ("lr", "svm", "tree"):
+        for scale in (False, True):
+            model = ml.fit_classifier(df, kind, scale)
+            ml.store_model(model, f"{tmpdir_path}/{kind}")               # the second one replaces the first
+            df.write.mode("overwrite").parquet(f"{tmpdir_path}/rows")
+            code = ("import sys; sys.path.insert(0, %r); from pyspark.sql import SparkSession; from cohortlens.operators import ml; "
+                    "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate(); "
+                    "rows = ml.load_model(%r).transform(s.read.parquet(%r)).select('patient_id', 'prediction').collect(); "
+                    "print('GOT', sorted((r.patient_id, r.prediction) for r in rows))") % (ROOT, f"{tmpdir_path}/{kind}", f"{tmpdir_path}/rows")
+            want = sorted((r.patient_id, r.prediction) for r in model.transform(df).select("patient_id", "prediction").collect())
+            if scale and kind == "tree":
+                env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_"))}
+                out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, env=env).stdout
+                assert f"GOT {want}" in out
+            again = ml.load_model(f"{tmpdir_path}/{kind}").transform(df)
+            assert sorted((r.patient_id, r.prediction) for r in again.select("patient_id", "prediction").collect()) == want
