@@ -6,10 +6,12 @@ Vectors become integers floor(64 * x); a score is the integer inner product.
    vectors are dealt by hash into blocks of at most about ``BLOCK`` rows, so equal vectors, however
    many, are spread.  The sample shapes the blocks only; every row is in one.
 2. In a task, a cover tree is built over one block (each node covers its points within
-   its radius; child radii shrink by half) and one over a block of queries.
+   its radius; children are a net of half that radius, of at most ``FAN`` centres, and points beyond
+   the net join the nearest of them) and one over a block of queries.
 3. First each query searches one block of its own pivot: the kth score found there is a
    lower bound for its final kth score.
-4. Then every block of queries meets every block of data, starting from those bounds.  The
+4. A query is dealt to a pivot's blocks unless <q, c> + |q| R, for the pivot's centre c and the greatest
+   distance R of its vectors, stays below that bound.  There it starts from the bound.  The
    search descends both trees and drops a pair of nodes when no inner product between them can
    reach the worst kth score of the query node:  <q, c> + |q| R + |c| r + r R  bounds them,
    for centres q, c and radii r, R.  Ties stay, so equal scores are settled by the smaller id.
@@ -36,10 +38,11 @@ from .common import saved
 SCALE = 64
 K = 20
 EVERY = 20  # queries: ids divisible by this
-PIVOTS = 64
-BLOCK = 4096
-LEAF, QUERY_LEAF = 48, 8  # points of a data leaf; of a query leaf, whose worst kth score prunes for all of it
-CHUNK = 256  # points scored in one call
+PIVOTS = 64  # at most; one for each half block of rows
+BLOCK = 8192
+FAN = 32  # children of a node
+LEAF, QUERY_LEAF = 64, 16  # points of a data leaf; of a query leaf, whose worst kth score prunes for all of it
+FIRST, CHUNK = 128, 2048  # points scored in a leaf's first call, and at most, as calls grow
 
 
 class CoverTree:
@@ -75,15 +78,18 @@ class CoverTree:
         return top
 
     def net(self, members: np.ndarray, reach: float) -> list[np.ndarray]:
-        """Groups of members within ``reach`` of a first one; what stays alone shares leaves of its own."""
-        parts, alone, rest = [], [], members
-        while len(rest):
+        """Groups of members within ``reach`` of a first one; the rest go to the nearest of these."""
+        first, parts, rest = [], [], members
+        while len(rest) and len(first) < FAN:
             near = ((self.points[rest] - self.points[rest[0]]) ** 2).sum(axis=1) <= reach * reach
             near[0] = True
-            (parts if near.sum() > 1 else alone).append(rest[near])
+            first.append(rest[0])
+            parts.append(rest[near])
             rest = rest[~near]
-        lone = np.concatenate(alone) if alone else np.zeros(0, np.int64)
-        parts += [lone[i:i + self.leaf] for i in range(0, len(lone), self.leaf)]
+        if len(rest):
+            centres = self.points[first]
+            own = ((centres**2).sum(axis=1) - 2 * self.points[rest] @ centres.T).argmin(axis=1)
+            parts = [np.concatenate([part, rest[own == k]]) for k, part in enumerate(parts)]
         return parts
 
 
@@ -135,32 +141,50 @@ class Search:
         """Scores leaves in falling order of their bounds, as long as they can matter."""
         own, limit = self.q.members[node], self.limits(node, leaves)
         order = np.argsort(-limit, kind="stable")
-        at = 0
+        at, chunk = 0, FIRST
         while at < len(order) and limit[order[at]] >= self.worst(own):
             take, n = [], 0
-            while at < len(order) and n < CHUNK:
+            while at < len(order) and n < chunk:
                 take.append(self.d.members[leaves[order[at]]])
                 n, at = n + len(take[-1]), at + 1
             self.merge(own, np.concatenate(take))
+            chunk = min(2 * chunk, CHUNK)
 
     def merge(self, own: np.ndarray, points: np.ndarray) -> None:
         self.scored += len(own) * len(points)
         if self.exact:
-            scores = self.queries[own] @ self.data[points].T
-            lowest = -np.inf
-        else:
-            whole = np.vectorize(int, otypes=[object])
-            scores, lowest = whole(self.queries[own]) @ whole(self.data[points]).T, -(1 << 200)
+            self.merge_floats(own, points)
+            return
+        whole, lowest = np.vectorize(int, otypes=[object]), -(1 << 200)
+        scores = whole(self.queries[own]) @ whole(self.data[points]).T
         ids = np.broadcast_to(self.ids[points], scores.shape)
         same = ids == self.query_ids[own][:, None]
-        scores, ids = np.where(same, lowest, scores), np.where(same, np.iinfo(np.int64).max, ids)
-        useful = (scores >= np.maximum(self.best[own, -1], self.bounds[own] if self.exact else lowest)[:, None]).any(axis=0)
-        scores = np.concatenate([self.best[own], scores[:, useful]], axis=1)
-        ids = np.concatenate([self.found[own], ids[:, useful]], axis=1)
+        scores = np.concatenate([self.best[own], np.where(same, lowest, scores)], axis=1)
+        ids = np.concatenate([self.found[own], np.where(same, np.iinfo(np.int64).max, ids)], axis=1)
         for row, s, i in zip(own, scores, ids):
-            order = sorted(range(len(s)), key=lambda x: (-s[x], i[x]))[: self.k] if not self.exact else np.lexsort((i, -s))[: self.k]
+            order = sorted(range(len(s)), key=lambda x: (-s[x], i[x]))[: self.k]
             self.best[row], self.found[row] = s[order], i[order]
 
+    def merge_floats(self, own: np.ndarray, points: np.ndarray) -> None:
+        """Only scores that reach a query's worst kth one are sorted, those of all queries at once."""
+        scores = self.queries[own] @ self.data[points].T
+        scores[self.query_ids[own][:, None] == self.ids[points][None, :]] = -np.inf
+        least = np.maximum(self.best[own, -1], self.bounds[own])
+        if len(points) >= self.k:
+            fresh = np.flatnonzero(least == -np.inf)
+            least[fresh] = np.partition(scores[fresh], len(points) - self.k, axis=1)[:, len(points) - self.k]
+        row, col = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
+        if not len(row):
+            return
+        touched = np.unique(row)
+        row = np.concatenate([row, np.repeat(touched, self.k)])
+        value = np.concatenate([scores[row[:len(col)], col], self.best[own[touched]].reshape(-1)])
+        ident = np.concatenate([self.ids[points[col]], self.found[own[touched]].reshape(-1)])
+        order = np.lexsort((ident, -value, row))
+        place = np.arange(len(order)) - np.searchsorted(row[order], row[order])
+        order, place = order[place < self.k], place[place < self.k]
+        self.best[own[row[order]], place], self.found[own[row[order]], place] = value[order], ident[order]
+
     def rows(self) -> Iterator[tuple]:
         low, top = np.iinfo(np.int64).min, np.iinfo(np.int64).max
         for q, scores, ids, bound in zip(self.query_ids, self.best, self.found, self.bounds):
@@ -187,27 +211,52 @@ def sound(col: str) -> Column:
     return F.col(col).isNotNull() & ~F.exists(col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
 
 
-def deal(vectors: DataFrame, pivots: np.ndarray, dim: int, block: int) -> DataFrame:
-    """(id, v, pivot, block): integer vectors as bytes, dealt to blocks."""
+def deal(vectors: DataFrame, pivots: np.ndarray, dim: int, block: int) -> tuple[DataFrame, dict[int, tuple[int, int, float]]]:
+    """(id, v, pivot, block): integer vectors as bytes, dealt to blocks; and, by pivot, its first
+    block, number of blocks and greatest distance of a vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = integers(batch.column(1), dim)
             away = (pivots**2).sum(axis=1) - 2 * x @ pivots.T
+            own = away.argmin(axis=1)
+            far = np.sqrt(((x - pivots[own]) ** 2).sum(axis=1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()),
-                                              pa.array(away.argmin(axis=1), pa.int32())], names=["id", "v", "pivot"])
+                                              pa.array(own, pa.int32()), pa.array(far)], names=["id", "v", "pivot", "far"])
 
-    placed = saved(vectors.mapInArrow(run, "id long, v binary, pivot int"))
-    sizes = placed.groupBy("pivot").count().collect()  # one row per pivot
-    first, cuts = 0, []
-    for pivot, n in sorted(tuple(r) for r in sizes):
+    placed = saved(vectors.mapInArrow(run, "id long, v binary, pivot int, far double"))
+    sizes = placed.groupBy("pivot").agg(F.count("*"), F.max("far")).collect()  # one row per pivot
+    first, cuts, blocks = 0, [], {}
+    for pivot, n, far in sorted(tuple(r) for r in sizes):
         parts = -(-n // block)
+        blocks[pivot] = (first, parts, far)
         cuts += [F.lit(pivot), F.struct(F.lit(first).alias("first"), F.lit(parts).alias("parts"))]
         first += parts
+    placed = placed.drop("far")
     if not cuts:
-        return placed.withColumn("block", F.lit(0))
+        return placed.withColumn("block", F.lit(0)), blocks
     cut = F.create_map(*cuts)[F.col("pivot")]
-    return placed.withColumn("block", (cut["first"] + F.pmod(F.xxhash64("id"), cut["parts"])).cast("int"))
+    return placed.withColumn("block", (cut["first"] + F.pmod(F.xxhash64("id"), cut["parts"])).cast("int")), blocks
+
+
+def reached(queries: DataFrame, pivots: np.ndarray, blocks: dict[int, tuple[int, int, float]], dim: int) -> DataFrame:
+    """The queries (id, v, part, bound) with every block that may hold one of their k best."""
+    used = sorted(blocks)
+    centres, far = pivots[used], np.array([blocks[p][2] for p in used])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q = unpack(batch.column(1), dim)
+            bound = np.array([-np.inf if b is None else float(b) for b in batch.column(3).to_pylist()])
+            norm = np.sqrt((q**2).sum(axis=1))[:, None]
+            most = q @ centres.T + norm * far
+            row, pivot = np.nonzero(most + 1e-9 * (np.abs(most) + norm * (np.sqrt((centres**2).sum(axis=1)) + far)) + 1e-6 >= bound[:, None])
+            parts = [blocks[used[p]] for p in pivot]
+            pick = pa.array(np.repeat(row, [n for _, n, _ in parts]), pa.int64())
+            where = [b for f, n, _ in parts for b in range(f, f + n)]
+            yield pa.RecordBatch.from_arrays([*[c.take(pick) for c in batch.columns], pa.array(where, pa.int32())], names=["id", "v", "part", "bound", "block"])
+
+    return queries.select("id", "v", "part", "bound").mapInArrow(run, "id long, v binary, part int, bound long, block int")
 
 
 def search_groups(data: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
@@ -230,20 +279,20 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     """One row per query and rank: query_id, rank (from 1), vec_id, score."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x")).where(F.col("id").isNotNull() & sound("x"))
     dim = max(1, rows.agg(F.max(F.size("x"))).first()[0] or 1)
-    sample = rows.orderBy(F.xxhash64("id"), "id", "x").limit(pivots).collect()
+    n = rows.count()
+    sample = rows.orderBy(F.xxhash64("id"), "id", "x").limit(max(1, min(pivots, -(-2 * n // block)))).collect()
     held = np.unique(integers(pa.array([r["x"] for r in sample], pa.list_(pa.float64())), dim), axis=0) if sample else np.zeros((1, dim))
-    data = saved(deal(rows, held, dim, block))
+    data, blocks = deal(rows, held, dim, block)
+    data = saved(data)
     asked = data.where(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("v", "block")).alias("r")).select("id", "r.v", "r.block")
     asked = saved(asked)
-    n_queries = asked.count()
-    parts, blocks = max(1, -(-n_queries // block)), (data.agg(F.max("block")).first()[0] or 0) + 1
+    parts = max(1, -(-asked.count() // block))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int"))
     everywhere = data.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     home = search_groups(everywhere, asked.withColumn("bound", F.lit(None).cast("long")), dim, k)
     bound = home.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("bound")).where(F.col("n") == k).select(F.col("query_id").alias("id"), "bound")
     bounded = saved(asked.drop("block").join(bound, "id", "left"))
-    spread = bounded.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = search_groups(everywhere, spread, dim, k)
+    found = search_groups(everywhere, reached(bounded, held, blocks, dim), dim, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -317,3 +317,23 @@ def test_stages_keep_the_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).schema.names == docs.schema.names, name
     assert near_dedup.keep_one_per_component(docs).count() == 0
+
+
+def test_clustered_table_scores_under_half_of_the_pairs():
+    rng = np.random.default_rng(8)
+    x = np.floor(64 * (rng.normal(size=(30, 16)) * 2)[rng.integers(0, 30, 6000)] + rng.normal(size=(6000, 16)))
+    search = cover_tree.Search(x[::20], np.arange(0, 6000, 20), x, np.arange(6000), np.full(300, -np.inf), 10)
+    assert search.scored < 0.5 * 300 * 6000
+    full = x[::20] @ x.T
+    for q in range(300):
+        full[q, 20 * q] = -np.inf
+        order = np.lexsort((np.arange(6000), -full[q]))[:10]
+        assert search.found[q].tolist() == order.tolist() and search.best[q].tolist() == full[q, order].tolist()
+
+
+def test_repeated_query_and_candidate_ids(spark):
+    rows = [(0, [3.0, 1.0]), (0, [1.0, 2.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 5.0]), (2, [0.5, 0.5])]
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in cover_tree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()]
+    q = (64, 128)                                                      # the smaller of the two query vectors
+    want = sorted(((-(q[0] * int(64 * a) + q[1] * int(64 * b)), i) for i, (a, b) in rows if i))
+    assert got == [(0, k + 1, i, -s) for k, (s, i) in enumerate(want)]
