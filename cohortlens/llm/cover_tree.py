@@ -40,11 +40,23 @@ K = 20
 EVERY = 20  # queries: ids divisible by this
 PIVOTS = 64  # at most; one for each half block of rows
 BLOCK = 8192
-FAN = 32  # children of a node
-LEAF, QUERY_LEAF = 64, 16  # points of a data leaf; of a query leaf, whose worst kth score prunes for all of it
+FAN = 32  # children of a node, and no more than fill a leaf each
+LEAF, QUERY_LEAF = 64, 32  # points of a data leaf; of a query leaf, whose worst kth score prunes for all of it
 FIRST, CHUNK = 128, 2048  # points scored in a leaf's first call, and at most, as calls grow
 
 
+class Ranges:
+    """Lists of numbers, of which many are read at once."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in lists])
+        self.starts, self.values = np.cumsum(self.sizes) - self.sizes, np.concatenate(lists)
+
+    def of(self, which: np.ndarray) -> np.ndarray:
+        n = self.sizes[which]
+        return self.values[np.repeat(self.starts[which] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
 class CoverTree:
     """Nodes of a simplified cover tree: centre, covering radius, children or points."""
 
@@ -58,6 +70,8 @@ class CoverTree:
         self.centres, self.radii = np.array(self.centre), np.array(self.radius)
         self.norms = np.sqrt((self.centres**2).sum(axis=1))
         self.is_leaf = np.array([c is None for c in self.children])
+        self.below = Ranges([np.array([k]) if c is None else c for k, c in enumerate(self.children)])  # a leaf stands for itself
+        self.held = Ranges([m if leaf else m[:0] for m, leaf in zip(self.members, self.is_leaf)])
 
     def grow(self, members: np.ndarray) -> int:
         """A node over the members, split into a net of half its radius (iteratively, top down)."""
@@ -79,8 +93,8 @@ class CoverTree:
 
     def net(self, members: np.ndarray, reach: float) -> list[np.ndarray]:
         """Groups of members within ``reach`` of a first one; the rest go to the nearest of these."""
-        first, parts, rest = [], [], members
-        while len(rest) and len(first) < FAN:
+        first, parts, rest, fan = [], [], members, min(FAN, max(2, len(members) // self.leaf))
+        while len(rest) and len(first) < fan:
             near = ((self.points[rest] - self.points[rest[0]]) ** 2).sum(axis=1) <= reach * reach
             near[0] = True
             first.append(rest[0])
@@ -135,20 +149,18 @@ class Search:
 
     def expand(self, others: np.ndarray) -> np.ndarray:
         """The nodes' children; leaves stay."""
-        return np.concatenate([[o] if self.d.children[o] is None else self.d.children[o] for o in others])
+        return self.d.below.of(others)
 
     def score(self, node: int, leaves: np.ndarray) -> None:
         """Scores leaves in falling order of their bounds, as long as they can matter."""
         own, limit = self.q.members[node], self.limits(node, leaves)
         order = np.argsort(-limit, kind="stable")
+        ends = np.cumsum(self.d.held.sizes[leaves[order]])
         at, chunk = 0, FIRST
         while at < len(order) and limit[order[at]] >= self.worst(own):
-            take, n = [], 0
-            while at < len(order) and n < chunk:
-                take.append(self.d.members[leaves[order[at]]])
-                n, at = n + len(take[-1]), at + 1
-            self.merge(own, np.concatenate(take))
-            chunk = min(2 * chunk, CHUNK)
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chunk, side="right")))
+            self.merge(own, self.d.held.of(leaves[order[at:upto]]))
+            at, chunk = upto, min(2 * chunk, CHUNK)
 
     def merge(self, own: np.ndarray, points: np.ndarray) -> None:
         self.scored += len(own) * len(points)
