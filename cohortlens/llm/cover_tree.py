@@ -86,14 +86,18 @@ class CoverTree:
             self.members.append(own)
             if parent is not None:
                 self.children[parent] = np.append(self.children[parent], node)
-            if len(own) > self.leaf and away.max() > 0:
-                self.children[node] = np.zeros(0, np.int64)
-                todo += [(part, node) for part in self.net(own, float(away.max()) / 2)]
+            if len(own) > self.leaf // 4 and away.max() > 0:
+                large = len(own) > self.leaf
+                parts, covered = self.net(own, float(away.max()) / 2, min(FAN, max(2, len(own) // self.leaf)) if large else 4)
+                if large or covered:  # a small node is split only where a net covers it
+                    self.children[node] = np.zeros(0, np.int64)
+                    todo += [(part, node) for part in parts]
         return top
 
-    def net(self, members: np.ndarray, reach: float) -> list[np.ndarray]:
-        """Groups of members within ``reach`` of a first one; the rest go to the nearest of these."""
-        first, parts, rest, fan = [], [], members, min(FAN, max(2, len(members) // self.leaf))
+    def net(self, members: np.ndarray, reach: float, fan: int) -> tuple[list[np.ndarray], bool]:
+        """At most ``fan`` groups of members within ``reach`` of a first one, and whether these are all;
+        the rest go to the nearest of these."""
+        first, parts, rest = [], [], members
         while len(rest) and len(first) < fan:
             near = ((self.points[rest] - self.points[rest[0]]) ** 2).sum(axis=1) <= reach * reach
             near[0] = True
@@ -104,7 +108,7 @@ class CoverTree:
             centres = self.points[first]
             own = ((centres**2).sum(axis=1) - 2 * self.points[rest] @ centres.T).argmin(axis=1)
             parts = [np.concatenate([part, rest[own == k]]) for k, part in enumerate(parts)]
-        return parts
+        return parts, not len(rest)
 
 
 class Search:
