@@ -10,18 +10,26 @@ the driver, where the forgetful update rule of streaming k-means is applied:
 
 A cluster whose weight falls below 1e-8 of the largest is re-seeded by splitting the
 largest cluster, as MLlib does.
+
+The model outlives the process: after every epoch the centres and weights are written to the
+stream's checkpoint folder, before the epoch is committed.  A restarted stream goes on from the last one stored; an epoch
+that was stored but not committed is replayed by Spark and then left out, so that no batch counts twice.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MODEL = "cluster int, center array<double>, weight double, batches int"
+
 
 @dataclass
 class StreamingKMeansState:
@@ -31,6 +39,7 @@ class StreamingKMeansState:
     time_unit: str = "batches"
     batches: int = 0
     history: list = field(default_factory=list)
+    epoch: int = -1  # the last one that the centres hold
 
     @classmethod
     def random(cls, k: int, dim: int, weight: float, seed: int, decay: float = 1.0,
@@ -82,15 +91,51 @@ def batch_stats(batch: DataFrame, vec_col: str, centers: np.ndarray) -> tuple[np
     return sums, counts
 
 
+def store_model(spark: SparkSession, state: StreamingKMeansState, path: str) -> None:
+    """Writes the centres as they are after ``state.epoch`` (k rows) into a folder of the epoch's own."""
+    rows = [(j, c.tolist(), float(w), state.batches) for j, (c, w) in enumerate(zip(state.centers, state.weights))]
+    spark.createDataFrame(rows, MODEL).coalesce(1).write.mode("overwrite").parquet(f"{path}/epoch={state.epoch}")
+
+
+def load_model(spark: SparkSession, path: str, state: StreamingKMeansState) -> bool:
+    """Sets the state to the last stored epoch; False if none is stored (folders of broken writes hold no rows)."""
+    try:
+        stored = spark.read.schema(MODEL + ", epoch int").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    last = stored.agg(F.max("epoch")).first()[0]
+    if last is None:
+        return False
+    rows = stored.filter(F.col("epoch") == last).orderBy("cluster").collect()  # k rows
+    state.centers, state.weights = np.array([r["center"] for r in rows]), np.array([r["weight"] for r in rows])
+    state.batches, state.epoch = rows[0]["batches"], last
+    return True
+
+
 def run_streaming_kmeans(stream: DataFrame, vec_col: str, state: StreamingKMeansState, checkpoint: str,
-                         trigger_available_now: bool = True) -> StreamingKMeansState:
-    """Drive ``stream`` to completion (availableNow) updating ``state`` after every batch."""
+                         trigger_available_now: bool = True, on_stored: Callable[[int], None] | None = None) -> StreamingKMeansState:
+    """Drive ``stream`` to completion (availableNow) updating ``state`` after every batch.
+
+    If the checkpoint folder holds a model, ``state`` becomes that one first.  ``on_stored`` is
+    called with each epoch once its centres are written.
+    """
+    spark, model = stream.sparkSession, checkpoint.rstrip("/") + "/model"
+    load_model(spark, model, state)
+
     def on_batch(batch: DataFrame, epoch: int) -> None:
+        if epoch <= state.epoch:  # replayed: the stored centres hold it
+            return
         sums, counts = batch_stats(batch.select(F.col(vec_col).cast("array<double>").alias(vec_col)), vec_col,
                                    state.centers)
         if counts.sum() > 0:
             state.update(sums, counts)
             state.history.append((epoch, int(counts.sum())))
+        state.epoch = epoch
+        store_model(spark, state, model)
+        if on_stored:
+            on_stored(epoch)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
