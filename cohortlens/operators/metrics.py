@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .indexing import prefix_sums
+from .indexing import scan_sums
 
 
 def purity(assignments: DataFrame, cluster: str = "cluster", cls: str = "class") -> DataFrame:
@@ -51,7 +51,7 @@ def roc_curve(df: DataFrame, y_true: str = "y_true", score: str = "score") -> Da
     score >= threshold.  Cumulative counts come from distributed prefix sums."""
     g = _score_groups(df, y_true, score)
     p_tot, n_tot = g.agg(F.sum("pos")).scalar(), g.agg(F.sum("neg")).scalar()
-    cum = prefix_sums(g, [F.col("threshold").desc()], ["pos", "neg"])
+    cum = scan_sums(g, [F.col("threshold").desc()], ["pos", "neg"])
     return cum.select("threshold", F.try_divide(F.col("pos_cum"), p_tot.cast("double")).alias("tpr"),
                       F.try_divide(F.col("neg_cum"), n_tot.cast("double")).alias("fpr"))
 
@@ -59,7 +59,7 @@ def roc_curve(df: DataFrame, y_true: str = "y_true", score: str = "score") -> Da
 def roc_auc(df: DataFrame, y_true: str = "y_true", score: str = "score") -> DataFrame:
     """Area under the ROC curve (ties count one half): Σ pos_s·(neg_below_s + neg_s/2) / (P·N)."""
     g = _score_groups(df, y_true, score)
-    below = prefix_sums(g, ["threshold"], ["neg"], inclusive=False, suffix="_below")
+    below = scan_sums(g, ["threshold"], ["neg"], inclusive=False, suffix="_below")
     return below.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)),
                                   F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
@@ -67,6 +67,6 @@ def roc_auc(df: DataFrame, y_true: str = "y_true", score: str = "score") -> Data
 def running_weighted_average(df: DataFrame, order_cols: list, value: str, weight: str) -> DataFrame:
     """Adds running_avg = Σ value·weight / Σ weight over rows up to the current one."""
     base = df.withColumn("_vw", F.col(value) * F.col(weight)).withColumn("_w", F.col(weight).cast("double"))
-    cum = prefix_sums(base, order_cols, ["_vw", "_w"])
+    cum = scan_sums(base, order_cols, ["_vw", "_w"])
     return cum.withColumn("running_avg", F.try_divide(F.col("_vw_cum"), F.col("_w_cum"))).drop(
         "_vw", "_w", "_vw_cum", "_w_cum")

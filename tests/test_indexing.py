@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import random
 
 import numpy as np
@@ -63,3 +64,24 @@ def test_numbering_over_many_ranges(spark):
     from cohortlens.operators import indexing
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
     assert indexing.dense_index(df, ["k"], "i", num_partitions=6).filter("k <> i").isEmpty()
+
+
+def test_scan_sums_equal_prefix_sums(spark):
+    import random
+    from cohortlens.operators.indexing import prefix_sums, scan_sums
+    rng = random.Random(6)
+    rows = [(i, rng.choice([None, rng.randrange(100)]), rng.random(), f"s{i}") for i in range(700)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k long, a int, b double, s string").repartition(5)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 30)
+    try:
+        for inclusive in (True, False):
+            for order in (["k"], [F.col("k").desc()]):
+                args = dict(sum_cols=["a", "b"], inclusive=inclusive, num_partitions=6)
+                got = {r.k: r for r in scan_sums(df, order, **args).collect()}
+                want = {r.k: r for r in prefix_sums(df, order, **args).collect()}
+                assert all(got[k].a_cum == want[k].a_cum and abs(got[k].b_cum - want[k].b_cum) < 1e-9 and got[k].s == f"s{k}" for k in want) and len(got) == 700
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert scan_sums(df.limit(0), ["k"], ["a"]).collect() == []
