@@ -2,9 +2,8 @@
 
 Two-level aggregates: first one row per patient (partial aggregation before the
 shuffle, so a patient holding a third of all events costs one map-side combine), then
-a tiny per-status aggregate.  The exact median uses ``percentile`` whose buffer is a
-value→count map: its size is the number of *distinct* per-patient values (event counts
-or day spans), not the number of patients.
+a tiny per-status aggregate.  The exact median comes from ``quantiles.group_quantiles``:
+histograms of bounded size refined until a bin is one value, so no task holds a group's values.
 """
 
 from __future__ import annotations
@@ -12,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .cohort import with_status
+from .quantiles import group_quantiles
 
 
 def _metrics(summary: DataFrame, mortality: DataFrame, metric: str, median: bool,
@@ -23,9 +24,14 @@ def _metrics(summary: DataFrame, mortality: DataFrame, metric: str, median: bool
         F.min(metric).cast("bigint").alias(f"min_{metric}"),
         F.max(metric).cast("bigint").alias(f"max_{metric}"),
     ]
-    if median:
-        aggs.append(F.round(F.percentile(F.col(metric), F.lit(0.5)), digits).alias(f"median_{metric}"))
-    return s.groupBy("status").agg(*aggs)
+    if not median:
+        return s.groupBy("status").agg(*aggs)
+    ensure_checkpoint_dir(s.sparkSession)
+    counts = s.groupBy("status", metric).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    total = F.sum(F.when(F.col(metric).isNotNull(), F.col("n")))
+    out = counts.groupBy("status").agg(F.round(F.sum(F.col(metric) * F.col("n")) / total, digits).alias(f"avg_{metric}"), *aggs[1:])
+    medians = group_quantiles(counts, "status", metric, [0.5], weight="n")
+    return out.join(medians.select("status", F.round("quantile", digits).alias(f"median_{metric}")), "status", "left")
 
 
 def event_count_metrics(events: DataFrame, mortality: DataFrame) -> DataFrame:
