@@ -10,8 +10,10 @@
    host's pages are template; varying slots are content.
 4. Text is read from the article or main element if there is one, else from the body, without
    elements that are furniture by tag, role, class or id, and without template slots.
-   Inside an article, a name counts as a whole class; words of an id or of a longer class only
-   where the slot is repeated as well.  There, other than that, only slots with one text on nearly all pages are template, never
+   Inside an article, a name counts as a whole class, or as a longer class made of such names alone or naming
+   comments; words of an id or of other classes only where the slot is repeated as well.  A form, or an element that has a name only as a part of a longer
+   class or id, may also wrap the page: what stands in an article or main element below it (or in its
+   paragraphs, if nothing else is left) is read if that is more than the rest.  In an article, other than that, only slots with one text on nearly all pages are template, never
    one that carries much of the host's text, so copies of an article stay content.
 
 Counting is by partial aggregation on (host, slot, text), so a hot host is no hot task; page
@@ -57,6 +59,11 @@ FURNITURE_NAMES = frozenset(
     "subscribe subscription signup login social share sharing related recommended recommendations comment comments commentlist disqus respond "
     "reply replies widget search pagination pager toc copyright legal disclaimer tags meta byline hidden".split())
 COMMENTS = frozenset(("comment", "comments"))
+COMMENT_IDS = COMMENTS | {"respond", "disqus_thread"}
+PROMOTIONS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion newsletter subscribe subscription signup "
+                       "cookie cookies consent gdpr share sharing social recommended recommendations".split())
+FILLERS = frozenset("slot box unit bar block wrapper wrap container area inner banner notice popup widget buttons links form".split())
+STATES = frozenset("no has with without is".split())  # a class that begins so tells of the page, not what the element is
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 KEPT_TAGS = frozenset("html body article main".split())
@@ -69,15 +76,34 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
                 "option": {"option"}, "thead": {"tbody"}, "tbody": {"thead", "tbody"}}
 STOPS = frozenset("table ul ol dl select article main section div body html".split())
 NAME = re.compile(r"[a-z]+")
+HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 
 class Block:
     """An open or closed block element."""
 
-    __slots__ = ("tag", "path", "furniture", "main", "named")
+    __slots__ = ("tag", "path", "furniture", "main", "named", "certain")
 
-    def __init__(self, tag: str, path: tuple, furniture: bool, main: bool, named: bool):
+    def __init__(self, tag: str, path: tuple, furniture: bool, main: bool, named: bool, certain: bool = False):
         self.tag, self.path, self.furniture, self.main, self.named = tag, path, furniture, main, named
+        self.certain = certain  # furniture for another reason than a form or a part of a name above it
+
+
+def compound(classes: set[str]) -> bool:
+    """Whether a class of several words names a promotion or comments."""
+    for name in classes:
+        words = NAME.findall(name)
+        if len(words) > 1 and words[0] not in STATES and (
+                words[0] in COMMENTS or words[-1] in COMMENTS or PROMOTIONS & set(words) and set(words) <= PROMOTIONS | FILLERS):
+            return True
+    return False
+
+
+def unseen(found: dict[str, str], attributes: str) -> bool:
+    """Whether the attributes hide the element."""
+    if "hidden" in found or found.get("aria-hidden") == "true" or HIDING.search(found.get("style", "")):
+        return True
+    return "hidden" in attributes.lower() and "hidden" in ATTRIBUTE.sub(" ", attributes).lower().replace("/", " ").split()
 
 
 def opened(tag: str, attributes: str, parent: Block) -> Block:
@@ -86,17 +112,21 @@ def opened(tag: str, attributes: str, parent: Block) -> Block:
     words = set(NAME.findall(names))
     role = found.get("role", "").lower()
     main = parent.main or tag in ("article", "main") or role in ("main", "article")
-    furniture = parent.furniture or tag in FURNITURE_TAGS or role in FURNITURE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-    furniture |= tag == "header" and not parent.main
+    classes = set(found.get("class", "").lower().split())
+    certain = tag in FURNITURE_TAGS and tag != "form" or role in FURNITURE_ROLES or unseen(found, attributes)
+    certain |= tag == "header" and not parent.main
     named = tag not in KEPT_TAGS and bool(words & FURNITURE_NAMES) and not words & MAIN_NAMES or bool(words & COMMENTS)
-    if main:  # whole classes only; an id is often made from a heading's words
-        classes = set(found.get("class", "").lower().split())
-        furniture |= tag not in KEPT_TAGS and bool(classes & FURNITURE_NAMES) and not words & MAIN_NAMES or bool(classes & COMMENTS)
-        furniture |= found.get("id", "").lower() in COMMENTS and tag not in HEADINGS
+    certain |= tag not in KEPT_TAGS and bool(classes & FURNITURE_NAMES) and not words & MAIN_NAMES or bool(classes & COMMENTS)
+    certain |= tag not in KEPT_TAGS and compound(classes)
+    if main:  # an id is often made from a heading's words
+        certain |= tag == "form" or found.get("id", "").lower() in COMMENT_IDS and tag not in HEADINGS
+        furniture = certain
     else:
-        furniture |= named
+        furniture = certain or named or tag == "form"
+    furniture |= parent.furniture
+    certain |= parent.certain
     label = tag + re.sub(r"\d+", "0", "".join(f".{x}" for x in sorted(names.split())))
-    return Block(tag, (*parent.path, label) if len(parent.path) < DEPTH - 1 else parent.path, furniture, main, parent.named or named)
+    return Block(tag, (*parent.path, label) if len(parent.path) < DEPTH - 1 else parent.path, furniture, main, parent.named or named, certain)
 
 
 def blocks(page: str) -> Iterator[tuple[Block, str]]:
@@ -238,13 +268,20 @@ def read_text(page: str | None, flags: str) -> str:
     found = list(blocks(page or ""))
     _, place = skeleton([b.path for b, _ in found])
     has_main = any(b.main and not b.furniture for b, _ in found)
-    kept = []
+    kept, wrapped, paragraphs = [], [], []
     for b, text in found:
         at = place[b.path]
         flag = flags[at] if at < len(flags) else "0"
         if not b.furniture and flag != "2" and not (b.named and flag == "1") and (b.main or not has_main and flag == "0"):
             kept.append(text)
-    return " ".join(kept)
+        elif b.furniture and not b.certain and flag != "2":  # below a form or a part of a name only
+            if b.main:
+                wrapped.append(text)
+            elif flag == "0" and b.tag == "p" and not any(label.split(".")[0] == "form" for label in b.path):
+                paragraphs.append(text)
+    if not has_main and sum(map(len, wrapped)) > sum(map(len, kept)):
+        kept = wrapped
+    return " ".join(kept or paragraphs)
 
 
 def describe_pages(pages: DataFrame) -> DataFrame:

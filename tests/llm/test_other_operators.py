@@ -83,6 +83,29 @@ def test_names_inside_an_article(spark):
     assert "See also" not in got[11] and got[11].endswith("Part 1")
 
 
+def test_wrappers_named_by_a_part_of_a_class_keep_their_article():
+    read = lambda html: html_extract.read_text(html, "")
+    for name in ("page has-sidebar", "no-sidebar", "overflow-hidden", "search-results", "layout-menu-left", "social-science", "has-comments"):
+        assert read(f"<div class='{name}'><nav>n</nav><article><h1>t</h1><p>long text</p></article></div><p>x</p>") == "t long text", name
+        assert read(f"<body><form><div class='{name}'><article><p>long text</p><form>f</form></article></div></form></body>") == "long text", name
+    assert read("<div class='has-sidebar'><h1>t</h1><p>a</p><p>b</p><div class='sidebar'><p>s</p></div></div>") == "a b"
+    assert read("<form><p>Name</p><input></form>") == ""
+    # cards of other articles don't replace the page's own text
+    assert read("<p>the page's own long text</p><div class='related-posts'><article>card</article></div>") == "the page's own long text"
+    assert read("<div class='comments'><article class='comment'>a long reader comment</article></div><p>own</p>") == "own"
+
+
+def test_parts_of_an_article_that_are_not_its_text():
+    read = lambda part: html_extract.read_text(f"<article><p>a</p>{part}<p>b</p></article>", "")
+    for part in ("<div class='post-comments'>c</div>", "<div class='comments-area'>c</div>", "<div class='newsletter-signup'>c</div>", "<div class='ad-slot'>c</div>",
+                 "<div class='cookie-notice'>c</div>", "<div id='respond'>c</div>", "<p hidden>c</p>", "<p hidden/>c</p>", "<p HIDDEN class=x>c</p>",
+                 "<p style='color:red; display: none'>c</p>", "<p style=\"visibility:hidden\">c</p>"):
+        assert read(part) == "a b", part
+    for part in ("<section id='search-methods'>c</section>", "<p class='meta-analysis'>c</p>", "<div class='share-price'>c</div>", "<h2 id='related-work'>c</h2>",
+                 "<div class='section-header'>c</div>", "<p title='hidden'>c</p>", "<p style='display:block'>c</p>", "<p data-hidden>c</p>"):
+        assert read(part) == "a c b", part
+
+
 def test_html_after_a_deep_nest():
     nest = "<div>" * 300 + "deep<script>x</script><nav>menu</nav>" + "</div>" * 300
     html = f"<html><body><div id=page><article>{nest}<p>after</p></article></div><p>outside</p></body></html>"
