@@ -3,16 +3,18 @@
 Training is the one place where sequential per-row Python logic is needed: each model
 makes one SGD pass over its bag.  A bag is split into ``shards`` (hash of the row key), a fixed
 number whatever the data's size, so the same bag always gives the same weights.
-Each (model, shard) group runs the pass in ``applyInPandas`` and the shard weights are
+Spark sorts the rows by (model, shard, key) and a task streams through its shards; the shard weights are
 averaged (one-shot parameter mixing).  ``shards=1`` is exactly the sequential
-pass; a larger corpus needs a larger number, chosen by the caller, so that a shard fits in a
-task.  Scoring is plain SQL.
+pass; a larger corpus may take a larger number, chosen by the caller, for more parallel passes (a task's
+memory is a batch of rows and the weights of one shard, whatever its size).  Scoring is plain SQL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,20 +30,45 @@ def _logistic(z: float) -> float:
 
 
 def _shard_trainer(eta: float, mu: float):
-    """One pass in row order; a step changes (and decays) only the weights of the row's features."""
-    def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values("row_key", kind="mergesort")
-        ids = [np.array([f["feature_id"] for f in row], dtype=np.int64) for row in shard["features"]]
-        known, places = np.unique(np.concatenate(ids), return_inverse=True)
-        weights, first = np.zeros(len(known)), 0
-        for row, y in zip(shard["features"], shard["label"]):
-            at = places[first:first + len(row)]
-            first += len(row)
-            x = np.array([f["feature_value"] for f in row], dtype=np.float64)
-            error = y - _logistic(float(weights[at] @ x))
-            weights[at] += eta * error * x - 2.0 * eta * mu * weights[at]
-        return pd.DataFrame({"model_id": int(shard["model_id"].iloc[0]), "shard": int(shard["shard"].iloc[0]),
-                             "feature_id": known, "weight": weights})
+    """One pass in row order; a step changes (and decays) only the weights of the row's features.
+
+    The rows come as a stream, shard after shard; a task holds a batch of them and one shard's weights.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, known, weights = None, np.zeros(0, np.int64), np.zeros(0)
+
+        def trained() -> pa.RecordBatch:
+            columns = [np.full(len(known), shard[0], np.int32), np.full(len(known), shard[1], np.int32), known, weights]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["model_id", "shard", "feature_id", "weight"])
+
+        for batch in batches:
+            models, shards, labels = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("model_id", "shard", "label"))
+            lists = batch.column("features")
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(), dtype=np.int64)
+            begins = np.concatenate([np.zeros(1, np.int64), ends])
+            ids, values = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+            cuts = np.flatnonzero((np.diff(models) != 0) | (np.diff(shards) != 0)) + 1
+            for first, last in zip([0, *cuts], [*cuts, len(models)]):
+                if first == last:
+                    continue
+                if shard != (models[first], shards[first]):
+                    if shard is not None:
+                        yield trained()
+                    shard, known, weights = (models[first], shards[first]), np.zeros(0, np.int64), np.zeros(0)
+                own = ids[begins[first]:begins[last]]
+                every = np.union1d(known, own)
+                if len(every) > len(known):
+                    wider = np.zeros(len(every))
+                    wider[np.searchsorted(every, known)] = weights
+                    known, weights = every, wider
+                places = np.searchsorted(known, own)
+                for k in range(first, last):
+                    at = places[begins[k] - begins[first]:begins[k + 1] - begins[first]]
+                    x = values[begins[k]:begins[k + 1]]
+                    error = labels[k] - _logistic(float(weights[at] @ x))
+                    weights[at] += eta * error * x - 2.0 * eta * mu * weights[at]
+        if shard is not None:
+            yield trained()
     return run
 
 
@@ -50,9 +77,11 @@ def sgd_train(bagged: DataFrame, eta: float = 0.01, mu: float = 0.0, shards: int
     """(model_id, feature_id, weight) from rows (model_id, key, label, features array<struct>)."""
     rows = bagged.select(
         F.col("model_id").cast("int").alias("model_id"), F.col(key).alias("row_key"),
-        F.col("label").cast("double").alias("label"), "features",
+        F.col("label").cast("double").alias("label"),
+        F.col("features").cast("array<struct<feature_id:bigint,feature_value:double>>").alias("features"),
         F.floor(hash_unit(key, "shard") * shards).cast("int").alias("shard"))
-    per_shard = rows.groupBy("model_id", "shard").applyInPandas(_shard_trainer(eta, mu), WEIGHT_SCHEMA)
+    ordered = rows.repartition("model_id", "shard").sortWithinPartitions("model_id", "shard", F.col("row_key").asc_nulls_last())
+    per_shard = ordered.mapInArrow(_shard_trainer(eta, mu), WEIGHT_SCHEMA)
     return per_shard.groupBy("model_id", "feature_id").agg(
         (F.sum("weight") / F.lit(float(shards))).alias("weight"))
 

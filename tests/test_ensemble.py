@@ -61,3 +61,20 @@ def test_shards_do_not_depend_on_the_rows(spark, tmpdir_path):
     assert same == rows(ensemble.sgd_train(r, shards=ensemble.SHARDS))
     ensemble.store_weights(ensemble.sgd_train(r), tmpdir_path + "/weights")
     assert rows(ensemble.load_weights(spark, tmpdir_path + "/weights")) == same
+
+
+def test_sgd_streams_its_shards(spark):
+    from pyspark.sql import functions as F
+    data = [(p, p % 2, [(f, float(f + p % 5) / 7) for f in range(p % 3, 9, 2)]) for p in range(60, 0, -1)] + [(70, 1, [])]
+    r = spark.createDataFrame(data, "patient_id long, label int, features array<struct<feature_id:long, feature_value:double>>")
+    r = r.withColumn("model_id", F.explode(F.array(F.lit(0), F.lit(3))))
+    want = _reference_pass([(f, y) for _, y, f in sorted(data)], 0.1, 0.01)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # a shard comes in many batches
+    try:
+        trained = ensemble.sgd_train(r, eta=0.1, mu=0.01, shards=1)
+        got = {(m, f): w for m, f, w in rows(trained)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got) == {(m, f) for m in (0, 3) for f in want} and all(abs(got[m, f] - want[f]) < 1e-12 for m, f in got)
+    plan = trained._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan  # no task holds a whole shard
