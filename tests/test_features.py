@@ -59,3 +59,21 @@ def test_feature_vectors(spark):
     assert vecs["p2"] == SparseVector(3, {2: 3.0})
     text = {r.patient_id: (r.vec_size, r.nnz, r.features) for r in features.feature_vector_text(tup).collect()}
     assert text["p1"] == (3, 2, "0:1.000000 1:2.000000")
+
+
+def test_sparse_vectors_are_laid_out_without_python_objects(spark):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.sql import functions as F
+    from cohortlens.functions.sparse import sparse_vector
+    r = spark.createDataFrame([(1, [(0, 1.5), (4, 0.0)]), (2, []), (3, [(3, 2.0), (1, -1.0)])], "k long, p array<struct<feature_id:long, feature_value:double>>")
+    made = r.withColumn("n", F.lit(5)).select("k", sparse_vector("n", "p").alias("v"))
+    assert {x.k: x.v for x in made.collect()} == {1: Vectors.sparse(5, [0, 4], [1.5, 0.0]), 2: Vectors.sparse(5, [], []), 3: Vectors.sparse(5, [1, 3], [-1.0, 2.0])}
+    assert "pythonUDF" in made._jdf.queryExecution().executedPlan().toString() and "ArrowEvalPython" in made._jdf.queryExecution().executedPlan().toString()
+    for wrong in ([(5, 1.0)], [(1, 1.0), (1, 2.0)], [(1, None)], None):
+        bad = spark.createDataFrame([(wrong,)], "p array<struct<feature_id:long, feature_value:double>>").select(sparse_vector(F.lit(5), "p").alias("v"))
+        try:
+            bad.collect()
+        except Exception as e:
+            assert "sparse vector" in str(e)
+        else:
+            raise AssertionError(wrong)
