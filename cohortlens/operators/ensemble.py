@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_unit
 from ..functions.sparse import sigmoid
+from .indexing import BROADCAST_ROWS
 
 WEIGHT_SCHEMA = "model_id int, shard int, feature_id long, weight double"
 SHARDS = 16
@@ -103,7 +104,8 @@ def ensemble_score(rows: DataFrame, weights: DataFrame, n_models: int, key: str
     """
     exploded = rows.select(key, F.explode("features").alias("f")).select(
         key, F.col("f.feature_id").alias("feature_id"), F.col("f.feature_value").alias("v"))
-    dots = (exploded.join(weights, "feature_id")
+    near = F.broadcast(weights) if weights.count() <= BROADCAST_ROWS else weights  # the rows then stay where they are
+    dots = (exploded.join(near, "feature_id")
             .groupBy(key, "model_id").agg(F.sum(F.col("v") * F.col("weight")).alias("z")))
     grid = rows.select(key).withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(n_models - 1))))
     z = grid.join(dots, [key, "model_id"], "left").select(key, F.coalesce(F.col("z"), F.lit(0.0)).alias("z"))

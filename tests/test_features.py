@@ -77,3 +77,28 @@ def test_sparse_vectors_are_laid_out_without_python_objects(spark):
             assert "sparse vector" in str(e)
         else:
             raise AssertionError(wrong)
+
+
+def test_groupings_in_given_partitions_give_the_same_rows_in_one_exchange(spark):
+    from cohortlens.operators import features
+
+    ev = spark.createDataFrame([(p, f"e{e}", float(v)) for p in range(20) for e in range(5) for v in range(p % 3)] + [(3, "e1", None), (None, "e2", 1.0)],
+                               "patient_id long, event_id string, value double")
+    fmap = features.feature_index(ev)
+    some = lambda df: sorted(map(str, df.collect()))
+    counted = features.count_by_event(ev, partitions=7)
+    assert some(counted) == some(features.count_by_event(ev))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and ", 7)" in plan      # dealt before the grouping: no task holds more than its partition's groups
+    sums, plain = features.aggregate_events(ev, fmap, partitions=7, threshold=2), features.aggregate_events(ev, fmap, threshold=2)
+    assert some(sums) == some(plain)
+    assert some(features.patient_feature_lists(plain, partitions=7)) == some(features.patient_feature_lists(plain))
+
+
+def test_partitions_follow_the_number_of_lines(spark, tmpdir_path, monkeypatch):
+    from cohortlens.plans import profile
+
+    spark.range(100).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    assert profile.partitions(spark, tmpdir_path) is None
+    monkeypatch.setattr(profile, "PART_EVENTS", 10)
+    assert profile.partitions(spark, tmpdir_path) == 30
