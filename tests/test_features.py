@@ -88,7 +88,7 @@ def test_groupings_in_given_partitions_give_the_same_rows_in_one_exchange(spark)
     some = lambda df: sorted(map(str, df.collect()))
     counted = features.count_by_event(ev, partitions=7)
     assert some(counted) == some(features.count_by_event(ev))
-    plan = counted._jdf.queryExecution().executedPlan().toString()
+    plan = features.count_by_event(ev, partitions=7)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and ", 7)" in plan      # dealt before the grouping: no task holds more than its partition's groups
     sums, plain = features.aggregate_events(ev, fmap, partitions=7, threshold=2), features.aggregate_events(ev, fmap, threshold=2)
     assert some(sums) == some(plain)
