@@ -14,11 +14,12 @@ A-Z lower-cased), modelled byte by byte with contexts of six bytes from the word
   regression turns them into a score.  It is fitted on training rows scored by models
   that have not seen them: each half of the training rows scores the other half.
 
-One pass over the documents makes *packs*: a bounded amount of text as its distinct words, with
-counts, and the rows' words as numbers into them.  Counts come from the packs' words with
-partial sums per task and one shuffle by gram.  The ratios stay a distributed table by gram,
-exact and as large as the corpus asks.  Each pack's distinct grams are joined with it (a gram
-has one row per pack, so no gram is hot), come back to their pack and score its rows.
+One pass over the documents makes *packs*: a small amount of text as its distinct words and the
+rows' words as numbers into them.  The packs of a task form *families*, each with a bounded number of
+distinct grams and their training counts.  Counts come from the families with one shuffle by gram.
+The ratios stay a distributed table by gram, exact and as large as the corpus asks.  Each family's
+grams are joined with it (a gram has one row per family, so no gram is hot), come back to their
+family and score its rows pack by pack.
 
 Cases: null and empty texts have features 0 and a score like any other; a document without
 label, with a null label or a null id trains nothing; of several labels of an id the largest
@@ -31,10 +32,11 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -50,12 +52,14 @@ FEATURES = ("strongest", "top", "mean")
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1  # crc32 of the id as text; this remainder never trains
 SMALL_TABLE = 1_000_000
-HELD_WORDS, HELD_GRAMS, EMITTED_ROWS = 50_000, 1_000_000, 50_000  # in a task: words and grams counted together; rows of an output batch
-PACK_BYTES, ROW_BYTES = 1 << 26, 100  # text of a pack; counted for a row besides its text
+HELD_WORDS, FAMILY_GRAMS, EMITTED_ROWS = 50_000, 2_000_000, 50_000  # in a task: words counted together, grams that close a family; rows of an output batch
+PACK_BYTES, ROW_BYTES = 1 << 23, 100  # text of a pack; counted for a row besides its text
+TASK_BYTES = 192 << 20  # text that one task packs, if the input's partitions are smaller
 MODELS = ("all", "f0", "f2")  # trained on all training rows, or on one remainder only
 LETTERS = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 SUMS = ["t0", "o0", "t2", "o2"]  # toxic and ordinary counts by remainder
-BLOBS = ["words", "counts", "lengths", "codes", "times"]  # of a pack, compressed
+BLOBS = ["words", "lengths", "codes", "times"]  # of a pack, compressed
+COUNTED = ["grams", "sums"]  # of a family, compressed
 CROSSED = tuple(f"cross_{f}" for f in FEATURES)
 
 
@@ -87,100 +91,127 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     return out.withColumn("group", group.cast("int")).withColumn("held_out", F.coalesce(F.col("rest") == HELD_OUT, F.lit(False))).drop("rest", "__id", "__toxic")
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """Rows (id, text, group) in packs of about ``PACK_BYTES`` of text of one task, numbered.
+def packed(rows: DataFrame, pack_bytes: int = PACK_BYTES, most_grams: int = FAMILY_GRAMS) -> DataFrame:
+    """Rows (id, text, group) in packs of about ``pack_bytes`` of text of one task, numbered by family.
 
-    A pack has its rows' ids and groups, its distinct words with their training counts, and of
-    each row the distinct words (as numbers into the pack's) and how often each stands in it.
+    A pack has its rows' ids and groups, its distinct words, and of each row the distinct words (as
+    numbers into the pack's) and how often each stands in it.  A family ends with the task or at
+    ``most_grams`` distinct grams; a row of its own has these, ascending, and their training counts.
     """
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, groups, lengths, codes, times, size = [], [], array("I"), array("I"), array("I"), 0
         numbers: dict[bytes, int] = {}
-        trained = [Counter() for _ in SUMS]
+        family, members = TaskContext.get().partitionId() << 32, 0
+        kinds, sums = np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
+
+        def row(of_rows: list, blobs: dict[str, bytes]) -> pa.RecordBatch:
+            held = [pa.array([x], pa.list_(t)) for x, t in zip(of_rows, (id_type, pa.int32()))]
+            made = [pa.array([zlib.compress(blobs[b]) if b in blobs else None], pa.binary()) for b in (*BLOBS, *COUNTED)]
+            return pa.RecordBatch.from_arrays([pa.array([family]), *held, *made], names=["family", "ids", "groups", *BLOBS, *COUNTED])
 
         def pack() -> pa.RecordBatch:
-            nonlocal size
-            counts = np.zeros((len(SUMS), len(numbers)), np.int64)
-            for k, c in enumerate(trained):
-                counts[k, np.fromiter((numbers[w] for w in c), np.int64, len(c))] = np.fromiter(c.values(), np.int64, len(c))
+            nonlocal size, kinds, sums, members
             n = np.frombuffer(lengths, np.uint32)
-            ends = np.cumsum(n, dtype=np.int64)
-            number, of_row = np.frombuffer(codes, np.uint32).astype(np.int64), np.repeat(np.arange(len(n)), n)
+            number, count, of_row = np.frombuffer(codes, np.uint32).astype(np.int64), np.frombuffer(times, np.uint32), np.repeat(np.arange(len(n)), n)
+            of_group = np.array([-1 if g is None else g for g in groups])[of_row]
+            counts = np.stack([np.bincount(number[own], weights=count[own], minlength=len(numbers)) for own in (of_group == k for k in range(len(SUMS)))])
+            words = list(numbers)
+            for part in word_parts(words):
+                kinds, sums = added(kinds, sums, *counted(words[part], counts[:, part]))
             order = np.lexsort((number, of_row))
             step = np.diff(number[order], prepend=0)
-            begin = (ends - n)[n > 0]
+            begin = (np.cumsum(n, dtype=np.int64) - n)[n > 0]
             step[begin] = number[order][begin]  # a row's least number, then differences
-            blobs = [b" ".join(numbers), counts.tobytes(), *map(small_ints, (n, step, np.frombuffer(times, np.uint32)[order]))]
-            row = pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(id_type)), pa.array([groups], pa.list_(pa.int32())),
-                                              *(pa.array([zlib.compress(b)], pa.binary()) for b in blobs)], names=["ids", "groups", *BLOBS])
-            size = 0
-            for held in (ids, groups, numbers, *trained):
+            made = row([ids, groups], dict(zip(BLOBS, (b" ".join(words), *map(small_ints, (n, step, count[order]))))))
+            size, members = 0, members + 1
+            for held in (ids, groups, numbers):
                 held.clear()
-            return row
+            return made
+
+        def closed() -> pa.RecordBatch:
+            nonlocal family, members, kinds, sums
+            made = row([None, None], dict(zip(COUNTED, (small_ints(np.diff(kinds, prepend=0), 8), small_ints(sums.ravel(), 8)))))
+            family, members, kinds, sums = family + 1, 0, np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
+            return made
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for id_, text, group in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()):
-                text = text.as_py()
+            for id_, text, group in zip(batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2)):
+                text, group = text.as_py(), group.as_py()
                 found = Counter(words_of(text))
-                ids.append(id_)
+                ids.append(id_.as_py())
                 groups.append(group)
                 lengths.append(len(found))
                 codes.extend([numbers.setdefault(w, len(numbers)) for w in found])
                 times.extend(found.values())
-                if group is not None:
-                    trained[group].update(found)
                 size += len(text or b"") + ROW_BYTES
-                if size >= PACK_BYTES:
+                if size >= pack_bytes:
                     yield pack()
                     lengths, codes, times = array("I"), array("I"), array("I")
+                    if len(kinds) >= most_grams:
+                        yield closed()
         if ids:
             yield pack()
+        if members:
+            yield closed()
+
+    made = rows.select("id", "text", "group").mapInArrow(lean(run), f"family long, ids array<{kind}>, groups array<int>, " + ", ".join(f"{b} binary" for b in (*BLOBS, *COUNTED)))
+    return saved(made)
+
 
-    packs = rows.select("id", "text", "group").mapInArrow(lean(run), f"ids array<{kind}>, groups array<int>, " + ", ".join(f"{b} binary" for b in BLOBS))
-    return saved(packs).withColumn("pack", F.monotonically_increasing_id())  # of stored rows, so always the same
+def in_tasks(rows: DataFrame, text_bytes: int) -> DataFrame:
+    """The rows in fewer partitions, if each task would have far less than ``TASK_BYTES`` of text; cores stay busy."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-text_bytes // TASK_BYTES)))
 
 
-def small_ints(values: np.ndarray) -> bytes:
-    """uint32 numbers, all lowest bytes first: the others are mostly zero and compress well."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def small_ints(values: np.ndarray, size: int = 4) -> bytes:
+    """Whole numbers of 4 or 8 bytes, all lowest bytes first: the others are mostly zero and compress well."""
+    return values.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T.tobytes()
 
 
-def ints(stored: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(stored, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def ints(stored: bytes, size: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(stored, np.uint8).reshape(size, -1).T).view(f"<u{size}").ravel().astype(np.int64)
 
 
 def word_parts(words: list[bytes]) -> Iterator[slice]:
     return slices([1] * len(words), HELD_WORDS)
 
 
-def gram_counts(packs: DataFrame) -> DataFrame:
-    """(gram, t0, o0, t2, o2): every gram of the corpus with its training counts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, sums = np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
+def counted(words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of words, ascending, and the sums of the words' counts."""
+    found, own = grams(words)
+    kinds, at = np.unique(found, return_inverse=True)
+    return kinds, np.stack([np.bincount(at, weights=c[own], minlength=len(kinds)) for c in counts])
+
 
-        def emit() -> Iterator[pa.RecordBatch]:
-            nonlocal kinds, sums
-            for k in range(0, len(kinds), EMITTED_ROWS):
-                part = slice(k, k + EMITTED_ROWS)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds[part]), *(pa.array(s[part].astype(np.int64)) for s in sums)], names=["gram", *SUMS])
-            kinds, sums = np.zeros(0, np.int64), np.zeros((len(SUMS), 0))
+def added(kinds: np.ndarray, sums: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two tables of ascending grams and their counts as one."""
+    at = np.searchsorted(kinds, more)
+    old = np.append(kinds, -1)[at] == more
+    sums[:, at[old]] += counts[:, old]
+    return np.insert(kinds, at[~old], more[~old]), np.insert(sums, at[~old], counts[:, ~old], axis=1)
 
+
+def family_grams(packs: DataFrame, columns: str, table: Callable[[int, np.ndarray, np.ndarray], list[np.ndarray]]) -> DataFrame:
+    """Rows for every gram of every family, from its number, its grams and their counts."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for packed_words, packed_counts in zip(batch.column(0), batch.column(1)):
-                words = zlib.decompress(packed_words.as_py()).split()
-                counts = np.frombuffer(zlib.decompress(packed_counts.as_py()), np.int64).reshape(len(SUMS), -1)
-                for part in word_parts(words):
-                    found, own = grams(words[part])
-                    kinds, at = np.unique(np.concatenate([kinds, found]), return_inverse=True)
-                    sums = np.stack([np.bincount(at, weights=np.concatenate([s, c[part][own]]), minlength=len(kinds)) for s, c in zip(sums, counts)])
-                    if len(kinds) > HELD_GRAMS:
-                        yield from emit()
-        yield from emit()
-
-    parts = packs.select("words", "counts").mapInArrow(lean(run), "gram long, " + ", ".join(f"{s} long" for s in SUMS))
+            for family, stored, sums in zip(*batch.columns):
+                kinds = np.cumsum(ints(zlib.decompress(stored.as_py()), 8))
+                made = table(family.as_py(), kinds, ints(zlib.decompress(sums.as_py()), 8).reshape(len(SUMS), -1))
+                for k in range(0, len(kinds), EMITTED_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[k:k + EMITTED_ROWS]) for c in made], names=names)
+
+    return packs.where("grams is not null").select("family", *COUNTED).mapInArrow(lean(run), columns)
+
+
+def gram_counts(packs: DataFrame) -> DataFrame:
+    """(gram, t0, o0, t2, o2): every gram of the corpus with its training counts."""
+    parts = family_grams(packs, "gram long, " + ", ".join(f"{s} long" for s in SUMS), lambda family, kinds, sums: [kinds, *sums])
     return saved(parts.groupBy("gram").agg(*[F.sum(s).alias(s) for s in SUMS]))
 
 
@@ -207,39 +238,26 @@ def ratios(counts: DataFrame) -> DataFrame:
     return trained.union(untrained)
 
 
-def pack_ratios(packs: DataFrame, by_gram: DataFrame) -> DataFrame:
-    """(pack, gram, all, f0, f2): the ratios of each pack's distinct grams; a gram has at most one row per pack.
+def family_ratios(packs: DataFrame, by_gram: DataFrame) -> DataFrame:
+    """(family, gram, all, f0, f2): the ratios of each family's grams; a gram has at most one row per family.
 
-    f0 and f2 are null for grams that no row of the pack needs them for.
+    f0 and f2 are null for grams that no row of the family needs them for.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for pack, packed_words, packed_counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                words = zlib.decompress(packed_words.as_py()).split()
-                t0, o0, t2, o2 = np.frombuffer(zlib.decompress(packed_counts.as_py()), np.int64).reshape(len(SUMS), -1)
-                crossed = (t2 + o2 > 0) + 2 * (t0 + o0 > 0)
-                kinds, needs = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                for part in word_parts(words):
-                    found, own = grams(words[part])
-                    need = np.concatenate([needs, crossed[part][own]])
-                    kinds, at = np.unique(np.concatenate([kinds, found]), return_inverse=True)
-                    needs = sum((np.bincount(at, weights=need & bit, minlength=len(kinds)) > 0) * bit for bit in (1, 2))
-                for k in range(0, len(kinds), EMITTED_ROWS):
-                    part = slice(k, k + EMITTED_ROWS)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds[part]), pack)), pa.array(kinds[part]), pa.array(needs[part])],
-                                                     names=["pack", "gram", "need"])
+    def needs(family: int, kinds: np.ndarray, sums: np.ndarray) -> list[np.ndarray]:
+        t0, o0, t2, o2 = sums
+        return [np.full(len(kinds), family), kinds, (t2 + o2 > 0) + 2 * (t0 + o0 > 0)]
 
-    rows = packs.select("pack", "words", "counts").mapInArrow(lean(run), "pack long, gram long, need long").join(by_gram, "gram")
-    return rows.select("pack", "gram", "all", *[F.when(F.col("need").bitwiseAND(bit) > 0, F.col(m)).alias(m) for m, bit in (("f0", 1), ("f2", 2))])
+    rows = family_grams(packs, "family long, gram long, need long", needs).join(by_gram, "gram")
+    return rows.select("family", "gram", "all", *[F.when(F.col("need").bitwiseAND(bit) > 0, F.col(m)).alias(m) for m, bit in (("f0", 1), ("f2", 2))])
 
 
-def word_ratios(words: list[bytes], known: np.ndarray, by_gram: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood ratios of words; known is sorted, other grams count 0."""
+def word_ratios(words: list[bytes], known: np.ndarray, by_gram: list[np.ndarray]) -> np.ndarray:
+    """Length-normalised log-likelihood ratios of words by each table; known is sorted, other grams count 0."""
     found, own = grams(words)
     at = np.searchsorted(known, found)
-    at[at == len(known)] = 0
-    value = np.where(known[at] == found, by_gram[at], 0.0) if len(known) else np.zeros(len(found))
-    return np.bincount(own, weights=value, minlength=len(words)) / (np.fromiter(map(len, words), np.int64, len(words)) + 1) ** LENGTH_POWER
+    hit = np.append(known, -1)[at] == found
+    length = (np.fromiter(map(len, words), np.int64, len(words)) + 1) ** LENGTH_POWER
+    return np.stack([np.bincount(own, weights=np.where(hit, np.append(t, 0.0)[at], 0.0), minlength=len(words)) / length for t in by_gram])
 
 
 def summary(values: np.ndarray, times: np.ndarray) -> tuple[float, float, float]:
@@ -255,32 +273,34 @@ def with_features(packs: DataFrame, by_gram: DataFrame, kind: str) -> DataFrame:
     """(id, group, features, cross features) of every row; cross: of training rows, by the model of the other half."""
     model_of = {0: "f2", 1: "f2", 2: "f0", 3: "f0"}
 
-    def run(pack: pa.Table, table: pa.Table) -> pa.Table:
+    def scored(pack: pa.RecordBatch, known: np.ndarray, by_gram: list[np.ndarray]) -> pa.RecordBatch:
         blob = lambda c: zlib.decompress(pack.column(c)[0].as_py())
         words, groups = blob("words").split(), pack.column("groups")[0].as_py()
         lengths, steps, times = (ints(blob(c)) for c in ("lengths", "codes", "times"))
         ends = np.cumsum(lengths)
         sums = np.cumsum(np.concatenate([np.zeros(1, np.int64), steps]))
         codes = sums[1:] - np.repeat(sums[ends - lengths], lengths)
-        grams_ = table.column("gram").to_numpy()
-        order = np.argsort(grams_)
-        value = {}
-        for m in MODELS:
-            by_gram = table.column(m).to_numpy()[order]
-            value[m] = np.concatenate([np.zeros(0), *(word_ratios(words[part], grams_[order], by_gram) for part in word_parts(words))])
+        value = dict(zip(MODELS, np.concatenate([np.zeros((len(MODELS), 0)), *(word_ratios(words[part], known, by_gram) for part in word_parts(words))], axis=1)))
         found, crossed = [], []
         for first, end, group in zip((ends - lengths).tolist(), ends.tolist(), groups):
             own, n = codes[first:end], times[first:end]
             found.append(summary(value["all"][own], n))
             crossed.append((None,) * len(FEATURES) if group is None else summary(value[model_of[group]][own], n))
         columns = [pa.array(c, pa.float64()) for rows in (found, crossed) for c in zip(*rows)]
-        ids = pack.column("ids").combine_chunks().flatten()
-        del words, codes, times, steps, sums, value
+        return pa.RecordBatch.from_arrays([pack.column("ids").flatten(), pa.array(groups, pa.int32()), *columns], names=["id", "group", *FEATURES, *CROSSED])
+
+    def run(family: pa.Table, table: pa.Table) -> pa.Table:
+        known = table.column("gram").to_numpy()
+        order = np.argsort(known)
+        known, by_gram = known[order], [table.column(m).to_numpy()[order] for m in MODELS]
+        made = pa.Table.from_batches([scored(pack, known, by_gram) for pack in family.to_batches(max_chunksize=1)])
+        del known, order, by_gram
         give_back()
-        return pa.table([ids, pa.array(groups, pa.int32()), *columns], names=["id", "group", *FEATURES, *CROSSED])
+        return made
 
-    values = pack_ratios(packs, by_gram)
-    made = packs.drop("counts").groupBy("pack").cogroup(values.groupBy("pack")).applyInArrow(
+    values = family_ratios(packs, by_gram)
+    members = packs.where("ids is not null").select("family", "ids", "groups", *BLOBS)
+    made = members.groupBy("family").cogroup(values.groupBy("family")).applyInArrow(
         run, f"id {kind}, group int, " + ", ".join(f"{f} double" for f in (*FEATURES, *CROSSED)))
     return saved(made)
 
@@ -299,7 +319,8 @@ def fitted(trained: DataFrame) -> tuple[float, list[float]]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, key: Column) -> tuple:
     """(features by key, logistic weights) of all documents, learned from the labelled training rows."""
     rows = training_rows(docs.select(F.col(id_col), F.col(text_col).alias("text"), key.alias("key")), labels, id_col)
-    packs = packed(rows.select(F.col("key").alias("id"), "text", "group"))
+    size = docs.agg(F.sum(F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) + ROW_BYTES)).first()[0] or 0
+    packs = packed(in_tasks(rows.select(F.col("key").alias("id"), "text", "group"), size))
     features = with_features(packs, ratios(gram_counts(packs)), rows.schema["key"].dataType.simpleString())
     crossed = features.where("group is not null").select(*[F.col(c).alias(f) for f, c in zip(FEATURES, CROSSED)], (F.col("group") % 2 == 0).cast("int").alias("y"))
     return features, fitted(crossed)

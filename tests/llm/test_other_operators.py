@@ -297,6 +297,29 @@ def test_toxicity_scores_equal_exact_tables(spark):
         assert abs(want) > 30 or abs(margin(got[i]) - want) < 1e-4
 
 
+def test_toxicity_families_share_their_grams(spark):
+    """One row per gram and family, however many partitions the input has; the same counts and features for any size of packs."""
+    docs, _ = toxic_rows(120)
+    rows = spark.createDataFrame([(i, text, None if i % 5 == 4 else i % 5) for i, text in docs], "id long, text string, group int").repartition(24)
+    few, many = toxicity.packed(toxicity.in_tasks(rows, 0)), toxicity.packed(rows, pack_bytes=1500, most_grams=200)
+    want = Counter()
+    for i, text in docs:
+        for w, n in Counter(toxicity.words_of(text.encode())).items():
+            for g in set(gs := toxicity.grams([w])[0].tolist()):
+                want[g] += 0
+                want[g, i % 5] += n * gs.count(g) * (i % 5 < 4)
+    features = []
+    for packs, families in ((few, range(1, spark.sparkContext.defaultParallelism + 1)), (many, range(25, 121))):
+        counts = toxicity.gram_counts(packs)
+        got = {r[0]: tuple(r[1:]) for r in counts.collect()}
+        assert got == {g: tuple(want[g, k] for k in range(4)) for g in want if not isinstance(g, tuple)}
+        by_gram = toxicity.family_ratios(packs, toxicity.ratios(counts))
+        assert by_gram.select("family").distinct().count() in families and by_gram.groupBy("family", "gram").count().where("count > 1").count() == 0
+        features.append({r.id: tuple(r)[1:] for r in toxicity.with_features(packs, toxicity.ratios(counts), "bigint").collect()})
+    assert features[0].keys() == features[1].keys() == dict(docs).keys()
+    assert all(a == b or abs(a - b) < 1e-9 for i in features[0] for a, b in zip(features[0][i], features[1][i]))
+
+
 def test_toxicity_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
