@@ -160,6 +160,11 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select("patient_id", F.col("event_date").alias("date"), F.inline(kinds)).select("kind", "patient_id", "item", "date")
 
 
+def line_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(patient_id, date, code, medicine): the diagnosis and the medicine of :func:`phenotype_inputs` of a line, side by side."""
+    return order_lines(spark, sf_dir).select("patient_id", F.col("event_date").alias("date"), _item("diagnostic").alias("code"), _item("medication").alias("medicine"))
+
+
 def phenotype_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(diagnostic, medication, lab_result) with fine-grained codes for the phenotype rules.
 

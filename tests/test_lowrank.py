@@ -68,3 +68,53 @@ def test_report_keeps_every_code(spark):
     pca = lowrank.sparse_pca(registry._count_tuples(spark, SF), k=2, max_rounds=2)
     assert pca.components.count() == all_codes
     assert pca.components.select(F.size("loadings").alias("n")).distinct().collect()[0].n == 2
+
+
+def test_packs_hold_every_row_once_and_give_the_same_components(spark, monkeypatch):
+    x = _sparse(150, 40, seed=8)
+    small, made = lowrank.packed_entries, []
+    monkeypatch.setattr(lowrank, "packed_entries", lambda t, table: made.append(small(t, table, 300)) or made[-1])
+    monkeypatch.setattr(lowrank, "PIECE", 64)        # a feature's entries take several pieces
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    try:
+        got = lowrank.sparse_pca(_long(spark, x), k=2, oversample=10, tol=1e-7)
+        found = got.projected.select("patient_id", vector_to_array("pca").alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, variances = _dense_pca(x, 2)
+    assert made[0] > 4 and sorted(r.patient_id for r in found) == list(range(150))
+    points = {r.patient_id: r.p for r in found}
+    assert _signless(np.array([points[i] for i in range(150)]), want, 1e-2) and np.allclose(got.variances, variances, rtol=1e-4)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("pca_entries_")]
+
+
+def test_a_round_sends_a_row_per_pack_and_feature(spark):
+    table = "pca_entries_of_a_test"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    x = np.ones((400, 6)) + np.eye(400, 6)
+    try:
+        n = lowrank.packed_entries(_long(spark, x).toDF("r", "f", "x"), table, 500)
+        packs = spark.table(table)
+        scales, rows = lowrank.feature_scales(packs)
+        basis = scales.select("f", "shift", "scale", F.lit(1.0).alias("c0"), F.lit(2.0).alias("c1"))
+        parts = lowrank._met(packs, basis, ["c0", "c1"], 6, lambda stored, sent: sent.select(["place"]), "place int")
+        assert n == packs.count() > 1 and rows == 400 and parts.count() == 6 * n
+        got = {r.f: (r.y0, r.y1) for r in lowrank._round(packs, basis, ["c0", "c1"], 6, ["y0", "y1"]).collect()}
+        scale = 1 / x.std(0, ddof=1)
+        z = x @ scale
+        assert all(np.allclose(got[f"f{j}"], [x[:, j] @ z, 2 * x[:, j] @ z]) for j in range(6))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_report_joins_the_lines_once(spark):
+    same = lambda a, b: sorted(map(tuple, P.rounded(a, ["feature_value"]).collect())) == sorted(map(tuple, P.rounded(b, ["feature_value"]).collect()))
+    with P.stored_pheno_inputs(spark, SF) as inputs:
+        tables = [t.name for t in spark.catalog.listTables() if t.name.startswith("pheno_")]
+        for candidates in (False, True):
+            count = registry._count_tuples(spark, SF, candidates, inputs)
+            lab = registry._lab_tuples(spark, SF, candidates, inputs)
+            assert not any("/root/testdata" in f for f in count.inputFiles() + lab.inputFiles())
+            assert same(count, registry._count_tuples(spark, SF, candidates)) and same(lab, registry._lab_tuples(spark, SF, candidates))
+        assert sorted(map(tuple, registry.q_phenotype(spark, SF, inputs).collect())) == sorted(map(tuple, registry.q_phenotype(spark, SF).collect()))
+    assert len(tables) == 2 and not [t for t in spark.catalog.listTables() if t.name in tables]
